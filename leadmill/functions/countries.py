@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from leadmill.functions.text import SPACE, WORD, casefold, col, strip
+from leadmill.functions.text import casefold, col
 
 
 def country_key(c: Column | str) -> Column:
     """Case-folded, "&" spelled out, dots and apostrophes gone, other signs read as blanks."""
-    spelled = F.replace(strip(casefold(col(c))), F.lit("&"), F.lit(" and "))
-    closed = F.replace(F.regexp_replace(spelled, "[.'’]", ""), F.lit("_"), F.lit(" "))
-    words = F.regexp_replace(closed, f"[^{WORD}]+", " ")
-    return F.trim(words)
+    spelled = F.replace(casefold(col(c)), F.lit("&"), F.lit(" and "))
+    closed = F.regexp_replace(spelled, "[.'’]+", "")
+    return F.trim(F.regexp_replace(closed, r"[^\p{L}\p{N}]+", " "))

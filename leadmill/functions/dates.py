@@ -7,45 +7,62 @@ from pyspark.sql import functions as F
 
 from leadmill.functions.text import col, normalize_text
 
-_CLOCK = r"(?:[01]\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?"
+_CLOCK = r"(?:2[0-3]|[01]?\d):[0-5]?\d(?::[0-5]?\d(?:\.\d+)?)?"
 _ZONE = r"(?: ?(?:Z|[+-]\d{2}:?\d{2}))?"
 
-# (shape of the text, date patterns tried in order). A shape guards its patterns, so a row is
-# parsed only with patterns that can fit it, and no year of two or five digits slips through.
-_SHAPES = [
-    (r"\d{4}-\d{1,2}-\d{1,2}", ["yyyy-M-d"]),
-    (r"\d{4}/\d{1,2}/\d{1,2}", ["yyyy/M/d"]),
-    (r"\d{1,2}-\p{L}+-\d{4}", ["d-MMM-yyyy", "d-MMMM-yyyy"]),
-    (r"\d{1,2}-\d{1,2}-\d{4}", ["d-M-yyyy", "M-d-yyyy"]),
-    (r"\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}", ["yyyy-M-d H:m:s"]),
-    (r"\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}", ["yyyy-M-d H:m"]),
-    (r"\d{8}", ["yyyyMMdd"]),
-    (r"\p{L}+ \d{1,2}, \d{4}", ["MMM d, yyyy", "MMMM d, yyyy"]),
-    (r"\p{L}+ \d{1,2} \d{4}", ["MMM d yyyy", "MMMM d yyyy"]),
-    (r"\d{1,2} \p{L}+ \d{4}", ["d MMM yyyy", "d MMMM yyyy"]),
+# The forms a date may have: Y, M and D stand for the groups that hold year, month and day.
+# They are tried in order, so the more special form comes first.
+_FORMS = [
+    # Year first, with a time or not: the date as written counts, whatever the zone.
+    rf"Y((?!0000)\d{{4}})[-/]M(\d{{1,2}}|\p{{L}}+)[-/]D(\d{{1,2}})(?:[T ]{_CLOCK}{_ZONE})?",
+    # Slashes: month first, unless the first number cannot be a month.
+    r"D(1[3-9]|[2-9]\d)/M(\d{1,2})/Y((?!0000)\d{4})",
+    r"M(\d{1,2})/D(\d{1,2})/Y((?!0000)\d{4})",
+    # Dashes: day first, unless the second number cannot be a month.
+    r"M(\d{1,2})-D(1[3-9]|[2-9]\d)-Y((?!0000)\d{4})",
+    r"D(\d{1,2})-M(\d{1,2}|\p{L}+)-Y((?!0000)\d{4})",
+    # Month names in running text.
+    r"M(\p{L}+) D(\d{1,2}),? Y((?!0000)\d{4})",
+    r"D(\d{1,2}) M(\p{L}+) Y((?!0000)\d{4})",
+    r"Y((?!0000)\d{4})M(\d{2})D(\d{2})",
 ]
 
 
-def _parsed(text: Column, *patterns: str) -> Column:
-    return F.coalesce(*[F.try_to_date(text, p) for p in patterns])
+def _one_regex() -> tuple[str, str]:
+    """All forms as one regex, and the replacement that brings a match to year-month-day.
+
+    A group of a form that did not match adds nothing to the replacement, so the groups of one
+    part are simply listed one after another. Text of no form becomes "--", which is no date.
+    """
+    groups: dict[str, list[str]] = {"Y": [], "M": [], "D": []}
+    count = 0
+    forms = []
+    for form in _FORMS:
+        for part in sorted(groups, key=lambda p: form.index(f"{p}(")):
+            count += 1
+            groups[part].append(f"${count}")
+        for part in groups:
+            form = form.replace(f"{part}(", "(")
+        forms.append(form)
+    return rf"(?s)\A(?:{'|'.join(forms)}|.*)\z", "-".join("".join(groups[p]) for p in "YMD")
+
+
+_DATE, _YEAR_MONTH_DAY = _one_regex()
 
 
-def parse_date(text: Column | str) -> Column:
-    """As :func:`normalize_date`, for text that is normalised already."""
-    text = col(text)
-    day_first = F.substring_index(text, "/", 1).try_cast("int") > 12
-    found = F.when(
-        text.rlike(r"\A\d{1,2}/\d{1,2}/\d{4}\z"),
-        F.when(day_first, _parsed(text, "d/M/yyyy")).otherwise(_parsed(text, "M/d/yyyy")),
-    )
-    for shape, patterns in _SHAPES:
-        found = found.when(text.rlike(rf"\A{shape}\z"), _parsed(text, *patterns))
-    # A full time stamp keeps the date as written, whatever its zone.
-    found = found.when(
-        text.rlike(rf"\A\d{{4}}-\d{{2}}-\d{{2}}[T ]{_CLOCK}{_ZONE}\z"),
-        _parsed(F.substring(text, 1, 10), "yyyy-M-d"),
-    )
-    return found.cast("string")
+def year_month_day(text: Column | str) -> Column:
+    """Year, month (a number or a name) and day of clean text, joined by dashes."""
+    return F.regexp_replace(col(text), _DATE, _YEAR_MONTH_DAY)
+
+
+def iso_date(ordered: Column | str) -> Column:
+    """ISO text of what :func:`year_month_day` found, null when it is no calendar date.
+
+    A plain cast reads numbers much faster than a date pattern, which only month names need.
+    """
+    ordered = col(ordered)
+    named = F.try_to_date(ordered, "yyyy-[MMMM][MMM]-d")
+    return F.when(ordered.rlike(r"\p{L}"), named).otherwise(ordered.try_cast("date")).cast("string")
 
 
 def normalize_date(c: Column | str) -> Column:
@@ -53,4 +70,4 @@ def normalize_date(c: Column | str) -> Column:
 
     Slashes are read month first unless the first number is above 12; dashes day first.
     """
-    return parse_date(normalize_text(c))
+    return iso_date(year_month_day(normalize_text(c)))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from leadmill.functions.contact import normalize_email, phone_digits
 from leadmill.functions.countries import country_key
-from leadmill.functions.dates import parse_date
-from leadmill.functions.names import first_token, last_token
+from leadmill.functions.dates import iso_date, year_month_day
+from leadmill.functions.names import first_word, last_word, title_case
 from leadmill.functions.text import normalize_text
 from leadmill.schema import NORMALIZED_COLUMNS
 from leadmill.sources.countries import country_dimension
@@ -37,10 +37,13 @@ def normalize_leads(prepared: DataFrame, countries: DataFrame | None = None) ->
         {**{c: normalize_text(c) for c in _TEXT_FIELDS}, "email": normalize_email("email")}
     )
     derived = cleaned.withColumns({
-        "first_name": first_token("full_name"),
-        "last_name": last_token("full_name"),
+        "_titled": title_case("full_name"),
         "phone": phone_digits("phone"),
-        "lead_date": parse_date("lead_date"),
-    })
+        "_ordered": year_month_day("lead_date"),
+    }).withColumns({
+        "lead_date": iso_date("_ordered"),
+        "first_name": first_word("_titled"),
+        "last_name": last_word("_titled"),
+    }).drop("_titled", "_ordered")
     dimension = country_dimension(prepared.sparkSession) if countries is None else countries
     return conform_country(derived, dimension).select(*NORMALIZED_COLUMNS, *kept)
