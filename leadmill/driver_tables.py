@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadmill.sources.leads import idle_cores, spread
+
 LEAD_COLUMNS = {
     "source_row_number": "cast(o.o_orderkey + 1 as bigint)",
     "name": (
@@ -88,7 +90,8 @@ RAW_NAMES = {
 
 def raw_leads(spark: SparkSession, tables: str) -> DataFrame:
     """One raw lead per order, under the contract's column names."""
-    orders = spark.read.parquet(f"{tables}/orders.parquet").alias("o")
+    orders = spark.read.parquet(f"{tables}/orders.parquet")
+    orders = spread(orders, idle_cores(orders), "o_orderkey").alias("o")
     customer = spark.read.parquet(f"{tables}/customer.parquet").alias("c")
     joined = orders.join(customer, F.expr("o.o_custkey = c.c_custkey"))
     return joined.select(

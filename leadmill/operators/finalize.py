@@ -22,15 +22,22 @@ def _defaults() -> dict[str, Column]:
     }
 
 
-def finalize_leads(scored: DataFrame) -> DataFrame:
-    """Fill absent columns and empty values, flag leads that may be imported, order columns."""
+def finalize_leads(scored: DataFrame, normalized: bool = False) -> DataFrame:
+    """Fill absent columns and empty values, flag leads that may be imported, order columns.
+
+    ``normalized`` says that empty text is null already, which saves looking for blank text.
+    """
     filled = with_missing_as_null(scored, CLEAN_COLUMNS)
     kinds = {f.name: f.dataType.typeName() for f in filled.schema}
+
+    def present(c: str) -> Column:
+        return F.col(c).isNotNull() if normalized else is_present(c, kinds[c])
+
     ready = F.lit(True)
     for field in READY_FIELDS:
-        ready = ready & is_present(field, kinds[field])
+        ready = ready & present(field)
     columns = {
-        c: F.when(is_present(c, kinds[c]), F.col(c)).otherwise(default)
+        c: F.when(present(c), F.col(c)).otherwise(default)
         for c, default in _defaults().items()
     }
     columns["salesforce_ready"] = ready

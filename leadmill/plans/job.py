@@ -18,10 +18,12 @@ from leadmill.plans.staging import Staging
 from leadmill.sources.countries import country_dimension
 from leadmill.sources.leads import (
     POSITION,
+    idle_cores,
     number_rows,
     prepare_leads,
     read_csv_leads,
     split_offsets,
+    spread,
 )
 from leadmill.sources.sinks import write_csv, write_summary, write_table
 
@@ -62,11 +64,12 @@ def run_job(
     Leads are shuffled twice, for the merge (as partial results) and for the anti join.
     """
     staging = staging or Staging(spark)
-    raw = source if isinstance(source, DataFrame) else read_csv_leads(spark, source, multiline)
+    from_files = not isinstance(source, DataFrame)
+    raw = read_csv_leads(spark, source, multiline) if from_files else source
+    # The rows have their ids before they are spread, so the input order is kept.
+    prepared = spread(prepare_leads(raw, row_number), idle_cores(raw) if from_files else 0)
     dimension = country_dimension(spark, countries)
-    written = staging.write(
-        normalize_leads(prepare_leads(raw, row_number), dimension), "normalized"
-    )
+    written = staging.write(normalize_leads(prepared, dimension), "normalized")
     normalized = written
     if POSITION in written.columns:
         offsets = staging.write(split_offsets(written), "offsets")

@@ -34,10 +34,10 @@ def clean_from_merged(
         enriched = enrich_leads(merged, normalized=True)
     else:
         enriched = enrich(merged)
-    # A provider's answers are text of any kind, so they are cleaned before scoring.
-    scored = score_leads(enriched, SCORING_RULES if rules is None else rules,
-                         normalized=enrich is None)
-    return finalize_leads(scored)
+    # A provider's answers are text of any kind, so blanks among them are looked for.
+    normalized = enrich is None
+    scored = score_leads(enriched, SCORING_RULES if rules is None else rules, normalized)
+    return finalize_leads(scored, normalized)
 
 
 def prepare_all(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +34,24 @@ def read_csv_leads(spark: SparkSession, path: str | list[str], multiline: bool =
     )
 
 
+def idle_cores(scan: DataFrame) -> int:
+    """How many cores there are, when a scan has fewer tasks than that, else 0.
+
+    For a frame that only reads files, whose tasks are known without running anything.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return cores if scan.rdd.getNumPartitions() < cores else 0
+
+
+def spread(rows: DataFrame, cores: int, key: str = ROW_NUMBER) -> DataFrame:
+    """Deal the rows of a few tasks out to ``cores`` by a unique key; 0 leaves them in place.
+
+    One small or unsplittable file would otherwise keep one core busy with all the text work.
+    An input with a task for each core, which any big one has, is never shuffled for this.
+    """
+    return rows.repartition(cores, key) if cores else rows
+
+
 def check_contract(df: DataFrame) -> None:
     """Fail before any job runs when a contract column is missing."""
     missing = [c for c in RAW_TO_LEAD if c not in df.columns]
@@ -55,10 +72,10 @@ def prepare_leads(raw: DataFrame, row_number: Column | str | None = None) -> Dat
         key = F.col(row_number) if isinstance(row_number, str) else row_number
         identity = [key.cast("bigint").alias(ROW_NUMBER)]
     else:
-        position = _named(POSITION) if POSITION in raw.columns else _plan_position(raw)
+        anywhere = F.struct(F.lit("").alias("file"), F.lit(0).cast("bigint").alias("split"))
         identity = [
-            (F.monotonically_increasing_id() + 1).alias(ROW_NUMBER),
-            position.alias(POSITION),
+            F.monotonically_increasing_id().alias(ROW_NUMBER),
+            (_named(POSITION) if POSITION in raw.columns else anywhere).alias(POSITION),
         ]
     prepared = raw.select(*identity, *renamed, _named("Email").alias("raw_email"))
     prepared = with_missing_as_null(prepared, LEAD_FIELDS)
@@ -72,12 +89,13 @@ def number_rows(written: DataFrame, offsets: DataFrame, splits: int) -> DataFram
     input split and is broadcast while ``splits``, its counted size, is bounded; beyond that
     the join shuffles by split, and no split is bigger than one task's input.
     """
-    rows = written.withColumns({"_split": F.col(POSITION).getField("split"),
-                                "_file": F.col(POSITION).getField("file")})
+    rows = written.withColumns(_split_key())
     side = F.broadcast(offsets) if splits <= MAX_BROADCAST_SPLITS else offsets
-    numbered = rows.join(side, ["_file", "_split"])
+    numbered = rows.join(side, list(_split_key()))
     dense = F.col("_before") + F.col(ROW_NUMBER) - F.col("_first") + 1
-    return numbered.withColumn(ROW_NUMBER, dense).drop("_before", "_first", "_file", "_split", POSITION)
+    return numbered.withColumn(ROW_NUMBER, dense).drop(
+        "_before", "_first", *_split_key(), POSITION
+    )
 
 
 def split_offsets(written: DataFrame) -> DataFrame:
@@ -86,13 +104,26 @@ def split_offsets(written: DataFrame) -> DataFrame:
     The running total goes through one task, over one small row per split (800,000 rows for
     100 TB in splits of 128 MB), never over the leads.
     """
-    per_split = written.groupBy(
-        F.col(POSITION).getField("file").alias("_file"),
-        F.col(POSITION).getField("split").alias("_split"),
-    ).agg(F.count(F.lit(1)).alias("_rows"), F.min(ROW_NUMBER).alias("_first"))
-    before = Window.orderBy("_file", "_split").rowsBetween(Window.unboundedPreceding, -1)
+    key = _split_key()
+    per_split = written.groupBy(*[c.alias(name) for name, c in key.items()]).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(ROW_NUMBER).alias("_first")
+    )
+    before = Window.orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
     total = F.coalesce(F.sum("_rows").over(before), F.lit(0))
-    return per_split.select("_file", "_split", "_first", total.alias("_before"))
+    return per_split.select(*key, "_first", total.alias("_before"))
+
+
+def _split_key() -> dict[str, Column]:
+    """What a run of successive ids belongs to: a split of a file, read by one task.
+
+    The task is in the upper bits of the id.
+    """
+    position = F.col(POSITION)
+    return {
+        "_file": position.getField("file"),
+        "_split": position.getField("split"),
+        "_task": F.shiftright(F.col(ROW_NUMBER), 33),
+    }
 
 
 def _named(column: str) -> Column:
@@ -104,12 +135,3 @@ def _file_position() -> Column:
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
     ).alias(POSITION)
-
-
-def _plan_position(raw: DataFrame) -> Column:
-    """Position by file where the frame reads files, by partition otherwise."""
-    try:
-        raw.select("_metadata.file_path")
-        return _file_position()
-    except AnalysisException:
-        return F.struct(F.lit("").alias("file"), F.spark_partition_id().cast("bigint").alias("split"))
