@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -50,7 +50,7 @@ from leadmill.operators.provider import (  # noqa: E402
     join_answers,
 )
 from leadmill.plans import Staging, clean_from_merged  # noqa: E402
-from leadmill.schema import ROW_NUMBER  # noqa: E402
+from leadmill.schema import NORMALIZED_COLUMNS, ROW_NUMBER  # noqa: E402
 from leadmill.sources.countries import country_dimension  # noqa: E402
 from leadmill.sources.leads import prepare_leads  # noqa: E402
 
@@ -98,9 +98,11 @@ def _with_reasons_as_text(df: DataFrame) -> DataFrame:
     return df.withColumn("score_reasons", reasons_text("score_reasons", kind))
 
 
-def _over(stage: Query, *columns) -> Query:
-    """The row number and some columns over a stage."""
-    return lambda spark, tables: stage(spark, tables).select(ROW_NUMBER, *columns)
+def _over(stage: Query, *kept: str, **made: Callable[[], Column]) -> Query:
+    """The row number, some columns of a stage and some made from them."""
+    return lambda spark, tables: stage(spark, tables).select(
+        ROW_NUMBER, *kept, *[make().alias(name) for name, make in made.items()]
+    )
 
 
 def normalize_text(spark: SparkSession, tables: str) -> DataFrame:
@@ -136,7 +138,9 @@ def rule_match(spark: SparkSession, tables: str) -> DataFrame:
 def provider_enrichment(spark: SparkSession, tables: str) -> DataFrame:
     details = {c: F.col("response").getField(c)
                for c in ("provider_record_found", "error_message", "attempts")}
-    return enrichment_of(answered(spark, tables).withColumns(details))
+    return enrichment_of(answered(spark, tables).withColumns(details)).select(
+        *NORMALIZED_COLUMNS, *ENRICHMENT_COLUMNS, *details
+    )
 
 
 def provider_scores(spark: SparkSession, tables: str) -> DataFrame:
@@ -184,18 +188,18 @@ def queries() -> dict[str, Query]:
     return {
         "prepare_leads": prepared,
         "normalize_text": normalize_text,
-        "normalize_email": _over(prepared, L.normalize_text("raw_email").alias("raw_email"),
-                                 L.normalize_email("email").alias("email")),
-        "normalize_phone": _over(prepared, L.normalize_phone("phone").alias("phone")),
-        "split_name": _over(prepared, L.normalize_text("full_name").alias("full_name"),
-                            L.first_name("full_name").alias("first_name"),
-                            L.last_name("full_name").alias("last_name")),
-        "normalize_date": _over(prepared, L.normalize_date("lead_date").alias("lead_date")),
+        "normalize_email": _over(prepared, raw_email=lambda: L.normalize_text("raw_email"),
+                                 email=lambda: L.normalize_email("email")),
+        "normalize_phone": _over(prepared, phone=lambda: L.normalize_phone("phone")),
+        "split_name": _over(prepared, full_name=lambda: L.normalize_text("full_name"),
+                            first_name=lambda: L.first_name("full_name"),
+                            last_name=lambda: L.last_name("full_name")),
+        "normalize_date": _over(prepared, lead_date=lambda: L.normalize_date("lead_date")),
         "country_dimension": country_matches,
         "normalize_country": lambda spark, tables: normalize_leads(
             prepared(spark, tables).withColumn("country_text", L.normalize_text("country"))
         ).select(ROW_NUMBER, "country_text", "country"),
-        "email_domain": _over(normalized, "email", L.email_domain("email").alias("email_domain")),
+        "email_domain": _over(normalized, "email", email_domain=lambda: L.email_domain("email")),
         "normalize_leads": normalized,
         "lead_completeness": lambda spark, tables: lead_completeness(
             normalized(spark, tables)).select(ROW_NUMBER, "completeness"),
@@ -204,15 +208,14 @@ def queries() -> dict[str, Query]:
         "merge_leads": merged,
         "rejected_duplicates": lambda spark, tables: duplicate_rejects(accepted(spark, tables)),
         "rejected_leads": rejected,
-        "enrich_industry": _over(merged, "company", "title", F.when(
-            F.col("company").isNotNull(), infer_industry("company", "title")).alias("industry")),
-        "enrich_size": _over(merged, "company", F.when(
-            F.col("company").isNotNull(), infer_company_size("company")).alias("company_size")),
-        "enrich_domain": _over(merged, "company", infer_company_domain("company").alias("company_domain")),
+        "enrich_industry": _over(merged, "company", "title", industry=lambda: F.when(
+            F.col("company").isNotNull(), infer_industry("company", "title"))),
+        "enrich_size": _over(merged, "company", company_size=lambda: F.when(
+            F.col("company").isNotNull(), infer_company_size("company"))),
+        "enrich_domain": _over(merged, "company",
+                               company_domain=lambda: infer_company_domain("company")),
         "enriched_leads": lambda spark, tables: enrich_leads(merged(spark, tables), normalized=True),
-        "provider_enrichment": lambda spark, tables: provider_enrichment(spark, tables).select(
-            *[f for f in merged(spark, tables).columns], *ENRICHMENT_COLUMNS,
-            "provider_record_found", "error_message", "attempts"),
+        "provider_enrichment": provider_enrichment,
         "provider_scores": provider_scores,
         "shared_requests": shared_requests,
         "rule_match": rule_match,

@@ -1,0 +1,128 @@
+import csv
+import json
+
+import pytest
+from pyspark import cloudpickle
+
+import leadmill
+from leadmill.example_provider import KeywordProvider
+from leadmill.plans import prepare_all, run_job
+from tests.leads import raw_frame
+
+cloudpickle.register_pickle_by_value(leadmill)
+
+HEADER = ["Name", "Email", "Title", "Company", "Phone", "Source", "Country", "Created At"]
+ROWS = [
+    ["maria  de la CRUZ", " Maria@Studio.ORG ", "Creative Operations Manager", "Nova Studio",
+     "(020) 7946-0018", "Web", "uk", "05/07/2025"],
+    ["ola", "ola@gmail.com", "CEO", "", "call me", "Event", "N/A", "12 days ago"],
+    ["   ", "no-at-sign", "Analyst", "Initrode", "5550101", "web", "US", "2025-01-02"],
+    ["maria cruz-lopez", "maria@studio.org", "Head", "Nova", "+44 20 7946 0018 ext 3", "", "Spain", "04-07-2025"],
+    ["Li Wei", "li.wei@corp.cn", "data analyst", "air inc", "+86 10 5550 0101", "Referral", "PRC", "20250109"],
+    ["", "maria@studio.org", "", "", "", "", "", ""],
+    ["Bob", "bob@corp.com\n", "Sales Lead", "Global Widgets", "", "Web", "Atlantis", "31-Dec-2024"],
+]
+CLEAN = {
+    1: ("Maria", "Cruz", "maria de la CRUZ", "maria@studio.org", "Creative Operations Manager", "Nova Studio",
+        "+442079460018", "Web", "United Kingdom", "2025-05-07", "agency", "mid_market", "novastudio.com",
+        "enriched", 46, ["creative_operations", "manager_lead", "industry_agency", "company_size_mid_market"], True),
+    2: ("Ola", None, "ola", "ola@gmail.com", "CEO", None, None, "Event", None, None, None, None, None,
+        "not_found", 7, ["executive", "penalty_free_email_domain", "penalty_missing_company"], False),
+    5: ("Li", "Wei", "Li Wei", "li.wei@corp.cn", "data analyst", "air inc", "+861055500101", "Referral", "China",
+        "2025-01-09", "unknown", "small_business", "airinc.com", "enriched", 8,
+        ["engineering", "company_size_small_business"], True),
+    7: ("Bob", None, "Bob", "bob@corp.com", "Sales Lead", "Global Widgets", None, "Web", "Atlantis", "2024-12-31",
+        "unknown", "enterprise", "globalwidgets.com", "enriched", 27,
+        ["sales", "manager_lead", "company_size_enterprise"], False),
+}
+REJECTED = {3: "missing_or_invalid_email", 4: "duplicate_email_merged", 6: "duplicate_email_merged"}
+
+
+@pytest.fixture
+def source(tmp_path):
+    path = tmp_path / "in"
+    path.mkdir()
+    # Two files, as the input of one day may come.
+    for name, rows in (("a.csv", ROWS[:4]), ("b.csv", ROWS[4:])):
+        with open(path / name, "w", newline="", encoding="utf-8") as f:
+            csv.writer(f).writerows([HEADER, *rows])
+    return str(path)
+
+
+def clean_rows(frame):
+    return {r.source_row_number: tuple(r)[1:] for r in frame.collect()}
+
+
+def test_job_from_files_to_tables(spark, source, tmp_path):
+    out = tmp_path / "out"
+    job = run_job(spark, source, str(out), csv_copies=True)
+    assert clean_rows(job.clean) == CLEAN
+    rejected = job.rejected.orderBy("source_row_number").collect()
+    assert {r.source_row_number: r.drop_reason for r in rejected} == REJECTED
+    assert (rejected[1].full_name, rejected[1].first_name, rejected[1].last_name, rejected[1].phone,
+            rejected[1].country, rejected[1].lead_date, rejected[1].raw_email) == (
+        "maria cruz-lopez", "Maria", "Cruz-Lopez", "+442079460018", "Spain", "2025-07-04", "maria@studio.org")
+    assert {r.Source_Row_Number__c for r in job.crm.collect()} == {1, 5}
+    assert job.normalized.count() == 7 and job.attempts is None
+
+    report = json.loads(next((out / "summary_report").glob("part-*")).read_text())
+    assert report == {
+        "raw_rows": 7, "clean_rows": 4, "rejected_rows": 3, "salesforce_ready_rows": 2,
+        "clean_but_not_salesforce_ready_rows": 2, "average_lead_score": 22.0,
+        "percent_enriched_from_raw": 3 / 7 * 100,
+        "enrichment_status_counts": {"enriched": 3, "not_found": 1},
+        "rejection_reason_counts": {"duplicate_email_merged": 2, "missing_or_invalid_email": 1},
+    }
+    crm = spark.read.options(header=True, escape='"', multiLine=True).csv(str(out / "crm_export"))
+    assert {(r.Email, r.Phone) for r in crm.collect()} == {
+        ("maria@studio.org", "+442079460018"), ("li.wei@corp.cn", "+861055500101")}
+    copies = spark.read.options(header=True, escape='"', multiLine=True)
+    assert copies.csv(str(out / "clean_leads_csv")).count() == 4
+    assert copies.csv(str(out / "rejected_leads_csv")).count() == 3
+
+
+def test_job_with_a_provider_asks_once_and_keeps_the_attempts(spark, source, tmp_path):
+    job = run_job(spark, source, str(tmp_path / "out"), make_provider=KeywordProvider)
+    clean = clean_rows(job.clean)
+    assert {n: row for n, row in clean.items() if n != 5} == {n: row for n, row in CLEAN.items() if n != 5}
+    assert clean[5][10:] == (None, None, None, "failed", 0,
+                             ["engineering", "penalty_failed_enrichment"], True)
+    failed = job.attempts.filter("response.enrichment_status = 'failed'").collect()
+    assert [(r.email, r.response.attempts) for r in failed] == [("li.wei@corp.cn", 3)]
+
+
+def test_job_from_a_table_with_its_own_row_number(spark, tmp_path):
+    raw = raw_frame(spark, {}, {"Email": "x"}, {}).selectExpr("n * 10 AS n", "* except(n)")
+    job = run_job(spark, raw, str(tmp_path / "out"), row_number="n", rules={"base_score": 4},
+                  countries=[{"canonical_name": "Home", "aliases": ["usa"]}], ready_only=False)
+    row = job.clean.first()
+    assert (job.clean.count(), row.source_row_number, row.lead_score, row.country) == (1, 10, 4, "Home")
+    assert {r.source_row_number for r in job.rejected.collect()} == {20, 30}
+
+
+def test_job_with_no_rows_and_with_rejects_only(spark, tmp_path):
+    empty = run_job(spark, raw_frame(spark, {}).limit(0), str(tmp_path / "a"), row_number="n")
+    assert empty.summary.first().raw_rows == 0 and empty.clean.count() == 0
+    bad = run_job(spark, raw_frame(spark, {"Email": "@"}, {"Email": None}), str(tmp_path / "b"))
+    assert (bad.clean.count(), bad.rejected.count(), bad.crm.count()) == (0, 2, 0)
+    assert bad.summary.first().percent_enriched_from_raw == 0.0
+
+
+def test_job_does_not_overwrite_unless_told(spark, source, tmp_path):
+    out = str(tmp_path / "out")
+    run_job(spark, source, out)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        run_job(spark, source, out)
+    assert clean_rows(run_job(spark, source, out, mode="overwrite").clean) == CLEAN
+
+
+def test_lazy_plan_gives_the_same_and_nothing_is_lost(spark):
+    raw = spark.createDataFrame([(n, *[c if c != "N/A" else None for c in row]) for n, row in enumerate(ROWS, 1)],
+                                "n long, " + ", ".join(f"`{c}` string" for c in HEADER))
+    clean, rejected, summary = prepare_all(raw, "n")
+    assert clean_rows(clean) == CLEAN
+    assert {r.source_row_number: r.drop_reason for r in rejected.collect()} == REJECTED
+    row = summary.first()
+    assert row.raw_rows == row.clean_rows + row.rejected_rows == 7
+    assert clean.select("email").distinct().count() == clean.count()
+    assert clean.filter("lead_score < 0 OR lead_score > 100").count() == 0
