@@ -15,6 +15,7 @@ from leadmill.fixed_values import (
     UNKNOWN_INDUSTRY,
 )
 from leadmill.functions.text import col, normalize_text
+from leadmill.schema import column_or_null
 
 
 def _first_label(*lookups: tuple[Column, list[tuple[str, list[str]]]], default: str) -> Column:
@@ -50,8 +51,8 @@ def enrich_leads(df: DataFrame, normalized: bool = False) -> DataFrame:
 
     ``normalized`` says that the text is clean already, as it is after the merge.
     """
-    clean = {c: F.col(c) if normalized else normalize_text(c) for c in ("company", "title")}
-    known = df.withColumns({"_company": clean["company"], "_title": clean["title"]})
+    given = {c: column_or_null(df, c) for c in ("company", "title")}
+    known = df.withColumns({f"_{c}": v if normalized else normalize_text(v) for c, v in given.items()})
     found = F.col("_company").isNotNull()
     return known.withColumns({
         "industry": F.when(found, infer_industry("_company", "_title")),

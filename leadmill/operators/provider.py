@@ -85,7 +85,8 @@ def provider_responses(
     """
     if max_attempts < 1:
         raise ValueError("max_attempts must be at least 1")
-    asked = [c for c in [*REQUEST_FIELDS, ROW_NUMBER] if c in requests.columns]
+    blank = dict.fromkeys([*REQUEST_FIELDS, ROW_NUMBER])
+    asked = [c for c in blank if c in requests.columns]
     schema = T.StructType([*requests.schema.fields, T.StructField("response", RESPONSE)])
     response_type = pa.struct([
         *[(c, pa.string()) for c in ENRICHMENT_COLUMNS],
@@ -99,7 +100,7 @@ def provider_responses(
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         provider = make_provider()
         for batch in batches:
-            answers = [call_with_retry(provider, request, max_attempts)
+            answers = [call_with_retry(provider, {**blank, **request}, max_attempts)
                        for request in batch.select(asked).to_pylist()]
             for answer in answers:
                 answer["raw_payload"] = list(answer["raw_payload"].items())
@@ -125,11 +126,12 @@ def enrich_with_provider(
     partitions: int | None = None,
 ) -> DataFrame:
     """One request per lead, in place: no shuffle, no join. Request text is normalised."""
-    clean = leads.withColumns({f"_{c}": F.col(c) for c in REQUEST_FIELDS}).withColumns(
-        {c: normalize_text(c) for c in REQUEST_FIELDS}
+    given = [c for c in REQUEST_FIELDS if c in leads.columns]
+    clean = leads.withColumns({f"_{c}": F.col(c) for c in given}).withColumns(
+        {c: normalize_text(c) for c in given}
     )
     answered = enrichment_of(provider_responses(clean, make_provider, max_attempts, partitions))
-    original = {c: F.col(f"_{c}") for c in REQUEST_FIELDS}
+    original = {c: F.col(f"_{c}") for c in given}
     return answered.withColumns(original).select(*leads.columns, *ENRICHMENT_COLUMNS)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from leadmill.fixed_values import FAILED, FREE_MAIL_DOMAINS
 from leadmill.functions.contact import email_domain
 from leadmill.functions.text import SPACE, WORD, casefold, col, normalize_text
+from leadmill.schema import column_or_null
 
 
 class CompiledRule(NamedTuple):
@@ -89,7 +90,8 @@ def score_leads(df: DataFrame, rules: dict, normalized: bool = False) -> DataFra
     penalties = {k: int(v) for k, v in rules.get("penalties", {}).items()}
 
     def clean(c: str) -> Column:
-        return F.col(c) if normalized else normalize_text(c)
+        given = column_or_null(df, c)
+        return given if normalized else normalize_text(given)
 
     title = F.trim(F.regexp_replace(casefold(clean("title")), f"[{SPACE}]+", " "))
     matched = df.withColumns({

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,5 +35,10 @@ REJECTED_LEAD = struct_of([*NORMALIZED_COLUMNS, "drop_reason"])
 
 def with_missing_as_null(df: DataFrame, columns: list[str]) -> DataFrame:
     """Append the columns of the contract that ``df`` lacks, as typed nulls."""
-    absent = {c: F.lit(None).cast(type_of(c)) for c in columns if c not in df.columns}
+    absent = {c: column_or_null(df, c) for c in columns if c not in df.columns}
     return df.withColumns(absent) if absent else df
+
+
+def column_or_null(df: DataFrame, column: str) -> Column:
+    """The column, or a typed null where ``df`` lacks it."""
+    return F.col(column) if column in df.columns else F.lit(None).cast(type_of(column))

@@ -107,6 +107,13 @@ def test_request_text_is_cleaned_but_the_lead_is_not_changed(spark):
     assert (row.company, row.company_domain) == ("  Acme   Studio ", "acmestudio.com")
 
 
+def test_columns_that_are_absent_are_asked_for_as_null(spark):
+    frame = spark.createDataFrame([(1, "Acme Studio")], "id int, company string")
+    row = enrich_with_provider(frame, KeywordProvider, partitions=2).first()
+    assert row == enrich_leads(frame).first()
+    assert row.company_domain == "acmestudio.com"
+
+
 def test_empty_input_gains_the_columns(spark):
     empty = enrich_with_provider(leads(spark).limit(0), KeywordProvider)
     assert empty.count() == 0 and empty.columns[-4:] == ENRICHMENT_COLUMNS
@@ -127,5 +134,7 @@ def test_shared_requests_are_asked_once_and_answered_to_all(spark, monkeypatch,
         provider_responses(distinct_requests(many, by), KeywordProvider), "answers")
     assert answers.count() == 1002
     joined = enrichment_of(join_answers(many, answers, 1002, 3000, by))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert joined.columns == [*many.columns, *ENRICHMENT_COLUMNS]
     assert sorted(map(str, joined.collect())) == sorted(map(str, enrich_leads(many).collect()))

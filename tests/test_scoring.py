@@ -66,6 +66,12 @@ def test_clean_text_may_be_declared(spark):
     assert scored(spark, normalized=True, **fields) == scored(spark, **fields)
 
 
+def test_columns_that_are_absent_count_as_empty(spark):
+    row = score_leads(spark.createDataFrame([("CEO",)], "title string"), SCORING_RULES).first()
+    assert (row.lead_score, row.score_reasons) == (12, ["executive", "penalty_missing_company"])
+    assert enrich_leads(spark.createDataFrame([("x",)], "email string")).first().enrichment_status == "not_found"
+
+
 def test_empty_input_gains_typed_columns(spark):
     result = score_leads(spark.createDataFrame([], SCHEMA), SCORING_RULES)
     assert dict(result.dtypes)["lead_score"] == "int"
