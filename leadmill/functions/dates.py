@@ -14,7 +14,8 @@ _ZONE = r"(?: ?(?:Z|[+-]\d{2}:?\d{2}))?"
 # They are tried in order, so the more special form comes first.
 _FORMS = [
     # Year first, with a time or not: the date as written counts, whatever the zone.
-    rf"Y((?!0000)\d{{4}})[-/]M(\d{{1,2}}|\p{{L}}+)[-/]D(\d{{1,2}})(?:[T ]{_CLOCK}{_ZONE})?",
+    *[rf"Y((?!0000)\d{{4}}){sign}M(\d{{1,2}}|\p{{L}}+){sign}D(\d{{1,2}})(?:[T ]{_CLOCK}{_ZONE})?"
+      for sign in "-/"],
     # Slashes: month first, unless the first number cannot be a month.
     r"D(1[3-9]|[2-9]\d)/M(\d{1,2})/Y((?!0000)\d{4})",
     r"M(\d{1,2})/D(\d{1,2})/Y((?!0000)\d{4})",

@@ -117,6 +117,8 @@ def test_names(spark):
     ("5 March 2025", "2025-03-05"),
     ("20250305", "2025-03-05"),
     ("20251305", None),
+    ("2025-Mar-05", "2025-03-05"),
+    ("2025-03/05", None),
     ("0000-01-01", None),
     ("12025-01-01", None),
     ("+12025-1-1", None),
