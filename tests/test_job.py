@@ -1,5 +1,8 @@
 import csv
 import json
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark import cloudpickle
@@ -126,3 +129,19 @@ def test_lazy_plan_gives_the_same_and_nothing_is_lost(spark):
     assert row.raw_rows == row.clean_rows + row.rejected_rows == 7
     assert clean.select("email").distinct().count() == clean.count()
     assert clean.filter("lead_score < 0 OR lead_score > 100").count() == 0
+
+
+def test_submitted_script(source, tmp_path):
+    rules = tmp_path / "rules.json"
+    rules.write_text('{"base_score": 11}')
+    out = tmp_path / "out"
+    root = Path(__file__).resolve().parent.parent
+    command = [sys.executable, str(root / "submit_job.py"), source, "--output", str(out),
+               "--rules", str(rules), "--all-leads", "--csv-copies"]
+    subprocess.run(command, check=True, timeout=300, cwd=root, capture_output=True)
+    with open(next((out / "crm_export").glob("part-*")), newline="", encoding="utf-8") as f:
+        scores = {row["Email"]: row["Lead_Score__c"] for row in csv.DictReader(f)}
+    assert scores["li.wei@corp.cn"] == "11" and len(scores) == 4
+    assert {p.name for p in out.iterdir()} == {
+        "clean_leads", "rejected_leads", "crm_export", "summary", "summary_report",
+        "clean_leads_csv", "rejected_leads_csv"}
