@@ -29,9 +29,10 @@ RESPONSE = T.StructType([
 
 # Answers up to this many rows may be broadcast to the leads that asked alike.
 MAX_BROADCAST_ANSWERS = 500_000
-# A request shared by more than this part of all leads is spread; there are at most 1000 such.
-HOT_SHARE = 0.001
-SPREAD = 64
+# Leads that one copy of an answer may serve when the answers are shuffled.
+LEADS_PER_COPY = 1_000_000
+# Most requests that may need several copies; their list is broadcast.
+MAX_HOT_REQUESTS = 500_000
 
 
 class TransientProviderError(Exception):
@@ -150,9 +151,10 @@ def join_answers(
     """Give each lead the answer to its request (nulls are equal), with the row counts known.
 
     ``answers`` is :func:`distinct_requests` put through a provider and written. Few answers
-    are broadcast. Otherwise the join shuffles: requests of more than a thousandth of all
-    leads are copied under 64 salts and their leads dealt out over these; the list of such
-    requests has at most 1000 rows and is broadcast.
+    are broadcast. Otherwise the join shuffles, and a request made by very many leads gets a
+    copy of its answer per million of them, over which its leads are dealt out. There cannot be
+    more such requests than leads divided by the least number of leads they have, which bounds
+    the list that is broadcast.
     """
     names = {c: f"_key_{c}" for c in by}
     right = answers.select(*[F.col(c).alias(n) for c, n in names.items()], "response", "leads")
@@ -163,18 +165,21 @@ def join_answers(
     if answer_rows <= MAX_BROADCAST_ANSWERS:
         return leads.join(F.broadcast(right), same, "left").drop(*spare)
 
-    hot = F.col("leads") > F.lit(lead_rows) * HOT_SHARE
-    hot_keys = answers.filter(hot).select(*[F.col(c).alias(f"_hot_{c}") for c in by],
-                                          F.lit(True).alias("_hot"))
+    least = max(LEADS_PER_COPY, lead_rows // MAX_HOT_REQUESTS)
+    hot = F.col("leads") > least
+    copies = F.ceil(F.col("leads") / F.lit(LEADS_PER_COPY)).cast("int")
+    hot_requests = answers.filter(hot).select(
+        *[F.col(c).alias(f"_hot_{c}") for c in by], copies.alias("_copies")
+    )
     is_hot: Column = F.lit(True)
     for c in by:
         is_hot = is_hot & F.col(c).eqNullSafe(F.col(f"_hot_{c}"))
-    dealt = leads.join(F.broadcast(hot_keys), is_hot, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(ROW_NUMBER), F.lit(SPREAD))).otherwise(0)
+    dealt = leads.join(F.broadcast(hot_requests), is_hot, "left").withColumn(
+        "_salt", F.coalesce(F.pmod(F.xxhash64(ROW_NUMBER), F.col("_copies")), F.lit(0)).cast("int")
     )
     copied = right.withColumn(
         "_copy",
-        F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))),
+        F.explode(F.when(hot, F.sequence(F.lit(0), copies - 1)).otherwise(F.array(F.lit(0)))),
     )
     joined = dealt.join(copied, same & (F.col("_salt") == F.col("_copy")), "left")
-    return joined.drop(*spare, "_salt", "_copy", "_hot", *[f"_hot_{c}" for c in by])
+    return joined.drop(*spare, "_salt", "_copy", "_copies", *[f"_hot_{c}" for c in by])

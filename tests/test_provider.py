@@ -124,6 +124,7 @@ def test_shared_requests_are_asked_once_and_answered_to_all(spark, monkeypatch,
     """A third of the leads make one request, another third make one without a company."""
     if not few_answers:
         monkeypatch.setattr(provider_module, "MAX_BROADCAST_ANSWERS", 0)
+        monkeypatch.setattr(provider_module, "LEADS_PER_COPY", 50)
     numbers = spark.range(1, 3001).select(F.col("id").alias("source_row_number"))
     company = F.when(F.col("source_row_number") % 3 == 0, F.lit("Acme Studio")).when(
         F.col("source_row_number") % 3 == 1, F.concat(F.lit("Co "), F.col("source_row_number")))
