@@ -26,15 +26,26 @@ def _folded(text: str) -> str:
     return " ".join(str(text).casefold().split())
 
 
-def _whole_word(keyword: str) -> str:
-    """Regex for the keyword between word boundaries, whatever script its ends are in."""
-    def edge(char: str, behind: bool) -> str:
-        in_word = char == "_" or char.isalnum()
-        return f"(?{'<' if behind else ''}{'!' if in_word else '='}[{WORD}])"
+def _quoted(keyword: str) -> str:
+    """The keyword taken literally; an end mark inside it is quoted on its own."""
+    return r"\Q" + keyword.replace(r"\E", r"\E\\E\Q") + r"\E"
 
-    # \Q...\E quoting; a literal \E inside would end it, so it is split around.
-    quoted = r"\Q" + keyword.replace(r"\E", r"\E\\E\Q") + r"\E"
-    return edge(keyword[0], True) + quoted + edge(keyword[-1], False)
+
+def _whole_words(keywords: Sequence[str]) -> str:
+    """Regex for any of the keywords between word boundaries, whatever the script.
+
+    A keyword that begins with a word character must follow none, one that begins with a sign
+    must follow one, and likewise at the end. Keywords with the same kind of ends share the
+    look-around, which is then tried once per place in the text.
+    """
+    by_ends: dict[tuple[str, str], list[str]] = {}
+    for keyword in keywords:
+        in_word = [c == "_" or c.isalnum() for c in (keyword[0], keyword[-1])]
+        ends = (f"(?<{'!' if in_word[0] else '='}[{WORD}])", f"(?{'!' if in_word[1] else '='}[{WORD}])")
+        by_ends.setdefault(ends, []).append(_quoted(keyword))
+    return "|".join(
+        f"{before}(?:{'|'.join(words)}){after}" for (before, after), words in by_ends.items()
+    )
 
 
 def compile_rules(rules: Sequence[dict]) -> list[CompiledRule]:
@@ -42,7 +53,7 @@ def compile_rules(rules: Sequence[dict]) -> list[CompiledRule]:
     compiled = []
     for rule in rules:
         words = [w for w in map(_folded, rule.get("keywords", [])) if w]
-        pattern = "|".join(map(_whole_word, words)) if words else None
+        pattern = _whole_words(words) if words else None
         compiled.append(CompiledRule(str(rule["name"]), int(rule["score"]), pattern))
     return compiled
 

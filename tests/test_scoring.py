@@ -92,6 +92,8 @@ def test_empty_input_gains_typed_columns(spark):
     (["ceo"], "écéo ceoé", False),
     (["ceo"], "ceo_x", False),
     ([r"a\Eb"], r"x a\Eb y", True),
+    (["c++", "dev"], "the dev", True),
+    (["c++", "dev"], "c++x", True),
     (["", "  "], "anything", False),
     ([], "anything", False),
 ])
