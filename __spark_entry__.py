@@ -54,6 +54,19 @@ from leadmill.schema import NORMALIZED_COLUMNS, ROW_NUMBER  # noqa: E402
 from leadmill.sources.countries import country_dimension  # noqa: E402
 from leadmill.sources.leads import prepare_leads  # noqa: E402
 
+try:  # these may be taken away as a whole; the other queries do not need them
+    import corpus_pipeline
+    from leadmill.llm.queries import ORACLE_SQL as LLM_ORACLES
+    from leadmill.llm.queries import QUERIES as LLM_QUERIES
+except ModuleNotFoundError as absent:
+    if absent.name not in ("corpus_pipeline", "leadmill.llm", "leadmill.llm.queries"):
+        raise
+    LLM_QUERIES, LLM_ORACLES = {}, {}
+else:
+    LLM_QUERIES = LLM_QUERIES | {"pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL is not None:
+        LLM_ORACLES = LLM_ORACLES | {"pipeline": corpus_pipeline.ORACLE_SQL}
+
 # Python workers get the package with the task, so it need not be installed where they run.
 cloudpickle.register_pickle_by_value(leadmill)
 
@@ -226,8 +239,9 @@ def queries() -> dict[str, Query]:
         "summary_scalars": summary_scalars,
         "status_counts": lambda spark, tables: status_counts(clean(spark, tables)),
         "reason_counts": lambda spark, tables: reason_counts(rejected(spark, tables)),
+        **LLM_QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    return oracles.oracle_sql() | LLM_ORACLES
