@@ -23,6 +23,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from leadmill.llm.shared import pick, pieces
 
@@ -239,7 +240,8 @@ def encode_pieces(df: DataFrame, model: str, id_column: str = "doc_id", text: st
     ``model`` is the path of a model file on every executor.
     """
     rows = pick(df, id_column, text)
-    schema = rows.select(id_column).schema.add("token_ids", "array<int>", False).add("decoded", "string", False)
+    schema = T.StructType([rows.schema[id_column], T.StructField("token_ids", T.ArrayType(T.IntegerType())),
+                           T.StructField("decoded", T.StringType())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(model)
