@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadmill.llm.language_id import fit_languages, identify_languages, training_rows
 from leadmill.llm.piece_codec import encode_pieces
+from leadmill.llm.quality_rules import apply_rules, document_statistics, fit_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,8 +31,27 @@ def op4_pieces(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+def op8_language(spark: SparkSession, tables: str) -> DataFrame:
+    docs = table(spark, tables, "documents")
+    # A row without an id is neither held out nor learned from.
+    remainder = "crc32(cast(doc_id AS string)) % 4"
+    model = fit_languages(training_rows(docs, f"{remainder} != 2"))
+    return identify_languages(docs, model).select(
+        "doc_id", F.coalesce(F.expr(f"{remainder} = 2"), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op9_quality(spark: SparkSession, tables: str) -> DataFrame:
+    docs = table(spark, tables, "documents")
+    rules = fit_rules(docs, table(spark, tables, "labels"))
+    return apply_rules(document_statistics(docs), rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "failed_rule")
+
+
 QUERIES: dict[str, Query] = {
     "op4_pieces": op4_pieces,
+    "op8_language": op8_language,
+    "op9_quality": op9_quality,
 }
 
 # Statements for the queries that SQL can express.
