@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadmill.llm.language_id import fit_languages, identify_languages, training_rows
+from leadmill.llm.ngram_join import near_duplicates
 from leadmill.llm.piece_codec import encode_pieces
 from leadmill.llm.quality_rules import apply_rules, document_statistics, fit_rules
 
@@ -31,6 +32,10 @@ def op4_pieces(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+def op7_ngram_join(spark: SparkSession, tables: str) -> DataFrame:
+    return near_duplicates(table(spark, tables, "documents"))
+
+
 def op8_language(spark: SparkSession, tables: str) -> DataFrame:
     docs = table(spark, tables, "documents")
     # A row without an id is neither held out nor learned from.
@@ -50,6 +55,7 @@ def op9_quality(spark: SparkSession, tables: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_pieces": op4_pieces,
+    "op7_ngram_join": op7_ngram_join,
     "op8_language": op8_language,
     "op9_quality": op9_quality,
 }

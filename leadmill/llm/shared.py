@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 # Text that is worked on at a time inside a task, unless one text alone is longer.
 PIECE_BYTES = 4 << 20
+# The same where a task holds many numbers for each byte.
+HASHED_BYTES = 1 << 20
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
@@ -52,15 +54,16 @@ def _remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that a column of text holds at most PIECE_BYTES, or one row."""
+def pieces(batches: Iterator[pa.RecordBatch], column: str,
+           most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that a column of text holds at most so many bytes, or one row."""
     for batch in batches:
         text = batch.column(column)
         start = 0
         sizes = pa.compute.fill_null(pa.compute.binary_length(text), 0).to_pylist()
         held = 0
         for i, size in enumerate(sizes):
-            if i > start and held + size > PIECE_BYTES:
+            if i > start and held + size > most:
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += size
