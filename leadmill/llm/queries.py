@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadmill.llm.decontaminate import find_passages
 from leadmill.llm.language_id import fit_languages, identify_languages, training_rows
+from leadmill.llm.license_scan import BREAK, RULES, SENTENCES, scan_licenses, split_known
 from leadmill.llm.ngram_join import near_duplicates
 from leadmill.llm.piece_codec import encode_pieces
 from leadmill.llm.quality_rules import apply_rules, document_statistics, fit_rules
@@ -22,6 +24,10 @@ def table(spark: SparkSession, tables: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{tables}/{name}.parquet")
 
 
+def op2_decontamination(spark: SparkSession, tables: str) -> DataFrame:
+    return find_passages(table(spark, tables, "documents"), table(spark, tables, "benchmark"))
+
+
 def op4_pieces(spark: SparkSession, tables: str) -> DataFrame:
     encoded = encode_pieces(table(spark, tables, "documents"), PIECES_MODEL)
     return encoded.select(
@@ -32,6 +38,10 @@ def op4_pieces(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+def op6_licenses(spark: SparkSession, tables: str) -> DataFrame:
+    return scan_licenses(table(spark, tables, "documents"))
+
+
 def op7_ngram_join(spark: SparkSession, tables: str) -> DataFrame:
     return near_duplicates(table(spark, tables, "documents"))
 
@@ -54,11 +64,39 @@ def op9_quality(spark: SparkSession, tables: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_decontamination": op2_decontamination,
     "op4_pieces": op4_pieces,
+    "op6_licenses": op6_licenses,
     "op7_ngram_join": op7_ngram_join,
     "op8_language": op8_language,
     "op9_quality": op9_quality,
 }
 
+
+def _licenses_sql() -> str:
+    """Each rule takes its sentences out of the sequence that the rules before it have left."""
+    identifiers, parts = split_known(SENTENCES)
+    known = ", ".join(f"'{k}': '{v}'" for k, v in identifiers.items())
+    steps = [f"""
+        cut AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(coalesce(text, ''), '([.!?:;])[ \\t\\r\\f\\v]+',
+            '\\1' || chr(10), 'g'), chr(10) || '+', chr(10), 'g'), chr(10)) AS sentences FROM documents),
+        found AS (SELECT doc_id, list_filter(list_transform(sentences, lambda s:
+            (MAP {{{known}}})[trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))]), lambda i: i IS NOT NULL) AS ids FROM cut),
+        s0 AS (SELECT doc_id, ids, '|' || coalesce(array_to_string(ids, '||'), '') || '|' AS rest, 0 AS n,
+            CAST([] AS VARCHAR[]) AS names FROM found)"""]
+    for k, (name, needed) in enumerate(RULES):
+        wanted = "".join(f"|{i}|" for x in needed for i in parts[x])
+        steps.append(f"""
+        s{k + 1} AS (SELECT doc_id, ids, replace(rest, '{wanted}', '/') AS rest, n + hits AS n,
+            CASE WHEN hits > 0 THEN list_append(names, '{name}') ELSE names END AS names
+            FROM (SELECT *, (length(rest) - length(replace(rest, '{wanted}', ''))) // {len(wanted)} AS hits FROM s{k}))""")
+    return f"""WITH {",".join(steps)}
+        SELECT doc_id, coalesce(array_to_string(ids, ' '), '') AS sentence_ids,
+            coalesce(array_to_string(list_sort(list_distinct(names)), ' '), '') AS licenses,
+            CAST(n AS BIGINT) AS n_matches FROM s{len(RULES)}"""
+
+
 # Statements for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_licenses": _licenses_sql(),
+}
