@@ -14,6 +14,8 @@ from leadmill.llm.license_scan import BREAK, RULES, SENTENCES, scan_licenses, sp
 from leadmill.llm.ngram_join import near_duplicates
 from leadmill.llm.piece_codec import encode_pieces
 from leadmill.llm.quality_rules import apply_rules, document_statistics, fit_rules
+from leadmill.llm.secret_scan import labelled_candidates, scan_secrets, train_forest
+from leadmill.llm.shared import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +30,17 @@ def op2_decontamination(spark: SparkSession, tables: str) -> DataFrame:
     return find_passages(table(spark, tables, "documents"), table(spark, tables, "benchmark"))
 
 
+def op3_secrets(spark: SparkSession, tables: str) -> DataFrame:
+    docs = table(spark, tables, "documents")
+    forest = train_forest(staged(labelled_candidates(docs)))
+    return scan_secrets(docs.select("doc_id", "text"), forest).select(
+        "doc_id",
+        F.coalesce(F.size("secret_candidates"), F.lit(0)).cast("long").alias("n_candidates"),
+        F.size("secrets").cast("long").alias("n_secrets"),
+        "secrets",
+        F.sha2(F.coalesce("redacted", F.lit("")), 256).alias("redacted_sha256"))
+
+
 def op4_pieces(spark: SparkSession, tables: str) -> DataFrame:
     encoded = encode_pieces(table(spark, tables, "documents"), PIECES_MODEL)
     return encoded.select(
@@ -65,6 +78,7 @@ def op9_quality(spark: SparkSession, tables: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
+    "op3_secrets": op3_secrets,
     "op4_pieces": op4_pieces,
     "op6_licenses": op6_licenses,
     "op7_ngram_join": op7_ngram_join,
