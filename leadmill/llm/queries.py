@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadmill.llm.decontaminate import find_passages
+from leadmill.llm.fixity import audit
+from leadmill.llm.html_text import main_texts
 from leadmill.llm.language_id import fit_languages, identify_languages, training_rows
 from leadmill.llm.license_scan import BREAK, RULES, SENTENCES, scan_licenses, split_known
 from leadmill.llm.ngram_join import near_duplicates
@@ -51,6 +53,10 @@ def op4_pieces(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+def op5_main_text(spark: SparkSession, tables: str) -> DataFrame:
+    return main_texts(table(spark, tables, "pages"))
+
+
 def op6_licenses(spark: SparkSession, tables: str) -> DataFrame:
     return scan_licenses(table(spark, tables, "documents"))
 
@@ -76,14 +82,26 @@ def op9_quality(spark: SparkSession, tables: str) -> DataFrame:
         "base_failed", "kept", "failed_rule")
 
 
+def op10_fixity(spark: SparkSession, tables: str) -> DataFrame:
+    """The pages against a replica with damage: some texts changed, some cut, some records lost or doubled."""
+    pages = table(spark, tables, "pages").select("page_id", "url", "html")
+    damaged = F.when(F.col("page_id") % 97 == 3, F.concat("html", F.lit("!"))).when(
+        F.col("page_id") % 149 == 7, F.left("html", F.floor(F.length("html") / 2).cast("int"))).otherwise(F.col("html"))
+    replica = pages.filter("page_id % 199 != 11").select("page_id", "url", damaged.alias("html"))
+    doubled = pages.filter("page_id % 251 = 13")
+    return audit(pages, replica.unionByName(doubled))
+
+
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op3_secrets": op3_secrets,
     "op4_pieces": op4_pieces,
+    "op5_main_text": op5_main_text,
     "op6_licenses": op6_licenses,
     "op7_ngram_join": op7_ngram_join,
     "op8_language": op8_language,
     "op9_quality": op9_quality,
+    "op10_fixity": op10_fixity,
 }
 
 
@@ -112,5 +130,22 @@ def _licenses_sql() -> str:
 
 # Statements for the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
+    "op10_fixity": r"""
+        WITH original AS (SELECT page_id, url, html FROM pages),
+        replica AS (
+            SELECT page_id, url, CASE WHEN page_id % 97 = 3 THEN html || '!'
+                WHEN page_id % 149 = 7 THEN left(html, length(html) // 2) ELSE html END AS html
+            FROM pages WHERE page_id % 199 <> 11
+            UNION ALL SELECT page_id, url, html FROM pages WHERE page_id % 251 = 13),
+        a AS (SELECT page_id, list_sort(list(html)) AS texts, sum(128 + strlen(CAST(page_id AS VARCHAR)) + strlen(url)
+            + strlen(CAST(strlen(html) AS VARCHAR)) + strlen(html)) AS n FROM original GROUP BY page_id),
+        b AS (SELECT page_id, list_sort(list(html)) AS texts, sum(128 + strlen(CAST(page_id AS VARCHAR)) + strlen(url)
+            + strlen(CAST(strlen(html) AS VARCHAR)) + strlen(html)) AS n FROM replica GROUP BY page_id),
+        places AS (SELECT page_id, sum(n) OVER (PARTITION BY page_id // 4096 ORDER BY page_id) - n AS first_byte FROM a)
+        SELECT page_id, page_id // 4096 AS file, CAST(first_byte AS BIGINT) AS first_byte,
+            CAST(coalesce(a.n, 0) AS BIGINT) AS n_bytes, CAST(coalesce(b.n, 0) AS BIGINT) AS replica_bytes,
+            CASE WHEN b.texts IS NULL THEN 'missing' WHEN a.texts IS NULL THEN 'extra' ELSE 'changed' END AS state
+        FROM a FULL JOIN b USING (page_id) LEFT JOIN places USING (page_id)
+        WHERE a.texts IS DISTINCT FROM b.texts""",
     "op6_licenses": _licenses_sql(),
 }
