@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadmill.llm.components import components
-from leadmill.llm.shared import HASHED_BYTES, pick, pieces, staged
+from leadmill.llm.shared import BROADCAST_IDS, HASHED_BYTES, pick, pieces, staged
 from leadmill.llm.words import mix, shingle_hashes, shingle_sets, word_hashes
 
 # A shingle in more than this share of documents comes late in the order. At most the mean number of
@@ -51,8 +51,6 @@ COST_SAMPLE = 16
 COUNTED_TOGETHER = 4_000_000
 # Rounds of comparing with centres before what is left is compared in pairs.
 ROUNDS = 3
-# Representatives whose ids may be broadcast, eight bytes each.
-BROADCAST_IDS = 1_000_000
 
 
 def least_shared(size: int | np.ndarray, percent: int) -> int | np.ndarray:

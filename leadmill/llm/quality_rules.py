@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadmill.llm.shared import pick, pieces
 
@@ -64,17 +65,18 @@ def text_counts(text: str) -> tuple[int, ...]:
             _deleted(raw, b"0123456789"), raw.count(b"!"), raw.count(b"|"))
 
 
-def document_statistics(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The id and the COUNTS of every row."""
-    rows = pick(df, id_column, text)
-    schema = ", ".join([f"`{id_column}` {rows.schema[id_column].dataType.simpleString()}",
-                        *[f"{c} bigint" for c in COUNTS]])
+def document_statistics(df: DataFrame, id_column: str = "doc_id", text: str = "text",
+                        carried: tuple[str, ...] = ()) -> DataFrame:
+    """The id, the COUNTS and the ``carried`` columns of every row."""
+    names = [id_column, *[c for c in carried if c != id_column]]
+    rows = pick(df, *names, *[text] * (text not in names))
+    schema = T.StructType([rows.schema[c] for c in names] + [T.StructField(c, T.LongType()) for c in COUNTS])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, text):
             counted = [text_counts(t or "") for t in piece.column(text).to_pylist()]
             columns = [pa.array(c, pa.int64()) for c in zip(*counted, strict=True)]
-            yield pa.RecordBatch.from_arrays([piece.column(id_column), *columns], names=[id_column, *COUNTS])
+            yield pa.RecordBatch.from_arrays([*map(piece.column, names), *columns], names=[*names, *COUNTS])
 
     return rows.mapInArrow(count, schema)
 

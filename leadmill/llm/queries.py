@@ -43,9 +43,8 @@ def op3_secrets(spark: SparkSession, tables: str) -> DataFrame:
         F.sha2(F.coalesce("redacted", F.lit("")), 256).alias("redacted_sha256"))
 
 
-def op4_pieces(spark: SparkSession, tables: str) -> DataFrame:
-    encoded = encode_pieces(table(spark, tables, "documents"), PIECES_MODEL)
-    return encoded.select(
+def piece_digests(docs: DataFrame) -> DataFrame:
+    return encode_pieces(docs, PIECES_MODEL).select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("token_ids", ","), 256).alias("ids_sha256"),
@@ -53,6 +52,10 @@ def op4_pieces(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+def op4_pieces(spark: SparkSession, tables: str) -> DataFrame:
+    return piece_digests(table(spark, tables, "documents"))
+
+
 def op5_main_text(spark: SparkSession, tables: str) -> DataFrame:
     return main_texts(table(spark, tables, "pages"))
 

@@ -16,6 +16,9 @@ PIECE_BYTES = 4 << 20
 # The same where a task holds many numbers for each byte.
 HASHED_BYTES = 1 << 20
 
+# Ids that may be broadcast, eight bytes each.
+BROADCAST_IDS = 1_000_000
+
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """The named columns; others that differ by case only, or repeat a name, do no harm."""
@@ -23,6 +26,12 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return numbered.select(*[F.col(f"_{df.columns.index(name)}").alias(name) for name in names])
 
 
+def without_ids(df: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """The rows whose id is not among ``ids``, which are broadcast if they are few enough."""
+    few = ids.count() <= BROADCAST_IDS
+    return df.join(F.broadcast(ids) if few else ids, column, "left_anti")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which all executors and the driver see.
 
