@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadmill.llm.backoff_lm import BACKOFF, LEAST_COUNT, backoff_scores
 from leadmill.llm.decontaminate import find_passages
 from leadmill.llm.fixity import audit
 from leadmill.llm.html_text import main_texts
@@ -28,6 +29,11 @@ def table(spark: SparkSession, tables: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{tables}/{name}.parquet")
 
 
+def op1_backoff_scores(spark: SparkSession, tables: str) -> DataFrame:
+    """Log scores are rounded, since sums of floats depend on their order."""
+    return backoff_scores(table(spark, tables, "documents")).withColumn("log_score", F.round("log_score", 6))
+
+
 def op2_decontamination(spark: SparkSession, tables: str) -> DataFrame:
     return find_passages(table(spark, tables, "documents"), table(spark, tables, "benchmark"))
 
@@ -96,6 +102,7 @@ def op10_fixity(spark: SparkSession, tables: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_backoff_scores": op1_backoff_scores,
     "op2_decontamination": op2_decontamination,
     "op3_secrets": op3_secrets,
     "op4_pieces": op4_pieces,
@@ -133,6 +140,20 @@ def _licenses_sql() -> str:
 
 # Statements for the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
+    "op1_backoff_scores": rf"""
+        WITH cut AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        placed AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM cut),
+        pairs AS (SELECT *, lag(word) OVER (PARTITION BY doc_id ORDER BY place) AS before FROM placed),
+        ones AS (SELECT word, count(*) AS n FROM pairs GROUP BY word),
+        twos AS (SELECT before, word, count(*) AS n FROM pairs WHERE before IS NOT NULL GROUP BY ALL HAVING count(*) >= {LEAST_COUNT}),
+        scored AS (SELECT p.doc_id, CASE WHEN t.n IS NOT NULL THEN ln(t.n) - ln(b.n)
+            ELSE ln(o.n) - ln((SELECT sum(n) FROM ones)) + CASE WHEN p.before IS NULL THEN 0 ELSE ln({BACKOFF}) END END AS s
+            FROM pairs p JOIN ones o ON o.word = p.word LEFT JOIN ones b ON b.word = p.before
+            LEFT JOIN twos t ON t.before = p.before AND t.word = p.word),
+        sums AS (SELECT doc_id, count(*) AS n_words, sum(s) AS log_score FROM scored GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, round(coalesce(log_score, 0.0), 6) AS log_score
+        FROM documents LEFT JOIN sums USING (doc_id)""",
     "op10_fixity": r"""
         WITH original AS (SELECT page_id, url, html FROM pages),
         replica AS (
