@@ -53,7 +53,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with their secrets taken out of the text."""
     docs = pick(docs, *COLUMNS)
     forest = train_forest(staged(labelled_candidates(docs)))
-    scanned = scan_secrets(docs, forest)
+    scanned = scan_secrets(docs, forest, carried=tuple(COLUMNS))
     return scanned.withColumns({
         "text": F.col("redacted"),
         "n_chars": F.when(F.size("secrets") > 0, F.length("redacted").cast("long")).otherwise(F.col("n_chars")),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadmill.llm.shared import staged
+from leadmill.llm.shared import staged, unstage
 
 
 def _star(links: DataFrame, larger: bool) -> DataFrame:
@@ -35,6 +35,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         if seen == state or not seen[0]:
             break
         state = seen
-        now = staged(_star(_star(now, larger=True), larger=False))
+        before, now = now, staged(_star(_star(now, larger=True), larger=False))
+        unstage(before)
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadmill.llm.shared import HASHED_BYTES, pick, pieces
-from leadmill.llm.words import shingle_hashes, word_hashes
+from leadmill.llm.words import by_row, shingle_hashes, word_hashes
 
 WIDTH, SIMILARITY = 5, 0.8
 # At similarity 0.8 the hashes of two windows differ in about 10 of 64 bits, with a deviation of 3.
@@ -93,7 +93,7 @@ class BenchmarkIndex:
 
     def __init__(self, ids: list[int], texts: list[str]):
         shingles, upto = shingle_hashes(*word_hashes(pa.array(texts, pa.string())), WIDTH)
-        whole = [shingles[a:b] for a, b in zip([0, *upto[:-1]], upto, strict=True)]
+        whole = by_row(shingles, upto)
         self.known = np.unique(shingles)
         self.sieve = np.zeros(1 << 20, bool)
         self.sieve[self.known & np.uint64((1 << 20) - 1)] = True
@@ -152,8 +152,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[Broadcast]:
 
 
 def _found(index: BenchmarkIndex, text: pa.Array) -> list[dict[int, tuple[float, int, int]]]:
-    shingles, upto = shingle_hashes(*word_hashes(text), WIDTH)
-    return [index.matches(shingles[a:b]) for a, b in zip([0, *upto[:-1]], upto, strict=True)]
+    return [index.matches(s) for s in by_row(*shingle_hashes(*word_hashes(text), WIDTH))]
 
 
 def find_passages(df: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -186,12 +185,17 @@ def find_passages(df: DataFrame, benchmark: DataFrame, id_column: str = "doc_id"
 
 def without_passages(df: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows whose text holds no benchmark passage, with all their columns."""
+    place = df.columns.index(text)
+
     def keep(index: Broadcast):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for piece in pieces(batches, text, HASHED_BYTES):
-                yield piece.filter(pa.array([not found for found in _found(index.value, piece.column(text))]))
+            for piece in pieces(batches, place, HASHED_BYTES):
+                yield piece.filter(pa.array([not found for found in _found(index.value, piece.column(place))], pa.bool_()))
         return run
 
+    # Columns go by their places meanwhile, so that their names need not differ.
+    names = df.columns
+    kept = df.toDF(*[f"_{i}" for i in range(len(names))])
     for index in _blocks(benchmark):
-        df = df.mapInArrow(keep(index), df.schema)
-    return df
+        kept = kept.mapInArrow(keep(index), kept.schema)
+    return kept.toDF(*names)

@@ -121,6 +121,8 @@ class Scorer:
 def _logarithms(counted: dict[str, dict[str, int]], languages: list[str]) -> np.ndarray:
     """Log shares by row and language, a penalty where a language lacks the row; one row more for others."""
     counts = np.zeros((len(counted) + 1, len(languages)))
+    if not languages:
+        return counts.astype(np.float32)
     place = {name: i for i, name in enumerate(languages)}
     for row, by_language in enumerate(counted.values()):
         for name, n in by_language.items():

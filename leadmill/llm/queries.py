@@ -41,7 +41,7 @@ def op2_decontamination(spark: SparkSession, tables: str) -> DataFrame:
 def op3_secrets(spark: SparkSession, tables: str) -> DataFrame:
     docs = table(spark, tables, "documents")
     forest = train_forest(staged(labelled_candidates(docs)))
-    return scan_secrets(docs.select("doc_id", "text"), forest).select(
+    return scan_secrets(docs, forest).select(
         "doc_id",
         F.coalesce(F.size("secret_candidates"), F.lit(0)).cast("long").alias("n_candidates"),
         F.size("secrets").cast("long").alias("n_secrets"),

@@ -204,14 +204,16 @@ def _best_split(by_measure: dict[str, dict[int, tuple[int, int]]], cut_of: dict[
     return best
 
 
-def scan_secrets(df: DataFrame, forest: list[Node], text: str = "text") -> DataFrame:
-    """All columns, ``secret_candidates`` (array of token, measures and ``score``), ``secrets`` (array of
+def scan_secrets(df: DataFrame, forest: list[Node], text: str = "text",
+                 carried: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The ``carried`` columns and the text, ``secret_candidates`` (array of token, measures and ``score``), ``secrets`` (array of
     tokens) and ``redacted``, the text with ``[secret]`` in the place of each secret."""
     t = F.col(text)
     scored = F.transform("_candidates", lambda c: F.struct(
         c["token"].alias("token"), c["m"].alias("m"), (
             sum((tree.column(c["m"]) for tree in forest), F.lit(0.0)) / max(1, len(forest))).alias("score")))
-    with_scores = df.withColumn("_candidates", _candidates(t)).withColumn("secret_candidates", scored).drop("_candidates")
+    rows = pick(df, *carried, *[text] * (text not in carried))
+    with_scores = rows.withColumn("_candidates", _candidates(t)).withColumn("secret_candidates", scored).drop("_candidates")
     secret = F.filter("secret_candidates", lambda c: c["score"] >= SECRET_SCORE)
     # A text is its stretches between candidates, each followed by a candidate or what stands for it.
     pieces = F.split(t, CANDIDATE, -1)

@@ -48,22 +48,38 @@ def shared_folder(spark: SparkSession) -> str:
 def staged(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it back, which cuts the lineage.
 
-    The folder is removed when the driver's Python ends.
+    The folder is removed by :func:`unstage`, or else when the driver's Python ends.
     """
     spark, folder = df.sparkSession, shared_folder(df.sparkSession)
     df.write.parquet(folder)
-    atexit.register(_remove, spark, folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    written = spark.read.schema(df.schema).parquet(folder)
+    _folders[id(written)] = written, folder
+    return written
+
+
+# Tables that are there, by the identity of the frame that reads them.
+_folders: dict[int, tuple[DataFrame, str]] = {}
+
+
+def unstage(df: DataFrame) -> None:
+    """Remove a staged table that no plan reads any more."""
+    _, folder = _folders.pop(id(df))
+    _remove(df.sparkSession, folder)
+
+
+@atexit.register
+def _unstage_all() -> None:
+    for df, _ in list(_folders.values()):
+        if df.sparkSession.sparkContext._jsc is not None:  # else stopped before
+            unstage(df)
 
 
 def _remove(spark: SparkSession, folder: str) -> None:
-    if spark.sparkContext._jsc is None:  # stopped before
-        return
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str,
+def pieces(batches: Iterator[pa.RecordBatch], column: str | int,
            most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut so that a column of text holds at most so many bytes, or one row."""
     for batch in batches:

@@ -86,7 +86,13 @@ def shingle_hashes(words: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.
     return mix(made), upto
 
 
+def by_row(values: np.ndarray, upto: np.ndarray) -> list[np.ndarray]:
+    """The values of each row, given the numbers of values up to each row's end."""
+    bounds = [0, *upto.tolist()]
+    return [values[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
 def shingle_sets(text: pa.Array, width: int) -> list[np.ndarray]:
     """For each row its different shingles' hashes, ascending."""
     shingles, upto = shingle_hashes(*word_hashes(text), width)
-    return [np.unique(shingles[a:b]) for a, b in zip([0, *upto[:-1]], upto, strict=True)]
+    return [np.unique(s) for s in by_row(shingles, upto)]
