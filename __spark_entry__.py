@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -15,8 +16,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import leadmill  # noqa: E402
 import oracles  # noqa: E402
 from leadmill import functions as L  # noqa: E402
-from leadmill.driver_tables import raw_leads  # noqa: E402
-from leadmill.example_provider import KeywordProvider  # noqa: E402
+from leadmill.driver_tables import raw_leads, stored_attempts  # noqa: E402
 from leadmill.fixed_values import SCORING_RULES  # noqa: E402
 from leadmill.operators import (  # noqa: E402
     accept_leads,
@@ -29,13 +29,10 @@ from leadmill.operators import (  # noqa: E402
     lead_completeness,
     merge_leads,
     normalize_leads,
-    provider_responses,
-    reason_counts,
     reasons_text,
     reject_leads,
     score_leads,
     status_counts,
-    summary_report,
     surviving_rows,
 )
 from leadmill.operators.enrich import (  # noqa: E402
@@ -47,12 +44,23 @@ from leadmill.operators.provider import (  # noqa: E402
     ENRICHMENT_COLUMNS,
     distinct_requests,
     enrichment_of,
+    first_answers,
     join_answers,
 )
-from leadmill.plans import Staging, clean_from_merged  # noqa: E402
+from leadmill.plans import (  # noqa: E402
+    Staging,
+    clean_from_merged,
+    count_rejects,
+    summarize_leads,
+)
 from leadmill.schema import NORMALIZED_COLUMNS, ROW_NUMBER  # noqa: E402
 from leadmill.sources.countries import country_dimension  # noqa: E402
-from leadmill.sources.leads import prepare_leads  # noqa: E402
+from leadmill.sources.leads import (  # noqa: E402
+    POSITION,
+    number_rows,
+    prepare_leads,
+    split_offsets,
+)
 
 try:  # these may be taken away as a whole; the other queries do not need them
     import corpus_pipeline
@@ -101,7 +109,21 @@ def rejected(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def answered(spark: SparkSession, tables: str) -> DataFrame:
-    return provider_responses(merged(spark, tables), KeywordProvider)
+    """Merged leads with what a provider once said about their companies, failures after two attempts."""
+    answers = _staged(spark).write(first_answers(stored_attempts(spark, tables), ["company"], 2), "answers")
+    return join_answers(merged(spark, tables), answers, ["company"])
+
+
+def _staged(spark: SparkSession) -> Staging:
+    """A staging folder that goes when the driver's Python ends."""
+    staging = Staging(spark)
+    atexit.register(_remove, staging)
+    return staging
+
+
+def _remove(staging: Staging) -> None:
+    if staging.spark.sparkContext._jsc is not None:
+        staging.remove()
 
 
 # --- queries ---------------------------------------------------------------------------
@@ -164,15 +186,34 @@ def provider_scores(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def shared_requests(spark: SparkSession, tables: str) -> DataFrame:
-    """Each different (company, title) asked once, the answers given to all leads that ask so."""
-    by = ["company", "title"]
-    leads = accepted(spark, tables).select(ROW_NUMBER, *by)
-    answers = Staging(spark).write(
-        provider_responses(distinct_requests(leads, by), KeywordProvider), "answers"
-    )
-    counts = answers.agg(F.count(F.lit(1)), F.sum("leads")).first()
-    joined = join_answers(leads, answers, counts[0], counts[1] or 0, by)
-    return enrichment_of(joined).select(ROW_NUMBER, *by, *ENRICHMENT_COLUMNS)
+    """Each different company looked up once, the answers given to all accepted leads that have it."""
+    leads = accepted(spark, tables).select(ROW_NUMBER, "company")
+    answers = first_answers(stored_attempts(spark, tables), ["company"], 3)
+    requests = distinct_requests(leads, ["company"]).join(answers, "company", "left")
+    return enrichment_of(join_answers(leads, _staged(spark).write(requests, "answers"), ["company"])).select(
+        ROW_NUMBER, "company", *ENRICHMENT_COLUMNS)
+
+
+def numbered_orders(spark: SparkSession, tables: str) -> DataFrame:
+    """Rows without a number of their own, numbered by their place in the file."""
+    orders = spark.read.parquet(f"{tables}/orders.parquet")
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"))
+    rows = orders.select(F.monotonically_increasing_id().alias(ROW_NUMBER), place.alias(POSITION), "o_orderkey")
+    staging = _staged(spark)
+    written = staging.write(rows, "rows")
+    offsets = staging.write(split_offsets(written, staging.write), "offsets")
+    return number_rows(written, offsets, offsets.count())
+
+
+def lead_balance(spark: SparkSession, tables: str) -> DataFrame:
+    """What becomes of the leads, each result counted by itself: nothing may be lost or doubled."""
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("leads")).select(F.lit(name).alias("result"), "leads")
+
+    found = counted(prepared(spark, tables), "raw")
+    for name, stage in (("clean", merged), ("rejected", rejected)):
+        found = found.unionByName(counted(stage(spark, tables), name))
+    return found
 
 
 def score_merged(spark: SparkSession, tables: str) -> DataFrame:
@@ -186,8 +227,7 @@ def clean_leads(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def summary_scalars(spark: SparkSession, tables: str) -> DataFrame:
-    report = summary_report(raw_leads(spark, tables), clean(spark, tables), rejected(spark, tables))
-    return report.drop("enrichment_status_counts", "rejection_reason_counts").withColumns({
+    return summarize_leads(normalized(spark, tables)).withColumns({
         c: F.round(c, 9) for c in ("average_lead_score", "percent_enriched_from_raw")
     })
 
@@ -238,7 +278,9 @@ def queries() -> dict[str, Query]:
         "crm_export_all": lambda spark, tables: crm_export(clean(spark, tables), ready_only=False),
         "summary_scalars": summary_scalars,
         "status_counts": lambda spark, tables: status_counts(clean(spark, tables)),
-        "reason_counts": lambda spark, tables: reason_counts(rejected(spark, tables)),
+        "reason_counts": lambda spark, tables: count_rejects(normalized(spark, tables)),
+        "lead_balance": lead_balance,
+        "numbered_orders": numbered_orders,
         **LLM_QUERIES,
     }
 

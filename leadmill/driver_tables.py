@@ -9,19 +9,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadmill.sources.leads import idle_cores, spread
+# Companies with a name of their own, which stored answers of a provider are about.
+FIRM = (
+    "concat('Firm ', cast(c.c_custkey % 500 as string),"
+    " split_part('| Labs| Media||Global| Software', '|', cast(c.c_custkey % 6 + 1 as int)))"
+)
 
 LEAD_COLUMNS = {
     "source_row_number": "cast(o.o_orderkey + 1 as bigint)",
     "name": (
         "nullif(split_part('alice anderson|  BOB   JONES |carol|o''neil mary-jane smith||"
-        "d. van der berg|éloise O''BRIEN|Prince', '|', cast(o.o_orderkey % 8 + 1 as int)), '')"
+        "d. van der berg|éloise O''BRIEN|Prince|ÅSA öberg|jean-luc  PICARD|Dr. Ngozi Okafor|li|"
+        "maria del mar  ruiz|x Æ a-12|ZOË|tom  o''HARA jr.|Müller', '|', cast(o.o_orderkey % 17 + 1 as int)), '')"
     ),
     "email": (
         "CASE WHEN o.o_orderkey % 29 = 0 THEN NULL"
         " WHEN o.o_orderkey % 11 = 0 THEN split_part("
         "'missing-at-symbol.com|emilychen@yahoo|carol@|@|a b@c.io', '|',"
         " cast(o.o_orderkey % 5 + 1 as int))"
+        " WHEN o.o_orderkey % 3 = 1 THEN 'Info@BigCustomer.com'"
         " WHEN o.o_orderkey % 7 = 0 THEN concat('  USER', cast(c.c_custkey as string), '@',"
         " split_part('Gmail.com|Acme.co|YAHOO.com|startup.io|business.co.uk', '|',"
         " cast(c.c_custkey % 5 + 1 as int)), ' ')"
@@ -32,12 +38,14 @@ LEAD_COLUMNS = {
     "title": (
         "nullif(split_part('Creative Operations Manager|product lead  |CEO|Vice President|Sr. Eng|"
         "Software  Engineer||head of sales|Digital Asset Manager|Madam Leader|Brand Director|"
-        "Data Analyst|Creative Producer', '|', cast(o.o_orderkey % 13 + 1 as int)), '')"
+        "Data Analyst|Creative Producer|Founder & CRO|VP, Growth Marketing|Studio Manager|SDR|chief of staff|"
+        "Leadership Coach|Content Librarian', '|', cast(o.o_orderkey % 20 + 1 as int)), '')"
     ),
     "company": (
+        f"CASE WHEN o.o_orderkey % 2 = 0 THEN {FIRM} ELSE "
         "nullif(split_part('Acme Studio|GlobalTech|air inc|Air Inc||Northwind  Media|Startup.io|"
         "   |Hyper Software|Initech Labs|!!!', '|',"
-        " cast((c.c_custkey + o.o_orderkey % 3) % 11 + 1 as int)), '')"
+        " cast((c.c_custkey + o.o_orderkey % 3) % 11 + 1 as int)), '') END"
     ),
     "phone": (
         "nullif(split_part('(123) 456-7890|+1 800 555 1212|call me|5551212||"
@@ -50,10 +58,13 @@ LEAD_COLUMNS = {
     ),
     "country": (
         "nullif(split_part('US|usa|u.s.|United States of America|CA|Great Britain|UK||"
-        "  Wakanda   Republic |France', '|', cast(o.o_orderkey % 10 + 1 as int)), '')"
+        "  Wakanda   Republic |France|MA|Morocco|BD|bangladesh|IS|Iceland|QAT|qatar|Côte d''Ivoire|ivory coast|"
+        "Viet Nam|VNM|DR Congo|COD|Russian Federation|RUS|Bosnia & Herzegovina|bosnia and herzegovina|NZL|"
+        "Holland|nl|Türkiye|TUR|St. Lucia|saint lucia|Korea, Republic of|KR|Czech  Republic|cz|"
+        "Deutschland|ZWE|zimbabwe', '|', cast(o.o_orderkey % 46 + 1 as int)), '')"
     ),
     "created_at": (
-        "CASE o.o_orderkey % 9"
+        "CASE o.o_orderkey % 17"
         " WHEN 0 THEN concat(cast(year(o.o_orderdate) as string), '-',"
         " lpad(cast(month(o.o_orderdate) as string), 2, '0'), '-',"
         " lpad(cast(day(o.o_orderdate) as string), 2, '0'))"
@@ -71,7 +82,19 @@ LEAD_COLUMNS = {
         " WHEN 5 THEN concat(cast(day(o.o_orderdate) as string), '/',"
         " cast(month(o.o_orderdate) as string), '/', cast(year(o.o_orderdate) as string))"
         " WHEN 6 THEN concat(cast(o.o_orderkey % 20 + 1 as string), ' days ago')"
-        " WHEN 7 THEN '02/30/2024' ELSE NULL END"
+        " WHEN 7 THEN '02/30/2024'"
+        " WHEN 8 THEN concat(cast(month(o.o_orderdate) as string), '/',"
+        " cast(day(o.o_orderdate) as string), '/', cast(year(o.o_orderdate) as string), ' 14:22')"
+        " WHEN 9 THEN concat(cast(13 + o.o_orderkey % 15 as string), '/10/2024 10:00')"
+        " WHEN 10 THEN concat(cast(month(o.o_orderdate) as string), '/', cast(day(o.o_orderdate) as string),"
+        " '/', substr(cast(year(o.o_orderdate) as string), 3, 2))"
+        " WHEN 11 THEN concat(cast(day(o.o_orderdate) as string), '-',"
+        " substr('JanFebMarAprMayJunJulAugSepOctNovDec', cast(3 * month(o.o_orderdate) - 2 as int), 3), '-24')"
+        " WHEN 12 THEN concat(cast(day(o.o_orderdate) as string), '-Mar-2025 10:00:00')"
+        " WHEN 13 THEN concat(cast(year(o.o_orderdate) as string), '-03-05 07:05 PM')"
+        " WHEN 14 THEN concat('Sept ', cast(day(o.o_orderdate) as string), ', ', cast(year(o.o_orderdate) as string))"
+        " WHEN 15 THEN concat('Wed, ', lpad(cast(day(o.o_orderdate) as string), 2, '0'), ' Feb 2025')"
+        " ELSE NULL END"
     ),
 }
 
@@ -90,10 +113,35 @@ RAW_NAMES = {
 
 def raw_leads(spark: SparkSession, tables: str) -> DataFrame:
     """One raw lead per order, under the contract's column names."""
-    orders = spark.read.parquet(f"{tables}/orders.parquet")
-    orders = spread(orders, idle_cores(orders), "o_orderkey").alias("o")
+    orders = spark.read.parquet(f"{tables}/orders.parquet").alias("o")
     customer = spark.read.parquet(f"{tables}/customer.parquet").alias("c")
     joined = orders.join(customer, F.expr("o.o_custkey = c.c_custkey"))
     return joined.select(
         *[F.expr(sql).alias(RAW_NAMES.get(c, c)) for c, sql in LEAD_COLUMNS.items()]
     )
+
+
+# Attempts to enrich the firms, as a provider that was asked earlier left them: of the customers with a
+# firm and a number of attempt, the one with the smallest key decides what came back.
+ATTEMPT_COLUMNS = {
+    "industry": "split_part('media|software|retail|agency', '|', cast(k % 4 + 1 as int))",
+    "company_size": "split_part('enterprise|mid_market|small_business', '|', cast(k % 3 + 1 as int))",
+    "company_domain": "concat(replace(lower(company), ' ', ''), '.example')",
+    "enrichment_status": "CASE WHEN k % 3 = 1 THEN 'failed' WHEN k % 11 = 0 THEN 'not_found' ELSE 'enriched' END",
+    "provider_name": "'stored'",
+    "provider_record_found": "k % 3 <> 1 AND k % 11 <> 0",
+    "error_message": "CASE WHEN k % 3 = 1 THEN concat('busy ', cast(attempt as string)) END",
+    "attempts": "attempt",
+}
+ATTEMPT = "cast(floor(c.c_custkey / 500) as int) % 4 + 1"
+
+
+def stored_attempts(spark: SparkSession, tables: str) -> DataFrame:
+    """``company``, ``attempt`` and the ``response``, which has no values where it failed."""
+    customer = spark.read.parquet(f"{tables}/customer.parquet").alias("c")
+    first = customer.groupBy(F.expr(FIRM).alias("company"), F.expr(ATTEMPT).alias("attempt")).agg(
+        F.min("c_custkey").alias("k"))
+    values = first.withColumns({c: F.expr(sql) for c, sql in ATTEMPT_COLUMNS.items()})
+    answered = {c: F.when(F.col("enrichment_status") == "enriched", F.col(c))
+                for c in ("industry", "company_size", "company_domain")}
+    return values.withColumns(answered).select("company", "attempt", F.struct(*ATTEMPT_COLUMNS).alias("response"))

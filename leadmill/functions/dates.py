@@ -7,24 +7,28 @@ from pyspark.sql import functions as F
 
 from leadmill.functions.text import col, normalize_text
 
-_CLOCK = r"(?:2[0-3]|[01]?\d):[0-5]?\d(?::[0-5]?\d(?:\.\d+)?)?"
+_CLOCK = r"(?:2[0-3]|[01]?\d):[0-5]?\d(?::[0-5]?\d(?:\.\d+)?)?(?: ?(?i:[ap]m))?"
 _ZONE = r"(?: ?(?:Z|[+-]\d{2}:?\d{2}))?"
 
+_TIME = rf"(?:(?:T|,? ){_CLOCK}{_ZONE})?"
+_WEEKDAY = r"(?:(?i:mon|tue|tues|wed|wednes|thu|thur|thurs|fri|sat|satur|sun)(?i:day)?\.?,? )?"
+
 # The forms a date may have: Y, M and D stand for the groups that hold year, month and day.
 # They are tried in order, so the more special form comes first.
 _FORMS = [
     # Year first, with a time or not: the date as written counts, whatever the zone.
-    *[rf"Y((?!0000)\d{{4}}){sign}M(\d{{1,2}}|\p{{L}}+){sign}D(\d{{1,2}})(?:[T ]{_CLOCK}{_ZONE})?"
+    *[rf"Y((?!0000)\d{{4}}){sign}M(\d{{1,2}}|\p{{L}}+){sign}D(\d{{1,2}}){_TIME}"
       for sign in "-/"],
     # Slashes: month first, unless the first number cannot be a month.
-    r"D(1[3-9]|[2-9]\d)/M(\d{1,2})/Y((?!0000)\d{4})",
-    r"M(\d{1,2})/D(\d{1,2})/Y((?!0000)\d{4})",
+    rf"D(1[3-9]|[2-9]\d)/M(\d{{1,2}})/Y((?!0000)\d{{4}}|\d\d){_TIME}",
+    rf"M(\d{{1,2}})/D(\d{{1,2}})/Y((?!0000)\d{{4}}|\d\d){_TIME}",
     # Dashes: day first, unless the second number cannot be a month.
-    r"M(\d{1,2})-D(1[3-9]|[2-9]\d)-Y((?!0000)\d{4})",
-    r"D(\d{1,2})-M(\d{1,2}|\p{L}+)-Y((?!0000)\d{4})",
+    rf"M(\d{{1,2}})-D(1[3-9]|[2-9]\d)-Y((?!0000)\d{{4}}){_TIME}",
+    rf"D(\d{{1,2}})-M(\d{{1,2}})-Y((?!0000)\d{{4}}){_TIME}",
+    rf"D(\d{{1,2}})-M(\p{{L}}+)-Y((?!0000)\d{{4}}|\d\d){_TIME}",
     # Month names in running text.
-    r"M(\p{L}+) D(\d{1,2}),? Y((?!0000)\d{4})",
-    r"D(\d{1,2}) M(\p{L}+) Y((?!0000)\d{4})",
+    rf"{_WEEKDAY}M(\p{{L}}+)\.? D(\d{{1,2}}),? Y((?!0000)\d{{4}}){_TIME}",
+    rf"{_WEEKDAY}D(\d{{1,2}}) M(\p{{L}}+)\.? Y((?!0000)\d{{4}}){_TIME}",
     r"Y((?!0000)\d{4})M(\d{2})D(\d{2})",
 ]
 
@@ -62,7 +66,11 @@ def iso_date(ordered: Column | str) -> Column:
     A plain cast reads numbers much faster than a date pattern, which only month names need.
     """
     ordered = col(ordered)
-    named = F.try_to_date(ordered, "yyyy-[MMMM][MMM]-d")
+    # Years of two digits are those from 1969 to 2068.
+    short = F.substring(ordered, 3, 1) == "-"
+    century = F.when(F.substring(ordered, 1, 2) <= "68", "20").otherwise("19")
+    ordered = F.when(short & (F.substring(ordered, 1, 1) != "-"), F.concat(century, ordered)).otherwise(ordered)
+    named = F.try_to_date(F.regexp_replace(ordered, "-(?i:sept)-", "-Sep-"), "yyyy-[MMMM][MMM]-d")
     return F.when(ordered.rlike(r"\p{L}"), named).otherwise(ordered.try_cast("date")).cast("string")
 
 

@@ -1,6 +1,6 @@
 """Lead operators, each a ``DataFrame -> DataFrame`` function."""
 
-from leadmill.operators.accept import EMAIL_RULE, Rule, accept_leads, reject_leads
+from leadmill.operators.accept import EMAIL_RULE, MALFORMED_RULE, Rule, accept_leads, reject_leads
 from leadmill.operators.enrich import enrich_leads
 from leadmill.operators.export import crm_export, reasons_text
 from leadmill.operators.finalize import finalize_leads
@@ -24,6 +24,7 @@ from leadmill.operators.score import compile_rules, first_matching_rule, score_l
 
 __all__ = [
     "EMAIL_RULE",
+    "MALFORMED_RULE",
     "MERGE_POLICY",
     "ProviderResponse",
     "Rule",

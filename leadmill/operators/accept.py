@@ -19,6 +19,7 @@ class Rule(NamedTuple):
 
 
 EMAIL_RULE = Rule(BAD_EMAIL, "email")
+MALFORMED_RULE = Rule("malformed_csv_row", "_well_formed")
 
 
 def drop_reason(rules: Sequence[Rule]) -> Column:

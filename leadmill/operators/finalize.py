@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,10 +24,11 @@ def _defaults() -> dict[str, Column]:
     }
 
 
-def finalize_leads(scored: DataFrame, normalized: bool = False) -> DataFrame:
+def finalize_leads(scored: DataFrame, normalized: bool = False, kept: Sequence[str] = ()) -> DataFrame:
     """Fill absent columns and empty values, flag leads that may be imported, order columns.
 
-    ``normalized`` says that empty text is null already, which saves looking for blank text.
+    ``normalized`` says that empty text is null already, which saves looking for blank text;
+    ``kept`` columns are passed on as well.
     """
     filled = with_missing_as_null(scored, CLEAN_COLUMNS)
     kinds = {f.name: f.dataType.typeName() for f in filled.schema}
@@ -41,4 +44,4 @@ def finalize_leads(scored: DataFrame, normalized: bool = False) -> DataFrame:
         for c, default in _defaults().items()
     }
     columns["salesforce_ready"] = ready
-    return filled.withColumns(columns).select(*[F.col(c).cast(type_of(c)) for c in CLEAN_COLUMNS])
+    return filled.withColumns(columns).select(*[F.col(c).cast(type_of(c)) for c in CLEAN_COLUMNS], *kept)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from leadmill.fixed_values import LEAD_FIELDS, MERGED_DUPLICATE
 from leadmill.functions.text import is_present
-from leadmill.operators.accept import EMAIL_RULE, Rule, drop_reason
+from leadmill.operators.accept import EMAIL_RULE, Rule, accept_leads, reject_leads
 from leadmill.schema import ROW_NUMBER
 
 
@@ -42,16 +42,20 @@ MERGE_POLICY = {
 }
 
 
-def merge_leads(accepted: DataFrame, key: str = "email") -> DataFrame:
+def merge_leads(accepted: DataFrame, key: str = "email", count: str | None = None) -> DataFrame:
     """One row per e-mail, each field by its policy; empty fields must be null.
 
+    ``count`` names a column for the number of rows that became one.
+
     All policies are aggregates with partial results, so a map task sends one row per e-mail
     it holds, whatever share of the rows one e-mail has, and no group is ever gathered. Every
     tie ends in the row number: the result does not depend on the partitioning.
     """
     fields = [c for c in accepted.columns if c != key]
-    merged = accepted.groupBy(key).agg(*[MERGE_POLICY.get(c, _first)(c).alias(c) for c in fields])
-    return merged.select(*accepted.columns)
+    counted = [F.count(F.lit(1)).alias(count)] if count else []
+    merged = accepted.groupBy(key).agg(
+        *[MERGE_POLICY.get(c, _first)(c).alias(c) for c in fields], *counted)
+    return merged.select(*accepted.columns, *([count] if count else []))
 
 
 def surviving_rows(accepted: DataFrame, key: str = "email") -> DataFrame:
@@ -76,13 +80,13 @@ def all_rejects(
     survivors: DataFrame,
     rules: Sequence[Rule] = (EMAIL_RULE,),
 ) -> DataFrame:
-    """Both kinds of rejects in one pass: whatever does not survive is rejected.
+    """Both kinds of rejects.
 
-    A row that breaks no rule can only be missing among the survivors as a merged duplicate.
+    Rows that break a rule are filtered out where they are; only accepted rows are joined with
+    the survivors, and those that do not survive are merged duplicates.
     """
-    left_out = normalized.join(survivors.select(ROW_NUMBER), ROW_NUMBER, "left_anti")
-    reason = F.coalesce(drop_reason(rules), F.lit(MERGED_DUPLICATE))
-    return left_out.withColumn("drop_reason", reason)
+    return reject_leads(normalized, rules).unionByName(
+        duplicate_rejects(accept_leads(normalized, rules), survivors))
 
 
 def lead_completeness(df: DataFrame) -> DataFrame:

@@ -27,12 +27,14 @@ RESPONSE = T.StructType([
     T.StructField("attempts", T.IntegerType()),
 ])
 
-# Answers up to this many rows may be broadcast to the leads that asked alike.
-MAX_BROADCAST_ANSWERS = 500_000
+# Bytes of answers, their requests included, that may be broadcast to the leads that asked alike.
+MAX_BROADCAST_BYTES = 64 << 20
 # Leads that one copy of an answer may serve when the answers are shuffled.
 LEADS_PER_COPY = 1_000_000
-# Most requests that may need several copies; their list is broadcast.
-MAX_HOT_REQUESTS = 500_000
+# Most requests that may need several copies.
+MAX_HOT_REQUESTS = 100_000
+# What leads get of a response; the raw payload stays with the answers.
+JOINED_FIELDS = [f.name for f in RESPONSE if f.name != "raw_payload"]
 
 
 class TransientProviderError(Exception):
@@ -141,45 +143,63 @@ def distinct_requests(leads: DataFrame, by: Sequence[str] = REQUEST_FIELDS) -> D
     return leads.groupBy(*by).agg(F.count(F.lit(1)).alias("leads"))
 
 
+def first_answers(attempts: DataFrame, by: Sequence[str], max_attempts: int = 3) -> DataFrame:
+    """One ``response`` per request out of stored attempts: the first that did not fail.
+
+    ``attempts`` has the request's columns, ``attempt`` (1 is the first) and a ``response``. Those
+    after ``max_attempts`` were too late; a request all of whose attempts failed keeps the last
+    failure. Failed requests can thus be replayed by adding rows. Aggregated map-side.
+    """
+    if max_attempts < 1:
+        raise ValueError("max_attempts must be at least 1")
+    failed = F.col("response.enrichment_status") == FAILED
+    # Answers before failures, the earliest answer, the latest failure.
+    rank = F.struct(failed, F.when(failed, -F.col("attempt")).otherwise(F.col("attempt")))
+    return attempts.filter(F.col("attempt") <= max_attempts).groupBy(*by).agg(
+        F.min_by("response", rank).alias("response"))
+
+
 def join_answers(
     leads: DataFrame,
     answers: DataFrame,
-    answer_rows: int,
-    lead_rows: int,
     by: Sequence[str] = REQUEST_FIELDS,
 ) -> DataFrame:
-    """Give each lead the answer to its request (nulls are equal), with the row counts known.
+    """Give each lead the answer to its request; nulls are equal, and no answer gives a null.
 
-    ``answers`` is :func:`distinct_requests` put through a provider and written. Few answers
-    are broadcast. Otherwise the join shuffles, and a request made by very many leads gets a
+    ``answers`` is a written table with one ``response`` per request and, from
+    :func:`distinct_requests`, the number of ``leads`` that make it. Its size is taken first: few
+    bytes are broadcast. Otherwise the join shuffles, and a request made by very many leads gets a
     copy of its answer per million of them, over which its leads are dealt out. There cannot be
-    more such requests than leads divided by the least number of leads they have, which bounds
-    the list that is broadcast.
+    more such requests than leads divided by the least number of leads they have.
     """
     names = {c: f"_key_{c}" for c in by}
-    right = answers.select(*[F.col(c).alias(n) for c, n in names.items()], "response", "leads")
+    fields = [f.name for f in answers.schema["response"].dataType if f.name in JOINED_FIELDS]
+    response = F.struct(*[F.col("response").getField(f).alias(f) for f in fields]).alias("response")
+    count = F.col("leads") if "leads" in answers.columns else F.lit(0).cast("bigint")
+    right = answers.select(*[F.col(c).alias(n) for c, n in names.items()], response, count.alias("_leads"))
+    size = F.lit(100)
+    for c in [*names.values(), *[f"response.{f}" for f in fields]]:
+        size = size + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
+    total, asking = right.agg(F.sum(size.cast("bigint")), F.sum("_leads")).first()
     same: Column = F.lit(True)
     for c, n in names.items():
         same = same & F.col(c).eqNullSafe(F.col(n))
-    spare = [*names.values(), "leads"]
-    if answer_rows <= MAX_BROADCAST_ANSWERS:
+    spare = [*names.values(), "_leads"]
+    if (total or 0) <= MAX_BROADCAST_BYTES:
         return leads.join(F.broadcast(right), same, "left").drop(*spare)
 
-    least = max(LEADS_PER_COPY, lead_rows // MAX_HOT_REQUESTS)
-    hot = F.col("leads") > least
-    copies = F.ceil(F.col("leads") / F.lit(LEADS_PER_COPY)).cast("int")
-    hot_requests = answers.filter(hot).select(
-        *[F.col(c).alias(f"_hot_{c}") for c in by], copies.alias("_copies")
-    )
-    is_hot: Column = F.lit(True)
-    for c in by:
-        is_hot = is_hot & F.col(c).eqNullSafe(F.col(f"_hot_{c}"))
-    dealt = leads.join(F.broadcast(hot_requests), is_hot, "left").withColumn(
-        "_salt", F.coalesce(F.pmod(F.xxhash64(ROW_NUMBER), F.col("_copies")), F.lit(0)).cast("int")
-    )
-    copied = right.withColumn(
-        "_copy",
-        F.explode(F.when(hot, F.sequence(F.lit(0), copies - 1)).otherwise(F.array(F.lit(0)))),
-    )
+    least = max(LEADS_PER_COPY, (asking or 0) // MAX_HOT_REQUESTS)
+    hot = F.col("_leads") > least
+    copies = F.ceil(F.col("_leads") / F.lit(LEADS_PER_COPY)).cast("int")
+    # The requests of many leads as hashes of eight bytes; a lead that only has the same hash is dealt out too.
+    request = F.xxhash64(*by)
+    hot_requests = right.filter(hot).groupBy(F.xxhash64(*names.values()).alias("_hot")).agg(
+        F.max(copies).alias("_copies"))
+    dealt = leads.withColumn("_hash", request).join(
+        F.broadcast(hot_requests), F.col("_hash") == F.col("_hot"), "left").withColumn(
+        "_salt", F.coalesce(F.pmod(F.xxhash64(ROW_NUMBER), F.col("_copies")), F.lit(0)).cast("int"))
+    most = right.withColumn("_hash", F.xxhash64(*names.values())).join(
+        F.broadcast(hot_requests), F.col("_hash") == F.col("_hot"), "left").drop("_hash", "_hot")
+    copied = most.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1))).drop("_copies")
     joined = dealt.join(copied, same & (F.col("_salt") == F.col("_copy")), "left")
-    return joined.drop(*spare, "_salt", "_copy", "_copies", *[f"_hot_{c}" for c in by])
+    return joined.drop(*spare, "_salt", "_copy", "_copies", "_hash", "_hot")

@@ -2,40 +2,47 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from leadmill.operators.accept import accept_leads
+from leadmill.operators.accept import EMAIL_RULE, MALFORMED_RULE, Rule, accept_leads
 from leadmill.operators.export import crm_export
 from leadmill.operators.merge import all_rejects, merge_leads
 from leadmill.operators.normalize import normalize_leads
-from leadmill.operators.provider import enrichment_of, provider_responses
+from leadmill.operators.provider import (
+    REQUEST_FIELDS,
+    distinct_requests,
+    enrichment_of,
+    join_answers,
+    provider_responses,
+)
 from leadmill.operators.report import summary_report
 from leadmill.plans.prepare import clean_from_merged
 from leadmill.plans.staging import Staging
 from leadmill.sources.countries import country_dimension
 from leadmill.sources.leads import (
     POSITION,
-    idle_cores,
+    WELL_FORMED,
+    check_row_numbers,
     number_rows,
     prepare_leads,
     read_csv_leads,
     split_offsets,
     spread,
 )
-from leadmill.sources.sinks import write_csv, write_summary, write_table
+from leadmill.sources.sinks import exists, write_csv, write_summary, write_table
 
 
 class JobTables(NamedTuple):
-    """What the job wrote; ``attempts`` is set when a provider was asked."""
+    """What the job wrote; the last two only if it keeps what it staged, ``attempts`` if it had a provider."""
 
     clean: DataFrame
     rejected: DataFrame
     crm: DataFrame
     summary: DataFrame
-    normalized: DataFrame
+    normalized: DataFrame | None
     attempts: DataFrame | None
 
 
@@ -45,16 +52,21 @@ def run_job(
     output: str,
     *,
     row_number: Column | str | None = None,
-    multiline: bool = True,
+    multiline: bool = False,
+    malformed: str = "fail",
+    accept: Sequence[Rule] = (EMAIL_RULE,),
+    tasks: int | None = None,
     rules: dict | None = None,
     countries: list[dict] | None = None,
     make_provider: Callable[[], Any] | None = None,
     max_attempts: int = 3,
+    provider_fields: Sequence[str] = REQUEST_FIELDS,
     provider_partitions: int | None = None,
     ready_only: bool = True,
     csv_copies: bool = False,
     mode: str = "errorifexists",
     staging: Staging | None = None,
+    keep_staged: bool = False,
 ) -> JobTables:
     """Read CSV files (or take a raw table) and write clean, rejected and CRM leads and a summary.
 
@@ -62,32 +74,51 @@ def run_job(
     leads. What follows reads from there: the rejects are an anti join against one column of
     the clean table, the export is a projection of it, the summary counts the written tables.
     Leads are shuffled twice, for the merge (as partial results) and for the anti join.
+
+    ``malformed`` rows of CSV files fail the job or are rejected, see ``read_csv_leads``. Given row
+    numbers must be unique. A provider is asked once for each different ``provider_fields``, the
+    fields of a request that its answers depend on. ``tasks`` deals
+    the rows read out to so many tasks. The job fails if rows are missing from the results. What
+    it has staged is removed in the end, unless ``keep_staged``; the frames returned that are
+    read from there are then null.
     """
+    if mode not in ("errorifexists", "overwrite"):
+        raise ValueError(f"mode {mode!r} would mix runs; use 'errorifexists' or 'overwrite'")
+    if mode == "errorifexists" and exists(spark, f"{output}/clean_leads"):
+        raise FileExistsError(f"{output}/clean_leads is there already")
     staging = staging or Staging(spark)
     from_files = not isinstance(source, DataFrame)
-    raw = read_csv_leads(spark, source, multiline) if from_files else source
+    raw = read_csv_leads(spark, source, multiline, malformed) if from_files else source
     # The rows have their ids before they are spread, so the input order is kept.
-    prepared = spread(prepare_leads(raw, row_number), idle_cores(raw) if from_files else 0)
+    prepared = spread(prepare_leads(raw, row_number), tasks)
     dimension = country_dimension(spark, countries)
     written = staging.write(normalize_leads(prepared, dimension), "normalized")
     normalized = written
     if POSITION in written.columns:
-        offsets = staging.write(split_offsets(written), "offsets")
+        offsets = staging.write(split_offsets(written, staging.write), "offsets")
         normalized = number_rows(written, offsets, offsets.count())
+    else:
+        check_row_numbers(written)
 
-    merged = merge_leads(accept_leads(normalized))
+    accept = [*([MALFORMED_RULE] if WELL_FORMED in normalized.columns else []), *accept]
+    accepted = accept_leads(normalized, accept).drop(WELL_FORMED)
+    merged = merge_leads(accepted)
     attempts = None
     if make_provider is None:
         clean = clean_from_merged(merged, rules)
     else:
-        # Written before it is read twice, so that no lead is asked for twice.
-        attempts = staging.write(
-            provider_responses(merged, make_provider, max_attempts, provider_partitions), "attempts"
-        )
-        clean = clean_from_merged(attempts, rules, enrich=enrichment_of)
+        # Written before they are read, so that nothing is merged or asked for twice.
+        merged = staging.write(merged, "merged")
+        by_lead = "email" in provider_fields  # which no two merged leads share
+        requests = merged if by_lead else distinct_requests(merged, provider_fields)
+        attempts = staging.write(provider_responses(
+            requests, make_provider, max_attempts, provider_partitions), "attempts")
+        answered = attempts if by_lead else join_answers(merged, attempts, provider_fields)
+        clean = clean_from_merged(answered, rules, enrich=enrichment_of)
 
     clean = write_table(clean, f"{output}/clean_leads", mode)
-    rejected = write_table(all_rejects(normalized, clean), f"{output}/rejected_leads", mode)
+    rejects = all_rejects(normalized, clean, accept).drop(WELL_FORMED)
+    rejected = write_table(rejects, f"{output}/rejected_leads", mode)
     crm = crm_export(clean, ready_only)
     write_csv(crm, f"{output}/crm_export", mode)
     if csv_copies:
@@ -95,4 +126,10 @@ def run_job(
         write_csv(rejected, f"{output}/rejected_leads_csv", mode)
     summary = write_table(summary_report(written, clean, rejected), f"{output}/summary", mode)
     write_summary(summary, f"{output}/summary_report", mode)
+    counts = summary.first()
+    if counts.raw_rows != counts.clean_rows + counts.rejected_rows:
+        raise RuntimeError(f"of {counts.raw_rows} rows, {counts.clean_rows} are clean and {counts.rejected_rows} rejected")
+    if not keep_staged:
+        staging.remove()
+        normalized = attempts = None
     return JobTables(clean, rejected, crm, summary, normalized, attempts)

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from leadmill.functions.countries import country_key
 
-# Default table after ISO 3166-1: name | alpha-2 | alpha-3 | other spellings. Larger tables
-# are given as a file or a list, see ``load_countries``.
+# Names and other spellings of frequent countries: name | alpha-2 | alpha-3 | others.
+# Other tables are given as a file or a list, see ``load_countries``.
 _DEFAULT = """
 Argentina|AR|ARG|
 Australia|AU|AUS|Commonwealth of Australia
@@ -79,17 +79,64 @@ United States|US|USA|United States of America;America;US of A;The United States
 Vietnam|VN|VNM|Viet Nam
 """
 
-# Above this many spellings the dimension is not promised to fit a broadcast any more.
-MAX_BROADCAST_SPELLINGS = 200_000
+# Names of ISO 3166-1 entries that differ from the display names, and other common names.
+_NAMES = """
+BO|Bolivia|Plurinational State of Bolivia
+BN|Brunei|Brunei Darussalam
+CD|Democratic Republic of the Congo|DR Congo;DRC;Congo, Democratic Republic of the;Zaire
+CG|Republic of the Congo|Congo;Congo Republic
+CI|Côte d'Ivoire|Ivory Coast;Cote d'Ivoire
+CV|Cape Verde|Cabo Verde
+FM|Micronesia|Federated States of Micronesia
+IR|Iran|Islamic Republic of Iran;Persia
+KP|North Korea|DPRK;Democratic People's Republic of Korea
+LA|Laos|Lao PDR;Lao People's Democratic Republic
+MD|Moldova|Republic of Moldova
+MK|North Macedonia|Macedonia
+MM|Myanmar|Burma
+MO|Macao|Macau;Macao SAR
+PS|Palestine|Palestinian Territories;State of Palestine
+RU|Russia|Russian Federation
+SY|Syria|Syrian Arab Republic
+SZ|Eswatini|Swaziland
+TL|Timor-Leste|East Timor
+TZ|Tanzania|United Republic of Tanzania
+VA|Vatican City|Holy See
+VE|Venezuela|Bolivarian Republic of Venezuela
+"""
+
+# Bytes of spellings up to which the dimension is promised to fit a broadcast.
+MAX_BROADCAST_BYTES = 32 << 20
 
 
-def default_countries() -> list[dict]:
-    entries = []
+def _listed() -> dict[str, tuple[str, list[str]]]:
+    """By two-letter code the names written down here: the one to use, and others."""
+    found = {}
     for line in _DEFAULT.strip().splitlines():
-        name, alpha2, alpha3, others = line.split("|")
-        entries.append({"canonical_name": name, "alpha2": alpha2, "alpha3": alpha3,
-                        "aliases": [a for a in others.split(";") if a]})
-    return entries
+        name, alpha2, _, others = line.split("|")
+        found[alpha2] = name, [a for a in others.split(";") if a]
+    for line in _NAMES.strip().splitlines():
+        alpha2, name, others = line.split("|")
+        found[alpha2] = name, [a for a in others.split(";") if a]
+    return found
+
+
+_iso: list[dict] = []
+
+
+def default_countries(spark: SparkSession) -> list[dict]:
+    """All entries of ISO 3166-1: codes and English names as the Java platform has them, with the
+    names written down here before those."""
+    if not _iso:
+        locale, listed = spark._jvm.java.util.Locale, _listed()
+        for alpha2 in locale.getISOCountries():
+            place = locale("", alpha2)
+            shown = place.getDisplayCountry(locale.ENGLISH)
+            plain = shown.replace(" & ", " and ").replace("St. ", "Saint ").replace("’", "'")
+            name, others = listed.get(alpha2, (plain, []))
+            _iso.append({"canonical_name": name, "alpha2": alpha2, "alpha3": place.getISO3Country(),
+                         "aliases": [*others, plain, shown]})
+    return _iso
 
 
 def load_countries(path: str | Path) -> list[dict]:
@@ -110,10 +157,11 @@ def spellings(entries: list[dict]) -> list[tuple[str, str, int]]:
 def country_dimension(spark: SparkSession, entries: list[dict] | None = None) -> DataFrame:
     """``(country_key, canonical_country)``, one row per key; a later entry wins a clash.
 
-    The hint is given only while the number of spellings, known here, is bounded; a bigger
+    The hint is given only while the spellings, whose size is known here, are bounded; a bigger
     table is left for Catalyst to place by its size.
     """
-    listed = spellings(default_countries() if entries is None else entries)
+    listed = spellings(default_countries(spark) if entries is None else entries)
+    size = sum(len(spelling) + len(name) for spelling, name, _ in listed) * 4
     columns = list(zip(*listed)) if listed else [[], [], []]
     table = pa.table({
         "spelling": pa.array(columns[0], pa.string()),
@@ -125,4 +173,4 @@ def country_dimension(spark: SparkSession, entries: list[dict] | None = None) ->
         .groupBy(country_key("spelling").alias("country_key"))
         .agg(F.max_by("canonical", "load_order").alias("canonical_country"))
     )
-    return F.broadcast(dimension) if len(listed) <= MAX_BROADCAST_SPELLINGS else dimension
+    return F.broadcast(dimension) if size <= MAX_BROADCAST_BYTES else dimension

@@ -2,54 +2,93 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadmill.fixed_values import LEAD_FIELDS, NULL_TOKENS, RAW_TO_LEAD
 from leadmill.schema import NORMALIZED_COLUMNS, ROW_NUMBER, with_missing_as_null
 
 POSITION = "_position"
 
-# Rows of the table of splits that may be broadcast, about 200 bytes each.
-MAX_BROADCAST_SPLITS = 1_000_000
+# Text of a malformed CSV row; null in all other rows.
+MALFORMED, WELL_FORMED = "_malformed", "_well_formed"
+
+# Bytes of the table of splits that may be broadcast, and of one of its rows with a long file name.
+MAX_BROADCAST_BYTES, SPLIT_BYTES = 64 << 20, 400
 
 
-def read_csv_leads(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
+def read_csv_leads(spark: SparkSession, path: str | list[str], multiline: bool = False,
+                   malformed: str = "fail") -> DataFrame:
     """Scan CSV files with a header; every column is text and null tokens become null.
 
-    No schema is given, because Spark binds one by position while the contract is by name.
-    ``multiline`` allows line breaks inside quotes but makes each file one task: turn it off
-    for big files whose cells hold no line breaks, so that they are split.
+    Columns are named by the header, which all files must have alike. A row with more cells than
+    the header, or with a quote that is not closed, is malformed: with ``malformed="fail"`` the job
+    that reads it fails and shows it, with "reject" its text is in the column MALFORMED. Rows with
+    fewer cells are completed with nulls. ``multiline`` allows line breaks inside quotes but makes
+    each file one task; without it a row with such a cell is malformed, and a quote that is left
+    open in the last cell of a line ends with the line, so that nothing is lost.
     """
-    raw = (
+    if malformed not in ("fail", "reject"):
+        raise ValueError("malformed must be 'fail' or 'reject'")
+    read = (
         spark.read.option("header", True)
         .option("escape", '"')
         .option("multiLine", multiline)
         .option("enforceSchema", False)  # a file whose header differs is an error, not a mix-up
-        .csv(path)
-    )
-    return raw.select(
-        *[F.when(~_named(c).isin(NULL_TOKENS), _named(c)).alias(c) for c in raw.columns],
-        *([_file_position()] if raw.columns else []),
     )
+    names = read.csv(path).columns
+    if not names:
+        return read.csv(path)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, MALFORMED]])
+    raw = read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED).schema(schema).csv(path)
+    raw = raw.select(*map(_named, [*names, MALFORMED]), _file_position())
+    bad = _is_malformed(names)
+    if multiline:
+        raw = raw.join(_files_with_open_quotes(spark, path), F.col(POSITION).getField("file") == F.col("_file"), "left")
+        bad = bad | (F.col("_file").isNotNull() & F.concat_ws("", *map(_named, names)).contains("\n"))
+    if malformed == "fail":
+        shown = F.concat(F.lit("malformed CSV row: "), F.left(F.coalesce(MALFORMED, _named(names[0]), F.lit("")), F.lit(200)))
+        raw = raw.filter(F.when(bad, F.raise_error(shown).cast("boolean")).otherwise(True))
+    cells = [F.when(~_named(c).isin(NULL_TOKENS), _named(c)).alias(c) for c in names]
+    text = [] if malformed == "fail" else [
+        F.when(bad, F.coalesce(MALFORMED, F.concat_ws(",", *map(_named, names)))).alias(MALFORMED)]
+    return raw.select(*cells, *text, POSITION)
+
+
+def _is_malformed(names: list[str]) -> Column:
+    """Too many cells, or a quote that is not closed; rows that are only short do not count.
+
+    The reader keeps the text of every row whose number of cells differs from the header's.
+    """
+    outside = F.regexp_replace(MALFORMED, r'"(?:[^"]|"")*"', "")
+    commas = F.length(outside) - F.length(F.replace(outside, F.lit(","), F.lit("")))
+    odd = F.col(MALFORMED).isNotNull() & (outside.contains('"') | (commas >= len(names)))
+    return F.coalesce(odd, F.lit(False))
+
+
+def _quotes(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
 
 
-def idle_cores(scan: DataFrame) -> int:
-    """How many cores there are, when a scan has fewer tasks than that, else 0.
+def _files_with_open_quotes(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Names of the files with an odd number of quotes.
 
-    For a frame that only reads files, whose tasks are known without running anything.
+    Where cells may have several lines, an open quote takes the lines that follow into its cell and
+    leaves no other trace; so rows with a line break in a cell are not trusted in such files.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return cores if scan.rdd.getNumPartitions() < cores else 0
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("_file"), _quotes(F.col("value")).alias("n"))
+    return lines.groupBy("_file").agg(F.sum("n").alias("n")).filter("n % 2 = 1").select("_file")
 
 
-def spread(rows: DataFrame, cores: int, key: str = ROW_NUMBER) -> DataFrame:
-    """Deal the rows of a few tasks out to ``cores`` by a unique key; 0 leaves them in place.
+def spread(rows: DataFrame, tasks: int | None, key: str = ROW_NUMBER) -> DataFrame:
+    """Deal rows out to so many tasks by a unique key; None leaves them where they were read.
 
-    One small or unsplittable file would otherwise keep one core busy with all the text work.
-    An input with a task for each core, which any big one has, is never shuffled for this.
+    For input that one or a few tasks read, such as one small or unsplittable file.
     """
-    return rows.repartition(cores, key) if cores else rows
+    return rows.repartition(tasks, key) if tasks else rows
 
 
 def check_contract(df: DataFrame) -> None:
@@ -70,47 +109,67 @@ def prepare_leads(raw: DataFrame, row_number: Column | str | None = None) -> Dat
     renamed = [_named(old).alias(new) for old, new in RAW_TO_LEAD.items()]
     if row_number is not None:
         key = F.col(row_number) if isinstance(row_number, str) else row_number
-        identity = [key.cast("bigint").alias(ROW_NUMBER)]
+        number = key.cast("bigint")
+        missing = F.raise_error(F.lit("row numbers must not be null")).cast("bigint")
+        identity = [F.when(number.isNull(), missing).otherwise(number).alias(ROW_NUMBER)]
     else:
         anywhere = F.struct(F.lit("").alias("file"), F.lit(0).cast("bigint").alias("split"))
         identity = [
             F.monotonically_increasing_id().alias(ROW_NUMBER),
             (_named(POSITION) if POSITION in raw.columns else anywhere).alias(POSITION),
         ]
-    prepared = raw.select(*identity, *renamed, _named("Email").alias("raw_email"))
+    # Null in malformed rows, as a rule of acceptance sees it.
+    formed = [F.when(F.col(MALFORMED).isNull(), "yes").alias(WELL_FORMED)] if MALFORMED in raw.columns else []
+    prepared = raw.select(*identity, *renamed, _named("Email").alias("raw_email"), *formed)
     prepared = with_missing_as_null(prepared, LEAD_FIELDS)
-    return prepared.select(*NORMALIZED_COLUMNS, *[c for c in [POSITION] if row_number is None])
+    kept = [POSITION] if row_number is None else []
+    return prepared.select(*NORMALIZED_COLUMNS, *kept, *[c for c in [WELL_FORMED] if c in prepared.columns])
 
 
 def number_rows(written: DataFrame, offsets: DataFrame, splits: int) -> DataFrame:
     """Replace the row number by 1..n in input order.
 
     ``offsets`` comes from :func:`split_offsets` over the same written rows. It has one row per
-    input split and is broadcast while ``splits``, its counted size, is bounded; beyond that
-    the join shuffles by split, and no split is bigger than one task's input.
+    input split and is broadcast while its counted rows, of some hundred bytes each with the
+    file's name, are bounded; beyond that the join shuffles by split, and no split is bigger than
+    one task's input.
     """
     rows = written.withColumns(_split_key())
-    side = F.broadcast(offsets) if splits <= MAX_BROADCAST_SPLITS else offsets
-    numbered = rows.join(side, list(_split_key()))
+    few = splits * SPLIT_BYTES <= MAX_BROADCAST_BYTES
+    numbered = rows.join(F.broadcast(offsets) if few else offsets, list(_split_key()))
     dense = F.col("_before") + F.col(ROW_NUMBER) - F.col("_first") + 1
     return numbered.withColumn(ROW_NUMBER, dense).drop(
         "_before", "_first", *_split_key(), POSITION
     )
 
 
-def split_offsets(written: DataFrame) -> DataFrame:
+def split_offsets(written: DataFrame, write: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """Per input split: its first id and the number of rows in all splits before it.
 
-    The running total goes through one task, over one small row per split (800,000 rows for
-    100 TB in splits of 128 MB), never over the leads.
+    Running totals are taken in two levels: splits are dealt to groups by ranges of their order, each
+    group's running total is one task's, and only one row for each group meets in one task.
+    ``write`` writes a table and reads it back: the groups must not change between their two uses.
     """
     key = _split_key()
     per_split = written.groupBy(*[c.alias(name) for name, c in key.items()]).agg(
         F.count(F.lit(1)).alias("_rows"), F.min(ROW_NUMBER).alias("_first")
     )
-    before = Window.orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
-    total = F.coalesce(F.sum("_rows").over(before), F.lit(0))
-    return per_split.select(*key, "_first", total.alias("_before"))
+    ordered = write(per_split.repartitionByRange(*key).withColumn("_group", F.spark_partition_id()), "splits")
+    inside = Window.partitionBy("_group").orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
+    groups = ordered.groupBy("_group").agg(F.sum("_rows").alias("_group_rows"))
+    earlier = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    totals = groups.select("_group", F.coalesce(F.sum("_group_rows").over(earlier), F.lit(0)).alias("_groups_before"))
+    return ordered.join(totals, "_group").select(*key, "_first", (
+        F.col("_groups_before") + F.coalesce(F.sum("_rows").over(inside), F.lit(0))).alias("_before"))
+
+
+def check_row_numbers(df: DataFrame) -> None:
+    """Fail if a row number is null or there twice; moves one number per row, counted map-side first."""
+    wrong = df.groupBy(ROW_NUMBER).agg(F.count(F.lit(1)).alias("rows")).filter(
+        F.col(ROW_NUMBER).isNull() | (F.col("rows") > 1)).limit(1).collect()
+    if wrong:
+        number, rows = wrong[0]
+        raise ValueError(f"row numbers must be unique and not null; {rows} rows have {number}")
 
 
 def _split_key() -> dict[str, Column]:

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadmill.operators.export import reasons_text
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
     """Write parquet and return the written table."""
     df.write.mode(mode).parquet(path)

@@ -5,9 +5,80 @@ Regular expressions are RE2 here (no look-around, ASCII ``\\b``), so they differ
 
 from __future__ import annotations
 
-from leadmill.driver_tables import LEAD_COLUMNS
-from leadmill.fixed_values import CRM_NAMES, FREE_MAIL_DOMAINS, SCORING_RULES
-from leadmill.sources.countries import default_countries, spellings
+from leadmill.driver_tables import ATTEMPT, ATTEMPT_COLUMNS, FIRM, LEAD_COLUMNS
+
+# What the engine must agree with, written down once more: a changed constant there is a difference here.
+CRM_NAMES = {
+    "first_name": "FirstName", "last_name": "LastName", "email": "Email", "company": "Company", "title": "Title",
+    "phone": "Phone", "source": "LeadSource", "country": "Country", "industry": "Industry__c",
+    "company_size": "Company_Size__c", "company_domain": "Company_Domain__c", "lead_score": "Lead_Score__c",
+    "score_reasons": "Score_Reasons__c", "lead_date": "Lead_Date__c", "source_row_number": "Source_Row_Number__c",
+}
+FREE_MAIL_DOMAINS = ["gmail.com", "hotmail.com", "icloud.com", "outlook.com", "yahoo.com"]
+# The rules' names, points and words in the order they are tried.
+_FUNCTIONS = """
+creative_operations 18: creative operations, creative ops, design ops, brand ops, studio operations, production operations, marketing operations
+brand_and_creative_leadership 16: creative director, art director, design director, brand director, head of creative, head of brand
+content_and_production 14: creative producer, content producer, producer, studio manager, production manager, content operations
+marketing_and_campaigns 12: brand marketing, content marketing, performance marketing, campaign manager, growth marketing, demand generation
+asset_management_and_workflows 15: digital asset manager, asset manager, dam, librarian, content librarian, workflow manager, approval manager
+sales 4: sales, account executive, business development, sdr, bdr, revenue
+engineering 3: engineer, developer, software, data
+"""
+_SENIORITIES = """
+executive 20: chief, ceo, cto, cfo, coo, cmo, cro, president, founder
+vp_head_director 15: vp, vice president, head, director
+manager_lead 8: manager, lead
+"""
+_INDUSTRY_POINTS = ("retail 12, ecommerce 12, media 10, entertainment 10, agency 10, consumer_goods 9, fashion 9, software 8, "
+                    "saas 8, technology 7, education 5, nonprofit 5, healthcare 4, manufacturing 3")
+_SIZE_POINTS = "enterprise 15, mid_market 10, small_business 5"
+
+
+def _rules_of(lines: str) -> list[dict]:
+    rules = []
+    for line in lines.strip().splitlines():
+        head, words = line.split(": ")
+        name, score = head.split(" ")
+        rules.append({"name": name, "score": int(score), "keywords": words.split(", ")})
+    return rules
+
+
+def _points_of(listed: str) -> dict[str, int]:
+    return {name: int(points) for name, points in (p.split(" ") for p in listed.split(", "))}
+
+
+SCORING_RULES = {
+    "base_score": 0, "score_bounds": {"min": 0, "max": 100},
+    "title_function_scores": _rules_of(_FUNCTIONS), "seniority_scores": _rules_of(_SENIORITIES),
+    "industry_scores": _points_of(_INDUSTRY_POINTS), "company_size_scores": _points_of(_SIZE_POINTS),
+    "penalties": {"free_email_domain": 5, "missing_company": 8, "failed_enrichment": 6},
+}
+
+# Countries that occur in the leads: the name to use, and how they are written there.
+_COUNTRIES = """
+United States: US; usa; u.s.; United States of America
+Canada: CA
+United Kingdom: Great Britain; UK
+France: France
+Morocco: MA; Morocco
+Bangladesh: BD; bangladesh
+Iceland: IS; Iceland
+Qatar: QAT; qatar
+Côte d'Ivoire: Côte d'Ivoire; ivory coast
+Vietnam: Viet Nam; VNM
+Democratic Republic of the Congo: DR Congo; COD
+Russia: Russian Federation; RUS
+Bosnia and Herzegovina: Bosnia & Herzegovina; bosnia and herzegovina
+New Zealand: NZL
+Netherlands: Holland; nl
+Turkey: Türkiye; TUR
+Saint Lucia: St. Lucia; saint lucia
+South Korea: Korea, Republic of; KR
+Czechia: Czech  Republic; cz
+Germany: Deutschland
+Zimbabwe: ZWE; zimbabwe
+"""
 
 _SPACE = (
     r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -39,15 +110,22 @@ def _date(c: str) -> str:
         listed = ", ".join(f"'{f}'" for f in formats)
         return f"try_strptime({c}, [{listed}])"
 
+    # Without a weekday in front, a time behind, and with a name of September that all formats know.
+    c = rf"regexp_replace(regexp_replace({c}, '(,? |T)\d{{1,2}}:\d{{2}}(:\d{{2}})?( ?[AaPp][Mm])?$', ''), '^(Mon|Tue|Wed|Thu|Fri|Sat|Sun), ', '')"
+    c = f"regexp_replace({c}, '^Sept ', 'Sep ')"
     full = f"regexp_full_match({c}, "
     return rf"""strftime(cast(CASE
       WHEN {full}'\d{{1,2}}/\d{{1,2}}/\d{{4}}') THEN
         CASE WHEN cast(split_part({c}, '/', 1) AS int) > 12 THEN {tried('%d/%m/%Y')}
              ELSE {tried('%m/%d/%Y')} END
+      WHEN {full}'\d{{1,2}}/\d{{1,2}}/\d{{2}}') THEN {tried('%m/%d/%y')}
       WHEN {full}'\d{{4}}-\d{{1,2}}-\d{{1,2}}') THEN {tried('%Y-%m-%d')}
       WHEN {full}'\d{{4}}/\d{{1,2}}/\d{{1,2}}') THEN {tried('%Y/%m/%d')}
       WHEN {full}'\d{{1,2}}-[A-Za-z]+-\d{{4}}') THEN {tried('%d-%b-%Y', '%d-%B-%Y')}
+      WHEN {full}'\d{{1,2}}-[A-Za-z]+-\d{{2}}') THEN {tried('%d-%b-%y')}
       WHEN {full}'\d{{1,2}}-\d{{1,2}}-\d{{4}}') THEN {tried('%d-%m-%Y', '%m-%d-%Y')}
+      WHEN {full}'[A-Za-z]+ \d{{1,2}}, \d{{4}}') THEN {tried('%b %d, %Y')}
+      WHEN {full}'\d{{1,2}} [A-Za-z]+ \d{{4}}') THEN {tried('%d %b %Y')}
       END AS date), '%Y-%m-%d')"""
 
 
@@ -121,9 +199,25 @@ def _scored(table: str) -> str:
 
 
 _SPELLINGS = ", ".join(
-    f"({_literal(spelling)}, {_literal(name)}, {order})"
-    for spelling, name, order in spellings(default_countries())
+    f"({_literal(spelling)}, {_literal(line.split(': ')[0])}, {order})"
+    for order, line in enumerate(_COUNTRIES.strip().splitlines())
+    for spelling in line.split(": ")[1].split("; ")
 )
+_ATTEMPTS = ", ".join(f"{sql} AS {c}" for c, sql in ATTEMPT_COLUMNS.items())
+
+
+def _answers(most: int) -> str:
+    """The first answer of each company within some attempts, else the last failure."""
+    return f"""SELECT company, arg_min(struct_pack(
+          industry := CASE WHEN enrichment_status = 'enriched' THEN industry END,
+          company_size := CASE WHEN enrichment_status = 'enriched' THEN company_size END,
+          company_domain := CASE WHEN enrichment_status = 'enriched' THEN company_domain END,
+          enrichment_status := enrichment_status, provider_record_found := provider_record_found,
+          error_message := error_message, attempts := attempt),
+        CASE WHEN enrichment_status = 'failed' THEN 100 - attempt ELSE attempt END) AS r
+      FROM attempts WHERE attempt <= {most} GROUP BY company"""
+
+
 _LEADS = ", ".join(f"{sql} AS {c}" for c, sql in LEAD_COLUMNS.items())
 _FIELDS = (
     "source_row_number, full_name, first_name, last_name, raw_email, email, title, company, "
@@ -177,16 +271,14 @@ _STEPS = {
       {_COMPANY_DOMAIN} AS company_domain,
       CASE WHEN company IS NULL THEN 'not_found' ELSE 'enriched' END AS enrichment_status
       FROM merged""",
-    "answered": """SELECT * REPLACE (
-        CASE WHEN company = 'air inc' THEN NULL ELSE industry END AS industry,
-        CASE WHEN company = 'air inc' THEN NULL ELSE company_size END AS company_size,
-        CASE WHEN company = 'air inc' THEN NULL ELSE company_domain END AS company_domain,
-        CASE WHEN company = 'air inc' THEN 'failed' ELSE enrichment_status END AS enrichment_status),
-      CASE WHEN company = 'air inc' THEN 3 ELSE 1 END AS attempts,
-      company IS NOT NULL AND company <> 'air inc' AS provider_record_found,
-      CASE WHEN company IS NULL THEN 'missing_company'
-           WHEN company = 'air inc' THEN 'provider_unavailable' END AS error_message
-      FROM enriched""",
+    "attempts": f"""SELECT company, attempt, {_ATTEMPTS} FROM (
+      SELECT {FIRM} AS company, {ATTEMPT} AS attempt, min(c_custkey) AS k FROM customer c GROUP BY ALL)""",
+    "answers_of_two": _answers(2),
+    "answers_of_three": _answers(3),
+    "answered": """SELECT merged.*, r.industry AS industry, r.company_size AS company_size,
+      r.company_domain AS company_domain, r.enrichment_status AS enrichment_status, r.attempts AS attempts,
+      r.provider_record_found AS provider_record_found, r.error_message AS error_message
+      FROM merged LEFT JOIN answers_of_two ON answers_of_two.company = merged.company""",
     "scored": _scored("enriched"),
     "scored_answers": _scored("answered"),
     "clean": """SELECT source_row_number, first_name, last_name, full_name, email, title, company,
@@ -234,12 +326,13 @@ _QUERIES = {
       attempts FROM answered""",
     "provider_scores": """SELECT source_row_number, enrichment_status, lead_score, score_reasons
       FROM scored_answers""",
-    "shared_requests": f"SELECT source_row_number, company, title, {_ENRICHMENT} FROM (SELECT *, "
-      f"""CASE WHEN company = 'air inc' THEN NULL ELSE {_INDUSTRY} END AS industry,
-      CASE WHEN company = 'air inc' THEN NULL ELSE {_SIZE} END AS company_size,
-      CASE WHEN company = 'air inc' THEN NULL ELSE {_COMPANY_DOMAIN} END AS company_domain,
-      CASE WHEN company IS NULL THEN 'not_found' WHEN company = 'air inc' THEN 'failed'
-        ELSE 'enriched' END AS enrichment_status FROM accepted)""",
+    "shared_requests": """SELECT source_row_number, accepted.company AS company, r.industry AS industry,
+      r.company_size AS company_size, r.company_domain AS company_domain, r.enrichment_status AS enrichment_status
+      FROM accepted LEFT JOIN answers_of_three a ON a.company = accepted.company""",
+    "numbered_orders": "SELECT row_number() OVER () AS source_row_number, o_orderkey FROM orders",
+    "lead_balance": """SELECT 'raw' AS result, count(*) AS leads FROM raw
+      UNION ALL SELECT 'clean', count(DISTINCT email) FROM norm
+      UNION ALL SELECT 'rejected', count(*) - count(DISTINCT email) FROM norm""",
     "rule_match": f"""SELECT source_row_number, title,
       {_rule('lower(title)', SCORING_RULES['title_function_scores'], 'name')} AS title_function,
       {_rule('lower(title)', SCORING_RULES['seniority_scores'], 'name')} AS seniority FROM norm""",

@@ -21,8 +21,10 @@ def main() -> None:
     parser.add_argument("--output", required=True)
     parser.add_argument("--rules", help="JSON file of scoring rules")
     parser.add_argument("--countries", help="JSON file of countries")
-    parser.add_argument("--single-line", action="store_true",
-                        help="no cell holds a line break, so that files can be split")
+    parser.add_argument("--multiline", action="store_true",
+                        help="cells may hold line breaks; each file is then one task")
+    parser.add_argument("--reject-malformed", action="store_true",
+                        help="reject malformed CSV rows instead of failing")
     parser.add_argument("--all-leads", action="store_true", help="export leads that are not ready, too")
     parser.add_argument("--csv-copies", action="store_true")
     parser.add_argument("--overwrite", action="store_true")
@@ -33,7 +35,8 @@ def main() -> None:
         spark,
         args.input,
         args.output,
-        multiline=not args.single_line,
+        multiline=args.multiline,
+        malformed="reject" if args.reject_malformed else "fail",
         rules=load_scoring_rules(args.rules) if args.rules else None,
         countries=load_countries(args.countries) if args.countries else None,
         ready_only=not args.all_leads,

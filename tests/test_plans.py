@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as registry
+from leadmill.plans import run_job
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -18,13 +19,37 @@ def nodes(text, name):
     return re.findall(rf"^[ :+\-*()\d]*{name}\b.*", text, re.M)
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(registry.LLM_QUERIES)))
 def test_no_query_pairs_rows_without_a_key(spark, name):
     text = plan(spark, name)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert not nodes(text, "Window")
 
 
+@pytest.mark.parametrize("name", ["summary_scalars", "reason_counts"])
+def test_the_report_scans_once_and_joins_nothing_with_itself(spark, name):
+    text = plan(spark, name)
+    assert len([n for n in nodes(text, "FileScan parquet") if "o_orderkey" in n]) == 1
+    assert "LeftAnti" not in text
+
+
+def test_rows_of_the_job_are_numbered_and_rejected_at_scale(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name in "abc":
+        (tmp_path / "in" / f"{name}.csv").write_text(
+            "Name,Email,Title,Company,Phone,Source,Country,Created At\n" + "".join(f"n{i},{name}{i % 40}@x.io,,,,,,\n" for i in range(90)))
+    job = run_job(spark, str(tmp_path / "in"), str(tmp_path / "out"), keep_staged=True)
+    text = job.normalized._jdf.queryExecution().executedPlan().toString()
+    assert not nodes(text, "Window") and "SinglePartition" not in text
+    assert sorted(r[0] for r in job.normalized.select("source_row_number").collect()) == list(range(1, 271))
+
+
+def test_only_accepted_rows_are_joined_for_the_rejects(spark):
+    text = plan(spark, "rejected_leads")
+    # The rows that break a rule are one side of a union, without an exchange below it.
+    assert nodes(text, "Union") and len([n for n in nodes(text, ".*Join") if "LeftAnti" in n]) == 1
+
+
 def test_groups_are_reduced_before_they_are_shuffled(spark):
     for name in ("merge_leads", "clean_leads", "reason_counts", "status_counts"):
         text = plan(spark, name)
