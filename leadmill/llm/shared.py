@@ -39,7 +39,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith(("local[", "local-")) and spark.sparkContext.master != "local":
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/leadmill-llm-{uuid.uuid4().hex}"
