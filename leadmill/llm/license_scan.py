@@ -1,8 +1,10 @@
 """Licences by sentences: known sentences become identifiers, their sequence is matched by rules.
 
 A text is cut into sentences at line breaks and after ``.``, ``!``, ``?``, ``:`` or ``;`` before white
-space. A sentence is normalised to its lower-cased runs of a-z and 0-9, joined by one space. The
-known ones among a text's sentences, in order, are its sequence of identifiers. A rule is a licence
+space. A sentence is normalised to its lower-cased runs of a-z and 0-9, joined by one space. A known
+sentence may also run over several lines, whatever marks begin and end them, but not over an
+empty line or one of marks only; of known sentences that begin at the same place the longest is taken.
+The known ones among a text's sentences, in order, are its sequence of identifiers. A rule is a licence
 and the identifiers that must follow each other in it; rules are tried in order, and an identifier
 that a rule has used is not there for later ones.
 
@@ -42,6 +44,36 @@ SENTENCES = {
                    "any later version.",
     "gpl-3-only-terms": "you can redistribute it and/or modify it under the terms of the GNU General Public License "
                         "as published by the Free Software Foundation, version 3.",
+    "gpl-terms": "you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+                 "published by the Free Software Foundation;",
+    "gpl-2-terms": "you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+                   "published by the Free Software Foundation, either version 2 of the License, or (at your option) "
+                   "any later version.",
+    "gpl-2-only-terms": "you can redistribute it and/or modify it under the terms of the GNU General Public License "
+                        "version 2 as published by the Free Software Foundation.",
+    "lgpl-free": "This library is free software:",
+    "lgpl-terms": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+                  "as published by the Free Software Foundation;",
+    "lgpl-3-terms": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+                    "License as published by the Free Software Foundation, either version 3 of the License, or (at "
+                    "your option) any later version.",
+    "agpl-terms": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License "
+                  "as published by the Free Software Foundation;",
+    "agpl-3-terms": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+                    "License as published by the Free Software Foundation, either version 3 of the License, or (at "
+                    "your option) any later version.",
+    "or-later-2": "either version 2 of the License, or (at your option) any later version.",
+    "or-later-2.1": "either version 2.1 of the License, or (at your option) any later version.",
+    "or-later-3": "either version 3 of the License, or (at your option) any later version.",
+    "only-2": "version 2 of the License.",
+    "only-2.1": "version 2.1 of the License.",
+    "only-3": "version 3 of the License.",
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without "
+                 "fee is hereby granted, provided that the above copyright notice and this permission notice appear "
+                 "in all copies.",
+    "isc-and-grant": "Permission to use, copy, modify, and distribute this software for any purpose with or without "
+                     "fee is hereby granted, provided that the above copyright notice and this permission notice "
+                     "appear in all copies.",
     "cc-by-nc-short": "Licensed under CC BY-NC 4.0.",
     "cc-by-short": "Licensed under CC BY 4.0.",
     "cc-by-sa-work": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
@@ -73,7 +105,24 @@ RULES = [
     ("MIT", ["mit-licensed"]),
     ("GPL-3.0-or-later", ["gpl-free", "gpl-3-terms"]),
     ("GPL-3.0-only", ["gpl-free", "gpl-3-only-terms"]),
+    ("GPL-3.0-or-later", ["gpl-free", "gpl-terms", "or-later-3"]),
+    ("GPL-3.0-only", ["gpl-free", "gpl-terms", "only-3"]),
+    ("GPL-2.0-or-later", ["gpl-free", "gpl-terms", "or-later-2"]),
+    ("GPL-2.0-or-later", ["gpl-free", "gpl-2-terms"]),
+    ("GPL-2.0-only", ["gpl-free", "gpl-terms", "only-2"]),
+    ("GPL-2.0-only", ["gpl-free", "gpl-2-only-terms"]),
+    *[(name, [free, *terms]) for free in ("lgpl-free", "gpl-free") for name, terms in [
+        ("LGPL-2.1-or-later", ["lgpl-terms", "or-later-2.1"]),
+        ("LGPL-2.1-only", ["lgpl-terms", "only-2.1"]),
+        ("LGPL-3.0-or-later", ["lgpl-terms", "or-later-3"]),
+        ("LGPL-3.0-or-later", ["lgpl-3-terms"]),
+        ("LGPL-3.0-only", ["lgpl-terms", "only-3"])]],
+    ("AGPL-3.0-or-later", ["gpl-free", "agpl-terms", "or-later-3"]),
+    ("AGPL-3.0-or-later", ["gpl-free", "agpl-3-terms"]),
+    ("AGPL-3.0-only", ["gpl-free", "agpl-terms", "only-3"]),
     ("GPL-3.0-only", ["gpl-3-short"]),
+    ("ISC", ["isc-grant"]),
+    ("ISC", ["isc-and-grant"]),
     ("CC-BY-NC-4.0", ["cc-by-nc-short"]),
     ("CC-BY-4.0", ["cc-by-short"]),
     ("CC-BY-4.0", ["cc-by-work"]),
@@ -85,8 +134,24 @@ RULES = [
 BREAK = r"\n+|(?<=[.!?:;])[ \t\r\f\x0B]+"
 
 
-def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+# Steps from a lower-cased text to its words, in which capitals stand for breaks: L for the end of a line,
+# over which a known sentence may run, S for the end of a sentence or paragraph.
+MARKS = [
+    (r"\n[^a-z0-9\n]++", "\n"),  # what begins a line, as in comments
+    (r"\n{2,}+", "S"),
+    (r"[.!?:;](?:[ \t\r\f\x0B]++|\n)", "S"),
+    (r"\n", "L"),
+    (r"[^a-z0-9LS]++", " "),
+    (r"[ L]*+S[ LS]*+", "S"),
+    (r" ?L ?", "L"),
+]
+
+
+def marked(text: Column) -> Column:
+    words = F.concat(F.lit("\n\n"), F.lower(F.coalesce(text, F.lit(""))), F.lit("\n\n"))
+    for pattern, mark in MARKS:
+        words = F.regexp_replace(words, pattern, mark)
+    return words
 
 
 def _plain(sentence: str) -> str:
@@ -111,8 +176,9 @@ def scan_licenses(df: DataFrame, id_column: str = "doc_id", text: str = "text",
     identifiers, parts = split_known(sentences or SENTENCES)
     known = F.create_map(*[F.lit(x) for pair in identifiers.items() for x in pair])
     rows = pick(df, id_column, text)
-    cut = F.split(F.coalesce(text, F.lit("")), BREAK)
-    found = F.filter(F.transform(cut, lambda s: F.element_at(known, normalised(s))), lambda i: i.isNotNull())
+    any_known = "|".join(s.replace(" ", "[ L]") for s in sorted(identifiers, key=len, reverse=True))
+    found = F.regexp_extract_all(marked(F.col(text)), F.lit(f"(?<=[LS])({any_known})(?=[LS])"), F.lit(1))
+    found = F.transform(found, lambda s: F.element_at(known, F.translate(s, "L", " ")))
     matched = rows.select(id_column, found.alias("sentence_ids"))
     # The sequence as text, in which a used stretch leaves a gap.
     state = F.concat(F.lit("|"), F.array_join("sentence_ids", "||"), F.lit("|"))
