@@ -23,6 +23,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
+# Near copies share five-word shingles from a similarity of 0.8; op7's query has a contract of its own.
+SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the rules learned from labels."""
@@ -34,7 +37,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
     docs = pick(docs, *COLUMNS)
-    groups = staged(near_duplicates(docs).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
+    found = near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
+    groups = staged(found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("rows")))
     kept = without_ids(docs, groups.filter("component_id != doc_id").select("doc_id"))
     repeated = groups.filter("component_id = doc_id AND rows > 1").select("doc_id")
