@@ -4,25 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadmill.llm.backoff_lm import BACKOFF, LEAST_COUNT, backoff_scores
 from leadmill.llm.decontaminate import find_passages
+from leadmill.llm.filter_audit import audit_filters
 from leadmill.llm.fixity import audit
 from leadmill.llm.html_text import main_texts
 from leadmill.llm.language_id import fit_languages, identify_languages, training_rows
 from leadmill.llm.license_scan import BREAK, RULES, SENTENCES, scan_licenses, split_known
 from leadmill.llm.ngram_join import near_duplicates
+from leadmill.llm.packing import pack_documents
 from leadmill.llm.piece_codec import encode_pieces
 from leadmill.llm.quality_rules import apply_rules, document_statistics, fit_rules
 from leadmill.llm.secret_scan import labelled_candidates, scan_secrets, train_forest
 from leadmill.llm.shared import staged
+from leadmill.llm.spelling import drop_some, spelling_variants, word_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-PIECES_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+def vocabulary(name: str) -> str:
+    """The path of a public tokenizer's file; only the queries that need one need the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, tables: str, name: str) -> DataFrame:
@@ -50,7 +57,7 @@ def op3_secrets(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def piece_digests(docs: DataFrame) -> DataFrame:
-    return encode_pieces(docs, PIECES_MODEL).select(
+    return encode_pieces(docs, vocabulary("piece_bpe_32k.model")).select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("token_ids", ","), 256).alias("ids_sha256"),
@@ -101,6 +108,18 @@ def op10_fixity(spark: SparkSession, tables: str) -> DataFrame:
     return audit(pages, replica.unionByName(doubled))
 
 
+def op11_filter_audit(spark: SparkSession, tables: str) -> DataFrame:
+    return audit_filters(table(spark, tables, "documents"), table(spark, tables, "labels"))
+
+
+def op12_packing(spark: SparkSession, tables: str) -> DataFrame:
+    return pack_documents(table(spark, tables, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op13_spelling(spark: SparkSession, tables: str) -> DataFrame:
+    return spelling_variants(word_counts(table(spark, tables, "documents"), drop_some))
+
+
 QUERIES: dict[str, Query] = {
     "op1_backoff_scores": op1_backoff_scores,
     "op2_decontamination": op2_decontamination,
@@ -112,6 +131,9 @@ QUERIES: dict[str, Query] = {
     "op8_language": op8_language,
     "op9_quality": op9_quality,
     "op10_fixity": op10_fixity,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_packing": op12_packing,
+    "op13_spelling": op13_spelling,
 }
 
 
@@ -172,4 +194,35 @@ ORACLE_SQL: dict[str, str] = {
         FROM a FULL JOIN b USING (page_id) LEFT JOIN places USING (page_id)
         WHERE a.texts IS DISTINCT FROM b.texts""",
     "op6_licenses": _licenses_sql(),
+    "op11_filter_audit": r"""
+        WITH cut AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        least AS (SELECT text, min(doc_id) AS least FROM cut GROUP BY text),
+        judged AS (SELECT doc_id, part,
+            {'A': len(words) < 100, 'B': 100 * len(list_distinct(words)) < 80 * len(words),
+             'C': 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text),
+             'D': regexp_matches(text, '[#$%&*|]'), 'E': coalesce(doc_id > least, false)} AS f
+            FROM cut JOIN least USING (text)),
+        marked AS (SELECT part, [f.A, f.B, f.C, f.D, f.E] AS fails,
+            coalesce((SELECT max(quality) FROM labels l WHERE l.doc_id = j.doc_id AND quality = 1), 0) AS good,
+            coalesce((SELECT max(toxic) FROM labels l WHERE l.doc_id = j.doc_id AND toxic = 1), 0) AS toxic FROM judged j),
+        cells AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM marked GROUP BY part, fails),
+        letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a JOIN letters b ON b.x <> a.x
+            JOIN letters c ON c.x NOT IN (a.x, b.x) JOIN letters d ON d.x NOT IN (a.x, b.x, c.x)
+            JOIN letters e ON e.x NOT IN (a.x, b.x, c.x, d.x)),
+        steps AS (SELECT filter_order, step, filter_order[step] AS letter FROM orders, range(1, 6) r(step)),
+        placed AS (SELECT part, filter_order, step, letter, n, good, toxic, fails['ABCDE'.position(letter)] AS fail,
+            len(list_filter(fails, lambda b: b)) AS n_fails,
+            coalesce(list_min(list_transform(list_filter(range(1, 6), lambda k: fails['ABCDE'.position(filter_order[k])]), lambda k: k)), 6) AS gone
+            FROM cells, steps),
+        found AS (SELECT part, filter_order, step, letter, sum(n) FILTER (gone > step) AS kept, sum(n) FILTER (gone = step) AS removed,
+            sum(n) FILTER (fail AND gone < step) AS redundant, sum(n) FILTER (fail AND n_fails = 1) AS unique_fails,
+            sum(good) FILTER (gone = step) AS good_lost, sum(toxic) FILTER (gone = step) AS toxic_lost
+            FROM placed GROUP BY ALL)
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+            CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+            CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+            CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+            CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM found""",
 }

@@ -7,9 +7,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from leadmill.llm.piece_codec import MergeVocabulary, encode_pieces
-from leadmill.llm.queries import PIECES_MODEL, piece_digests
+from leadmill.llm.queries import piece_digests, vocabulary
 from tests.llm.frames import by_id, documents
 
+PIECES_MODEL = vocabulary("piece_bpe_32k.model")
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=PIECES_MODEL)
 TEXTS = ["", " ", "  a  b ", "hello\tworld\n\nfoo \n", "▁x ▁", "a<s>b</s><unk><0x41>", "漢字😀 é", "\x00a", None,
          "same text", "same text", "word " * 30_000 + "x" * 50_000]

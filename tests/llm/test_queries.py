@@ -19,6 +19,9 @@ COLUMNS = {
     "op8_language": "doc_id held_out lang_pred score",
     "op9_quality": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept failed_rule",
     "op10_fixity": "page_id file first_byte n_bytes replica_bytes state",
+    "op11_filter_audit": "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley",
+    "op12_packing": "doc_id piece start length ids_crc32 sequence_id offset",
+    "op13_spelling": "word form root n n_near form_n",
 }
 
 
@@ -29,7 +32,7 @@ def test_every_operator_has_its_query():
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_agrees_with_duckdb(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "labels"):
         connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{TABLES}/{table}.parquet'")
     columns = COLUMNS[name].split()
     expected = connection.sql(f"SELECT {', '.join(columns)} FROM ({ORACLE_SQL[name]})").fetchall()
@@ -39,12 +42,14 @@ def test_query_agrees_with_duckdb(spark, name):
     connection.close()
 
 
-@pytest.mark.parametrize("name", sorted(set(COLUMNS) - set(ORACLE_SQL)))
+@pytest.mark.parametrize("name", sorted(set(COLUMNS) - set(ORACLE_SQL) - {"op13_spelling"}))
 def test_query_returns_every_row_of_its_table(spark, name):
     found = QUERIES[name](spark, TABLES)
     assert found.columns == COLUMNS[name].split()
     table = "pages" if name == "op5_main_text" else "documents"
     whole = queries.table(spark, TABLES, table).count()
+    if name == "op12_packing":
+        found = found.filter("piece = 0")
     assert found.count() == whole or name == "op2_decontamination" and 0 < found.count() < whole
 
 
