@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from leadmill.llm.shared import pick, pieces, staged, unstage
 
@@ -48,68 +48,110 @@ POPULATION, CHILDREN, ELITE = 6, 4, 2
 # Of the bins of a packing: one in so many is injected, emptied by a mutation, given up by a shard.
 INJECTED, MUTATED, GIVEN_UP = 8, 12, 8
 
-# Words are cut at white space that every version of the vocabulary's patterns counts as such.
-WORD = re.compile(r"[^ \t\n\r]+")
-# A task remembers up to twice so many words, none of them longer than so many characters.
-REMEMBERED_WORDS, REMEMBERED_LENGTH = 100_000, 40
+# Words are cut at white space; four control characters are that for str.split, but not for the vocabulary.
+WORD, CONTROLS = re.compile(r"[^ \t\n\r]+"), re.compile("[\x1c-\x1f]")
+# How the vocabulary's pattern cuts words of these characters, made small, into units.
+CUT_HERE = re.compile("[!-~¡-ÿ]+")
+UNIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^a-zªµºß-öø-ÿ0-9²³¹¼½¾\n]+|\n")
+# A task remembers up to twice so many words and units, none of them longer than so many characters.
+REMEMBERED_WORDS, REMEMBERED_LENGTH = 250_000, 40
 # Longest text that is encoded whole to check the words' ids, one in each piece of a batch.
 CHECKED_LENGTH = 10_000
 
 
+class Remembered:
+    """Ids of strings met lately, made many at a time."""
+
+    def __init__(self, learn: Callable[[list[str]], Iterable[bytes]]):
+        self.learn = learn
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def of(self, strings: set[str]) -> dict[str, bytes]:
+        """Ids of at least these strings."""
+        young, old = self.young, self.old
+        new = []
+        for s in strings:
+            if s not in young:
+                if s in old:
+                    young[s] = old[s]
+                else:
+                    new.append(s)
+        young.update(zip(new, self.learn(new), strict=True))
+        if len(young) > REMEMBERED_WORDS:
+            self.old, self.young = {s: i for s, i in young.items() if len(s) <= REMEMBERED_LENGTH}, {}
+        return young
+
+
 class WordIds:
     """Ids of texts as the library gives them, from the remembered ids of their words.
 
-    The vocabulary's pattern never goes across white space, so words are encoded on their own, many
-    new ones at a time with a special token between them.
+    The vocabulary's pattern never goes across white space, so words are encoded on their own. Words
+    of ordinary characters are cut into units here, and new units are merged by the library without its
+    pattern; other words go through all of the library, with a special token between them.
     """
 
     def __init__(self, path: str):
-        self.library = Tokenizer.from_file(path)
+        self.library, self.bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.bare.normalizer = None
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         special = [(i, t.content) for i, t in self.library.get_added_tokens_decoder().items()
                    if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
         self.between, self.mark = special[0]
-        self.special = [t for _, t in special]
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _encoded(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def learn(self, words: list[str]) -> None:
-        plain = [w for w in words if not any(s in w for s in self.special)]
-        for word in set(words).difference(plain):
-            self.young[word] = self._encoded(word).tobytes()
-        for first in range(0, len(plain), 5_000):
-            some = plain[first:first + 5_000]
-            ids = self._encoded(f" {self.mark} ".join(some))
-            cuts = np.flatnonzero(ids == self.between)
-            if len(cuts) != len(some) - 1:
-                raise ValueError("the vocabulary does not encode words on their own")
+        self.special = re.compile("|".join(re.escape(t) for _, t in special))
+        names = self.library.get_vocab()
+        self.ends_unit = np.zeros(max(names.values()) + 1, bool)
+        self.ends_unit[[i for name, i in names.items() if name.endswith(self.library.model.end_of_word_suffix)]] = True
+        self.units, self.words = Remembered(self._units), Remembered(self._words)
+
+    def _encoded(self, library: Tokenizer, text: str) -> np.ndarray:
+        return np.array(library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _split(self, library: Tokenizer, strings: list[str], between: str) -> Iterator[bytes]:
+        for first in range(0, len(strings), 5_000):
+            some = strings[first:first + 5_000]
+            ids = self._encoded(library, between.join(some))
+            if library is self.bare:
+                ends = np.flatnonzero(self.ends_unit[ids]) + 1
+                starts = np.concatenate([[0], ends[:-1]])
+            else:
+                cuts = np.flatnonzero(ids == self.between)
+                starts, ends = np.concatenate([[0], cuts + 1]), np.concatenate([cuts, [len(ids)]])
             data = ids.tobytes()
-            bounds = zip([0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(data)], strict=True)
-            self.young.update((w, data[a:b]) for w, (a, b) in zip(some, bounds, strict=True))
+            yield from [data[a:b] for a, b in zip((4 * starts).tolist(), (4 * ends).tolist(), strict=True)]
+
+    def _units(self, units: list[str]) -> Iterator[bytes]:
+        return self._split(self.bare, units, " ")
+
+    def _words(self, words: list[str]) -> Iterator[bytes]:
+        cut_here = [bool(CUT_HERE.fullmatch(w)) for w in words]
+        if self.special.search("\n".join(words)):
+            whole = {w: self._encoded(self.library, w).tobytes() for w in words if self.special.search(w)}
+            cut_here = [here and w not in whole for here, w in zip(cut_here, words, strict=True)]
+        else:
+            whole = {}
+        units = UNIT.findall("\n".join([w for w, here in zip(words, cut_here, strict=True) if here]).lower())
+        ids_of = self.units.of(set(units).difference("\n"))
+        rest = self._split(self.library, [w for w, here in zip(words, cut_here, strict=True) if not here and w not in whole], f" {self.mark} ")
+        units.append("\n")
+        first = 0
+        for word, here in zip(words, cut_here, strict=True):
+            if here:
+                end = units.index("\n", first)
+                yield b"".join([ids_of[u] for u in units[first:end]])
+                first = end + 1
+            else:
+                yield whole[word] if word in whole else next(rest)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        cut = [WORD.findall(text or "") for text in texts]
-        young, old = self.young, self.old
-        new = []
-        for word in set().union(*cut):
-            if word not in young:
-                if word in old:
-                    young[word] = old[word]
-                else:
-                    new.append(word)
-        self.learn(new)
-        made = [b"".join([young[w] for w in words]) for words in cut]
+        cut = [[] if not t else WORD.findall(t) if CONTROLS.search(t) else t.split() for t in texts]
+        ids_of = self.words.of(set().union(*cut))
+        made = [b"".join([ids_of[w] for w in words]) for words in cut]
         checked = next((i for i, t in enumerate(texts) if t and len(t) <= CHECKED_LENGTH), None)
-        if checked is not None and self._encoded(texts[checked]).tobytes() != made[checked]:
+        if checked is not None and self._encoded(self.library, texts[checked]).tobytes() != made[checked]:
             raise ValueError(f"the library encodes {texts[checked]!r} in another way")
-        for word in new:
-            if len(word) > REMEMBERED_LENGTH:
-                del young[word]
-        if len(young) > REMEMBERED_WORDS:
-            self.old, self.young = young, {}
         return made
 
 

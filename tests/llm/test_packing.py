@@ -52,7 +52,8 @@ def test_query_packs_every_document(spark):
 
 def test_odd_texts_are_encoded_as_the_library_does(spark):
     texts = [None, "", " ", "it's I'LL we'RE 'd", "a<|endoftext|>b <|startoftext|>", "é ́x", "İstanbul ΣΑΣ",
-             " x\x0by\x1cz\x85w", "漢字かな 12345 ½ \U0001f600‍", "x" * 5_000, "word " * 5_000, "\t\r\n", "#$%^ ..."]
+             " x\x0by\x1cz\x85w", "漢字かな 12345 ½ \U0001f600‍", "x" * 5_000, "word " * 5_000, "\t\r\n", "#$%^ ...",
+             "A’s x's't ÀÉ×÷ß ªµº 12²½ \xadb\xa0c\x1f\x1ed \x7f \x01 Ÿ Ǆ ﬁ"]
     docs = documents(spark, *texts).union(spark.createDataFrame([(None, "none", "x", None, "s", 1, "y")] * 2, SCHEMA))
     docs = docs.union(documents(spark, "again"))
     rows = [(r.doc_id, r.text) for r in docs.collect()]
@@ -76,7 +77,7 @@ def test_many_shards_cost_about_one_sequence(spark, monkeypatch, kind):
     assert sorted(zip(found["doc_id"], found["length"])) == list(enumerate(lengths.tolist()))
     assert found.groupby("sequence_id")["length"].sum().max() <= capacity
     n_sequences = found["sequence_id"].nunique()
-    assert n_sequences <= {"mixed": -(-lengths.sum() // capacity) + 3, "equal": n, "halves": 1.02 * n / 2}[kind]
+    assert n_sequences <= {"mixed": -(-lengths.sum() // capacity) + 3, "equal": n, "halves": 1.03 * n / 2}[kind]
     again = pack_pieces(cut, capacity).toPandas()
     assert sorted(map(tuple, again.to_numpy().tolist())) == sorted(map(tuple, found.to_numpy().tolist()))
 
