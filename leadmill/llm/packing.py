@@ -25,6 +25,7 @@ named do not matter, whatever their names.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -51,8 +52,10 @@ INJECTED, MUTATED, GIVEN_UP = 8, 12, 8
 # Words are cut at white space; four control characters are that for str.split, but not for the vocabulary.
 WORD, CONTROLS = re.compile(r"[^ \t\n\r]+"), re.compile("[\x1c-\x1f]")
 # How the vocabulary's pattern cuts words of these characters, made small, into units.
-CUT_HERE = re.compile("[!-~¡-ÿ]+")
+CUT_HERE = re.compile("[!-~¡-ÿ\\n]*")
 UNIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^a-zªµºß-öø-ÿ0-9²³¹¼½¾\n]+|\n")
+# Four bytes that no ids hold, not even parts of two.
+NO_ID = b"\xff" * 4
 # A task remembers up to twice so many words and units, none of them longer than so many characters.
 REMEMBERED_WORDS, REMEMBERED_LENGTH = 250_000, 40
 # Longest text that is encoded whole to check the words' ids, one in each piece of a batch.
@@ -70,13 +73,9 @@ class Remembered:
     def of(self, strings: set[str]) -> dict[str, bytes]:
         """Ids of at least these strings."""
         young, old = self.young, self.old
-        new = []
-        for s in strings:
-            if s not in young:
-                if s in old:
-                    young[s] = old[s]
-                else:
-                    new.append(s)
+        unknown = strings.difference(young)
+        new = list(unknown.difference(old))
+        young.update((s, old[s]) for s in unknown.intersection(old))
         young.update(zip(new, self.learn(new), strict=True))
         if len(young) > REMEMBERED_WORDS:
             self.old, self.young = {s: i for s, i in young.items() if len(s) <= REMEMBERED_LENGTH}, {}
@@ -124,31 +123,31 @@ class WordIds:
     def _units(self, units: list[str]) -> Iterator[bytes]:
         return self._split(self.bare, units, " ")
 
-    def _words(self, words: list[str]) -> Iterator[bytes]:
-        cut_here = [bool(CUT_HERE.fullmatch(w)) for w in words]
-        if self.special.search("\n".join(words)):
-            whole = {w: self._encoded(self.library, w).tobytes() for w in words if self.special.search(w)}
-            cut_here = [here and w not in whole for here, w in zip(cut_here, words, strict=True)]
-        else:
-            whole = {}
-        units = UNIT.findall("\n".join([w for w, here in zip(words, cut_here, strict=True) if here]).lower())
-        ids_of = self.units.of(set(units).difference("\n"))
-        rest = self._split(self.library, [w for w, here in zip(words, cut_here, strict=True) if not here and w not in whole], f" {self.mark} ")
-        units.append("\n")
-        first = 0
-        for word, here in zip(words, cut_here, strict=True):
-            if here:
-                end = units.index("\n", first)
-                yield b"".join([ids_of[u] for u in units[first:end]])
-                first = end + 1
-            else:
-                yield whole[word] if word in whole else next(rest)
+    def _words(self, words: list[str]) -> list[bytes]:
+        text = "\n".join(words)
+        if not CUT_HERE.fullmatch(text) or self.special.search(text):
+            plain = [w for w in words if CUT_HERE.fullmatch(w) and not self.special.search(w)]
+            special = [w for w in words if self.special.search(w)]
+            rest = list(set(words).difference(plain, special))
+            ids_of = dict(zip(plain, self._cut(plain), strict=True))
+            ids_of.update(zip(rest, self._split(self.library, rest, f" {self.mark} "), strict=True))
+            ids_of.update((w, self._encoded(self.library, w).tobytes()) for w in special)
+            return [ids_of[w] for w in words]
+        return self._cut(words)
+
+    def _cut(self, words: list[str]) -> list[bytes]:
+        """Ids of words of ordinary characters."""
+        if not words:
+            return []
+        units = UNIT.findall("\n".join(words).lower())
+        ids_of = self.units.of(set(units).difference("\n")) | {"\n": NO_ID}
+        return b"".join(map(ids_of.__getitem__, units)).split(NO_ID)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
         cut = [[] if not t else WORD.findall(t) if CONTROLS.search(t) else t.split() for t in texts]
         ids_of = self.words.of(set().union(*cut))
-        made = [b"".join([ids_of[w] for w in words]) for words in cut]
+        made = [b"".join(map(ids_of.__getitem__, words)) for words in cut]
         checked = next((i for i, t in enumerate(texts) if t and len(t) <= CHECKED_LENGTH), None)
         if checked is not None and self._encoded(self.library, texts[checked]).tobytes() != made[checked]:
             raise ValueError(f"the library encodes {texts[checked]!r} in another way")
@@ -159,6 +158,7 @@ _vocabularies: dict[str, WordIds] = {}
 
 
 def _vocabulary(path: str) -> WordIds:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     if path not in _vocabularies:
         _vocabularies[path] = WordIds(path)
     return _vocabularies[path]
