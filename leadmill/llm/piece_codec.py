@@ -31,7 +31,9 @@ MARK = "▁"  # stands for a space
 SPACED = re.compile(" +[^ ]*")
 
 # A task remembers up to twice so many words, none of them longer than so many characters.
-REMEMBERED_WORDS, REMEMBERED_LENGTH = 300_000, 40
+REMEMBERED_WORDS, REMEMBERED_LENGTH = 150_000, 40
+# New words that are merged together, which bounds the matrices of their agendas.
+LEARNED_TOGETHER = 20_000
 # Longest word, its mark included, whose agenda is a row of a matrix.
 ROW_LENGTH = 24
 NEVER = np.int32(2**31 - 1)
@@ -61,8 +63,9 @@ class MergeVocabulary:
         self.line_break = array("i", [self.bytes[10]])
         self.split_lines = not any("\n" in p for p in self.ids if len(p) > 1)
         self._pair_table()
-        self.young: dict[str, tuple[bytes, str]] = {}
-        self.old: dict[str, tuple[bytes, str]] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.other_texts: dict[str, str] = {}  # of words that decoding does not give back as they are
 
     def _pair_table(self) -> None:
         """Sorted keys of the pairs that merge, with the rank and the id of what they become."""
@@ -190,7 +193,9 @@ class MergeVocabulary:
             text = "\n".join([self.decoded(ids_of[part]) for part in line])[1:]
             if text != word.replace(MARK, " ") or not self.texts.keys() >= set(ids).difference(self.line_break):
                 unusual.append((library, text))
-            self.young[word] = ids.tobytes(), word if text == word else text
+            self.young[word] = ids.tobytes()
+            if text != word:
+                self.other_texts[word] = text
         for (ids, ours), text in zip(unusual, self.library.decode([i for i, _ in unusual]), strict=True):
             if ours != text and ids:
                 raise ValueError(f"{ids} are decoded as {ours!r}, by the library as {text!r}")
@@ -203,25 +208,24 @@ class MergeVocabulary:
             if "" in words:  # spaces in a row or at an end, which belong to the next word
                 words = [w[1:] for w in SPACED.findall(" " + " ".join(words))] if text else []
             cut.append(words)
-        new = []
-        for word in set().union(*cut):
-            if word not in young:
-                if word in old:
-                    young[word] = old[word]
-                else:
-                    new.append(word)
-        if new:
-            self.learn(new)
-        ids, decoded = [], []
-        for words in cut:
-            found = [young[w] for w in words]
-            ids.append(b"".join([f[0] for f in found]))
-            decoded.append(" ".join([f[1] for f in found]))
+        words = set().union(*cut)
+        unknown = words.difference(young)
+        new = list(unknown.difference(old))
+        young.update((w, old[w]) for w in unknown.intersection(old))
+        for first in range(0, len(new), LEARNED_TOGETHER):
+            self.learn(new[first:first + LEARNED_TOGETHER])
+        ids = [b"".join(map(young.__getitem__, c)) for c in cut]
+        if words.isdisjoint(self.other_texts):
+            decoded = list(map(" ".join, cut))
+        else:
+            decoded = [" ".join([self.other_texts.get(w, w) for w in c]) for c in cut]
         for word in new:
             if len(word) > REMEMBERED_LENGTH:
                 del young[word]
+                self.other_texts.pop(word, None)
         if len(young) > REMEMBERED_WORDS:
             self.old, self.young = young, {}
+            self.other_texts = {w: t for w, t in self.other_texts.items() if w in young}
         return ids, decoded
 
 
