@@ -49,7 +49,7 @@ BOUNDARIES = [0, 8, 12, 16, 24, 32, 48, 64, 96]
 # One in so many list elements enters the estimate of costs, which changes no result.
 COST_SAMPLE = 16
 # Shingles that a task counts at a time to find frequent ones.
-COUNTED_TOGETHER = 4_000_000
+COUNTED_TOGETHER = 500_000
 # Rounds of comparing with centres before what is left is compared in pairs.
 ROUNDS = 2
 
