@@ -10,7 +10,9 @@ similarity is the sum of the smaller weights by the sum of the greater ones.
 A window that shares no shingle with any item has similarity 0, so only windows around shared
 shingles are hashed. Windows are placed at every word. Words are separated by ASCII white space and
 A-Z count as small; texts of fewer than WIDTH words have one shingle, all of their words, and a
-text shorter than an item is one window.
+text shorter than an item is one window. Of windows that are equally similar to an item the first counts.
+Long texts are worked through in slices of windows, so memory grows with a text's words by a few numbers
+each, and by a list of candidates.
 
 The benchmark goes to tasks in blocks of bounded size, each against all documents. Items and texts
 that are null or without words match nothing. Items of the same text match alike; repeated rows
@@ -38,6 +40,8 @@ RADIUS, BLOCKS = 20, 8
 BLOCK_BITS = 64 // BLOCKS
 # Text of benchmark items that is sent to tasks at a time.
 BENCHMARK_BYTES = 8 << 20
+# Windows whose hashes are made, and windows times items that are looked up, at a time.
+WINDOWS_TOGETHER, COMPARED_TOGETHER = 2_048, 2_000_000
 
 _BITS = np.arange(64, dtype=np.uint64)
 _ONES = np.array([bin(i).count("1") for i in range(1 << 16)], np.uint8)
@@ -67,21 +71,33 @@ def weighted_similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 @dataclass
 class Items:
-    """Items of one number of shingles: ids, shingles, hashes, and for each block its near items."""
+    """Items of one number of shingles: ids, shingles, hashes, and the index of their blocks.
+
+    For block b and value v of it, ``near[b][starts[b][v]:starts[b][v + 1]]`` are the numbers of the items
+    whose block is within RADIUS // BLOCKS bits of v.
+    """
 
     ids: list[int]
     shingles: list[np.ndarray]
     hashes: np.ndarray
-    near: np.ndarray
+    starts: list[np.ndarray]
+    near: list[np.ndarray]
 
     def candidates(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of windows and of items within RADIUS of each other."""
-        found = np.zeros((len(windows), len(self.ids)), bool)
-        for b in range(BLOCKS):
-            found |= self.near[b][_block(windows, b)]
-        w, i = np.nonzero(found)
-        within = distance(windows[w], self.hashes[i]) <= RADIUS
-        return w[within], i[within]
+        """Numbers of windows and of items within RADIUS of each other, by window and item."""
+        found = []
+        step = max(1, COMPARED_TOGETHER // len(self.ids))
+        for first in range(0, len(windows), step):
+            some = windows[first:first + step]
+            for b in range(BLOCKS):
+                value = _block(some, b)
+                start, n = self.starts[b][value], np.diff(self.starts[b])[value]
+                w = np.repeat(np.arange(len(some)), n)
+                i = self.near[b][np.repeat(start - np.cumsum(n) + n, n) + np.arange(len(w))]
+                within = distance(some[w], self.hashes[i]) <= RADIUS
+                found.append((w[within] + first) * len(self.ids) + i[within])
+        pairs = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
+        return pairs // len(self.ids), pairs % len(self.ids)
 
 
 def _block(hashes: np.ndarray, b: int) -> np.ndarray:
@@ -102,8 +118,13 @@ class BenchmarkIndex:
         for size in sorted({len(w) for w in whole} - {0}):
             mine = [i for i, w in enumerate(whole) if len(w) == size]
             hashes = np.concatenate([_packed(_votes(whole[i]).sum(0, keepdims=True)) for i in mine])
-            near = np.stack([_ONES[values[:, None] ^ _block(hashes, b)] <= RADIUS // BLOCKS for b in range(BLOCKS)])
-            self.by_size[size] = Items([ids[i] for i in mine], [whole[i] for i in mine], hashes, near)
+            near, starts = [], []
+            for b in range(BLOCKS):
+                block = _block(hashes, b)
+                of_value = [np.flatnonzero(_ONES[v ^ block] <= RADIUS // BLOCKS) for v in values]
+                near.append(np.concatenate(of_value).astype(np.int32))
+                starts.append(np.cumsum([0, *map(len, of_value)]))
+            self.by_size[size] = Items([ids[i] for i in mine], [whole[i] for i in mine], hashes, starts, near)
         self.longest = max(self.by_size, default=0)
 
     def matches(self, shingles: np.ndarray) -> dict[int, tuple[float, int, int]]:
@@ -119,23 +140,25 @@ class BenchmarkIndex:
         for first, last in zip(maybe[[0, *(gaps + 1)]], maybe[[*gaps, len(maybe) - 1]], strict=True):
             low, high = max(0, first - self.longest + 1), min(len(shingles), last + self.longest)
             inside = shingles[low:high]
-            sums = np.zeros((len(inside) + 1, 64), np.int32)
-            np.cumsum(_votes(inside), axis=0, out=sums[1:])
             shared = np.concatenate([[0], np.cumsum(np.isin(inside, self.known))])
-            for size, items in self.by_size.items():
-                length = min(size, len(inside))
-                starts = np.arange(len(inside) - length + 1)
-                # No window reaches the similarity with fewer shared shingles than this.
-                starts = starts[shared[starts + length] - shared[starts] >= SIMILARITY * max(size, length)]
-                if not len(starts):
-                    continue
-                windows = _packed(sums[starts + length] - sums[starts])
-                for w, i in zip(*items.candidates(windows), strict=True):
-                    start = int(starts[w])
-                    alike = weighted_similarity(inside[start:start + length], items.shingles[i])
-                    best = found.get(items.ids[i], (0.0, 0, 0))
-                    if alike >= SIMILARITY and alike > best[0]:
-                        found[items.ids[i]] = alike, int(low) + start, length
+            for begin in range(0, len(inside), WINDOWS_TOGETHER):
+                part = inside[begin:begin + WINDOWS_TOGETHER + self.longest]
+                sums = np.zeros((len(part) + 1, 64), np.int32)
+                np.cumsum(_votes(part), axis=0, out=sums[1:])
+                for size, items in self.by_size.items():
+                    length = min(size, len(inside))
+                    starts = np.arange(begin, min(begin + WINDOWS_TOGETHER, len(inside) - length + 1))
+                    # No window reaches the similarity with fewer shared shingles than this.
+                    starts = starts[shared[starts + length] - shared[starts] >= SIMILARITY * max(size, length)]
+                    if not len(starts):
+                        continue
+                    windows = _packed(sums[starts - begin + length] - sums[starts - begin])
+                    for w, i in zip(*items.candidates(windows), strict=True):
+                        start = int(starts[w])
+                        alike = weighted_similarity(inside[start:start + length], items.shingles[i])
+                        best = found.get(items.ids[i], (0.0, 0, 0))
+                        if alike >= SIMILARITY and alike > best[0]:
+                            found[items.ids[i]] = alike, int(low) + start, length
         return found
 
 

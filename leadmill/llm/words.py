@@ -82,7 +82,7 @@ def shingle_hashes(words: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.
         word = padded[at + k]
         if short.any():
             word = np.where(short & (k >= sizes[rows]), np.uint64(k + 1), word)
-        made += mix(word ^ _SHINGLE_FACTORS[k]) * _SHINGLE_FACTORS[k + 32]
+        made += word * _SHINGLE_FACTORS[k]
     return mix(made), upto
 
 

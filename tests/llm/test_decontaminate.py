@@ -1,12 +1,15 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from leadmill.llm import decontaminate
 from leadmill.llm.decontaminate import (
-    BLOCKS, RADIUS, BenchmarkIndex, distance, find_passages, weighted_similarity, without_passages,
+    BLOCKS, RADIUS, SIMILARITY, WIDTH, BenchmarkIndex, distance, find_passages, weighted_similarity, without_passages,
 )
+from leadmill.llm.words import shingle_hashes, word_hashes
 from tests.llm.frames import documents
 
 ITEM = "the quick brown fox jumps over the lazy dog while seven wizards make toxic brew for the evil queen and jack"
@@ -83,3 +86,59 @@ def test_the_index_finds_all_hashes_within_the_radius():
 @pytest.mark.parametrize(("a", "b", "expected"), [([1, 2, 3], [1, 2, 3], 1.0), ([1, 1, 2], [1, 2, 2], 0.5), ([1], [2], 0.0)])
 def test_weights_are_numbers_of_occurrences(a, b, expected):
     assert weighted_similarity(np.array(a, np.uint64), np.array(b, np.uint64)) == expected
+
+
+def edited(rng, passage):
+    """The passage with some words replaced, dropped, doubled or put in."""
+    made = []
+    for word in passage:
+        kind = rng.random() * 100
+        if kind < 1.2:
+            made.append(f"n{rng.randrange(10**6)}")
+        elif kind < 2:
+            pass
+        elif kind < 2.6:
+            made += [word, word]
+        elif kind < 3.2:
+            made += [word, f"n{rng.randrange(10**6)}"]
+        else:
+            made.append(word)
+    return made
+
+
+def test_edited_passages_equal_brute_force_over_all_windows():
+    rng = random.Random(11)
+    texts = [words(rng.randint(12, 160), 100 + k) for k in range(150)]
+    index = BenchmarkIndex(list(range(150)), texts)
+    whole = {i: s for items in index.by_size.values() for i, s in zip(items.ids, items.shingles, strict=True)}
+    found, expected = 0, 0
+    for k in range(300):
+        passage = edited(rng, texts[k % 150].split())
+        text = f"{words(rng.randint(0, 50), 10_000 + k)} {' '.join(passage)} {words(rng.randint(0, 50), 20_000 + k)}"
+        shingles, _ = shingle_hashes(*word_hashes(pa.array([text])), WIDTH)
+        item = whole[k % 150]
+        length = min(len(item), len(shingles))
+        best = max(weighted_similarity(shingles[a:a + length], item) for a in range(len(shingles) - length + 1))
+        matches = index.matches(shingles)
+        assert set(matches) <= {k % 150}
+        if best >= SIMILARITY:
+            expected += 1
+            found += k % 150 in matches and matches[k % 150][0] == best
+        else:
+            assert not matches
+    # The radius could lose a window; of these it loses none.
+    assert found == expected > 100
+
+
+def test_long_texts_full_of_passages_need_bounded_memory():
+    texts = [words(60, 1_000 + k) for k in range(2_000)]
+    index = BenchmarkIndex(list(range(2_000)), texts)
+    shingles, _ = shingle_hashes(*word_hashes(pa.array([" ".join(texts[:400])])), WIDTH)
+    far, _ = shingle_hashes(*word_hashes(pa.array([f"{words(300_000, 3)} {texts[7]} {words(300_000, 4)}"])), WIDTH)
+    tracemalloc.start()
+    matches = index.matches(shingles)
+    assert set(matches) == set(range(400)) and all(m[0] == 1.0 for m in matches.values())
+    assert index.matches(far) == {7: (1.0, 300_000, 56)}
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 250 << 20, peak
