@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer, pre_tokenizers
 
 from leadmill.llm.shared import pick, pieces, staged, unstage
+from leadmill.llm.words import by_row
 
 CAPACITY, END_ID = 2048, 0
 
@@ -49,15 +50,14 @@ POPULATION, CHILDREN, ELITE = 6, 4, 2
 # Of the bins of a packing: one in so many is injected, emptied by a mutation, given up by a shard.
 INJECTED, MUTATED, GIVEN_UP = 8, 12, 8
 
-# Words are cut at white space; four control characters are that for str.split, but not for the vocabulary.
-WORD, CONTROLS = re.compile(r"[^ \t\n\r]+"), re.compile("[\x1c-\x1f]")
-# How the vocabulary's pattern cuts words of these characters, made small, into units.
+# How the vocabulary's pattern cuts words (which have no ASCII white space) of these characters,
+# made small, into units.
 CUT_HERE = re.compile("[!-~¡-ÿ\\n]*")
 UNIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^a-zªµºß-öø-ÿ0-9²³¹¼½¾\n]+|\n")
 # Four bytes that no ids hold, not even parts of two.
 NO_ID = b"\xff" * 4
 # A task remembers up to twice so many words and units, none of them longer than so many characters.
-REMEMBERED_WORDS, REMEMBERED_LENGTH = 250_000, 40
+REMEMBERED_WORDS, REMEMBERED_LENGTH = 300_000, 40
 # Longest text that is encoded whole to check the words' ids, one in each piece of a batch.
 CHECKED_LENGTH = 10_000
 
@@ -143,15 +143,25 @@ class WordIds:
         ids_of = self.units.of(set(units).difference("\n")) | {"\n": NO_ID}
         return b"".join(map(ids_of.__getitem__, units)).split(NO_ID)
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit numbers."""
-        cut = [[] if not t else WORD.findall(t) if CONTROLS.search(t) else t.split() for t in texts]
-        ids_of = self.words.of(set().union(*cut))
-        made = [b"".join(map(ids_of.__getitem__, words)) for words in cut]
-        checked = next((i for i, t in enumerate(texts) if t and len(t) <= CHECKED_LENGTH), None)
-        if checked is not None and self._encoded(self.library, texts[checked]).tobytes() != made[checked]:
-            raise ValueError(f"the library encodes {texts[checked]!r} in another way")
-        return made
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and how many there are up to each text's end."""
+        cut = pa.compute.ascii_split_whitespace(pa.compute.fill_null(texts, ""))
+        coded = cut.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        ids_of = self.words.of(set(words))
+        of_word = list(map(ids_of.__getitem__, words))
+        flat = np.frombuffer(b"".join(of_word), "<u4")
+        sizes = np.fromiter(map(len, of_word), np.int64, len(of_word)) // 4
+        starts = np.cumsum(sizes) - sizes
+        at = coded.indices.to_numpy()
+        n = sizes[at]
+        ends = np.cumsum(n)
+        ids = flat[np.repeat(starts[at] - ends + n, n) + np.arange(n.sum())]
+        bounds = np.concatenate([[0], ends])[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
+        checked = next((i for i, t in enumerate(texts.slice(0, 20).to_pylist()) if t and len(t) <= CHECKED_LENGTH), None)
+        if checked is not None and self._encoded(self.library, texts[checked].as_py()).tobytes() != ids[bounds[checked]:bounds[checked + 1]].tobytes():
+            raise ValueError(f"the library encodes {texts[checked].as_py()!r} in another way")
+        return ids, bounds[1:]
 
 
 _vocabularies: dict[str, WordIds] = {}
@@ -180,8 +190,9 @@ def token_pieces(df: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_co
         ids_of = _vocabulary(vocabulary).encode
         for piece in pieces(batches, text):
             made = []
-            for row, ids in enumerate(ids_of(piece.column(text).to_pylist())):
-                ids += end
+            every, upto = ids_of(piece.column(text))
+            for row, mine in enumerate(by_row(every, upto)):
+                ids = mine.tobytes() + end
                 made += [(row, start // (4 * capacity), start // 4, len(part) // 4, zlib.crc32(part))
                          for start in range(0, len(ids), 4 * capacity) for part in [ids[start:start + 4 * capacity]]]
             row, *rest = np.array(made, np.int64).reshape(-1, 5).T
@@ -212,7 +223,8 @@ class Population:
         """The packing with the loose pieces, in this order, each put where the least space is left."""
         placed = np.ones(len(packing), bool)
         placed[loose] = False
-        _, numbers = np.unique(packing[placed], return_inverse=True)
+        used = np.bincount(packing[placed], minlength=1) > 0
+        numbers = (np.cumsum(used) - 1)[packing[placed]]
         packing = packing.copy()
         packing[placed] = numbers
         n = int(numbers.max()) + 1 if len(numbers) else 0
