@@ -16,7 +16,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import leadmill  # noqa: E402
 import oracles  # noqa: E402
 from leadmill import functions as L  # noqa: E402
-from leadmill.driver_tables import raw_leads, stored_attempts  # noqa: E402
+from leadmill.driver_tables import (  # noqa: E402
+    SecondRound,
+    raw_leads,
+    rule_keywords,
+    rule_texts,
+    stored_attempts,
+)
 from leadmill.fixed_values import SCORING_RULES  # noqa: E402
 from leadmill.operators import (  # noqa: E402
     accept_leads,
@@ -29,6 +35,7 @@ from leadmill.operators import (  # noqa: E402
     lead_completeness,
     merge_leads,
     normalize_leads,
+    reason_counts,
     reasons_text,
     reject_leads,
     score_leads,
@@ -42,17 +49,17 @@ from leadmill.operators.enrich import (  # noqa: E402
 )
 from leadmill.operators.provider import (  # noqa: E402
     ENRICHMENT_COLUMNS,
+    answers_of,
+    attempts_of,
     distinct_requests,
     enrichment_of,
     first_answers,
     join_answers,
+    open_requests,
+    provider_responses,
 )
-from leadmill.plans import (  # noqa: E402
-    Staging,
-    clean_from_merged,
-    count_rejects,
-    summarize_leads,
-)
+from leadmill.operators.rule_index import with_first_rule  # noqa: E402
+from leadmill.plans import Staging, clean_from_merged, run_job  # noqa: E402
 from leadmill.schema import NORMALIZED_COLUMNS, ROW_NUMBER  # noqa: E402
 from leadmill.sources.countries import country_dimension  # noqa: E402
 from leadmill.sources.leads import (  # noqa: E402
@@ -103,8 +110,16 @@ def clean(spark: SparkSession, tables: str) -> DataFrame:
     return clean_from_merged(merged(spark, tables))
 
 
+def normalized_once(spark: SparkSession, tables: str) -> DataFrame:
+    """The normalised leads as a table, for what reads them more than once."""
+    return _staged(spark).write(normalized(spark, tables), "normalized")
+
+
 def rejected(spark: SparkSession, tables: str) -> DataFrame:
-    leads = normalized(spark, tables)
+    return _rejects_of(normalized_once(spark, tables))
+
+
+def _rejects_of(leads: DataFrame) -> DataFrame:
     return all_rejects(leads, surviving_rows(accept_leads(leads)))
 
 
@@ -210,10 +225,9 @@ def lead_balance(spark: SparkSession, tables: str) -> DataFrame:
     def counted(df: DataFrame, name: str) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("leads")).select(F.lit(name).alias("result"), "leads")
 
-    found = counted(prepared(spark, tables), "raw")
-    for name, stage in (("clean", merged), ("rejected", rejected)):
-        found = found.unionByName(counted(stage(spark, tables), name))
-    return found
+    leads = normalized_once(spark, tables)
+    return counted(leads, "raw").unionByName(counted(merge_leads(accept_leads(leads)), "clean")).unionByName(
+        counted(_rejects_of(leads), "rejected"))
 
 
 def score_merged(spark: SparkSession, tables: str) -> DataFrame:
@@ -226,10 +240,42 @@ def clean_leads(spark: SparkSession, tables: str) -> DataFrame:
     return _with_reasons_as_text(clean(spark, tables))
 
 
+def _report(spark: SparkSession, tables: str) -> DataFrame:
+    """The report of the whole job over the leads."""
+    output = f"{_staged(spark).root}/job"
+    return run_job(spark, raw_leads(spark, tables), output, row_number=ROW_NUMBER).summary
+
+
 def summary_scalars(spark: SparkSession, tables: str) -> DataFrame:
-    return summarize_leads(normalized(spark, tables)).withColumns({
-        c: F.round(c, 9) for c in ("average_lead_score", "percent_enriched_from_raw")
-    })
+    rounded = {c: F.round(c, 9) for c in ("average_lead_score", "percent_enriched_from_raw")}
+    return _report(spark, tables).drop("enrichment_status_counts", "rejection_reason_counts").withColumns(rounded)
+
+
+def report_counts(spark: SparkSession, tables: str) -> DataFrame:
+    """Both maps of counts of the job's report, a row for each entry."""
+    report = _report(spark, tables)
+    parts = [report.select(F.lit(kind).alias("kind"), F.explode(f"{kind}_counts").alias("label", "leads"))
+             for kind in ("enrichment_status", "rejection_reason")]
+    return parts[0].unionByName(parts[1])
+
+
+def replayed_requests(spark: SparkSession, tables: str) -> DataFrame:
+    """Companies after a second round of requests: only those that two stored attempts left open are asked."""
+    staging, by = _staged(spark), ["company"]
+    requests = staging.write(distinct_requests(merged(spark, tables), by), "requests")
+    stored = stored_attempts(spark, tables).filter("attempt <= 2")
+    asked = staging.write(provider_responses(open_requests(requests, stored, by), SecondRound, 2), "asked")
+    fields = [f.name for f in stored.schema["response"].dataType]
+    again = attempts_of(asked, by).withColumn("response", F.struct(*[F.col(f"response.{f}").alias(f) for f in fields]))
+    log = staging.write(stored.withColumn("attempt", F.col("attempt").cast("bigint")).unionByName(again), "log")
+    tries = log.groupBy(F.col("company").alias("_company")).agg(F.max("attempt").alias("tries"))
+    known = answers_of(requests, log, by).join(tries, F.col("company").eqNullSafe(F.col("_company")))
+    return known.select("company", "leads", "response.industry", "response.company_size", "response.enrichment_status", "tries")
+
+
+def indexed_rules(spark: SparkSession, tables: str) -> DataFrame:
+    """The first of thousands of rules that has a keyword in each order's text."""
+    return with_first_rule(rule_texts(spark, tables), "text", rule_keywords(spark, tables), "place")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -259,7 +305,7 @@ def queries() -> dict[str, Query]:
         "accepted_leads": accepted,
         "rejected_invalid": lambda spark, tables: reject_leads(normalized(spark, tables)),
         "merge_leads": merged,
-        "rejected_duplicates": lambda spark, tables: duplicate_rejects(accepted(spark, tables)),
+        "rejected_duplicates": lambda spark, tables: duplicate_rejects(accept_leads(normalized_once(spark, tables))),
         "rejected_leads": rejected,
         "enrich_industry": _over(merged, "company", "title", industry=lambda: F.when(
             F.col("company").isNotNull(), infer_industry("company", "title"))),
@@ -278,7 +324,10 @@ def queries() -> dict[str, Query]:
         "crm_export_all": lambda spark, tables: crm_export(clean(spark, tables), ready_only=False),
         "summary_scalars": summary_scalars,
         "status_counts": lambda spark, tables: status_counts(clean(spark, tables)),
-        "reason_counts": lambda spark, tables: count_rejects(normalized(spark, tables)),
+        "reason_counts": lambda spark, tables: reason_counts(rejected(spark, tables)),
+        "report_counts": report_counts,
+        "replayed_requests": replayed_requests,
+        "indexed_rules": indexed_rules,
         "lead_balance": lead_balance,
         "numbered_orders": numbered_orders,
         **LLM_QUERIES,

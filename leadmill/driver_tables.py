@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadmill.operators.provider import ProviderResponse, TransientProviderError
+from leadmill.sources.leads import spread
+
 # Companies with a name of their own, which stored answers of a provider are about.
 FIRM = (
     "concat('Firm ', cast(c.c_custkey % 500 as string),"
@@ -113,7 +116,7 @@ RAW_NAMES = {
 
 def raw_leads(spark: SparkSession, tables: str) -> DataFrame:
     """One raw lead per order, under the contract's column names."""
-    orders = spark.read.parquet(f"{tables}/orders.parquet").alias("o")
+    orders = _spread(spark.read.parquet(f"{tables}/orders.parquet")).alias("o")
     customer = spark.read.parquet(f"{tables}/customer.parquet").alias("c")
     joined = orders.join(customer, F.expr("o.o_custkey = c.c_custkey"))
     return joined.select(
@@ -121,6 +124,12 @@ def raw_leads(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Rows of a file that one task reads, dealt out by key; bigger tables stay where they are read."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return spread(rows, cores if rows.rdd.getNumPartitions() < cores else None, "o_orderkey")
+
+
 # Attempts to enrich the firms, as a provider that was asked earlier left them: of the customers with a
 # firm and a number of attempt, the one with the smallest key decides what came back.
 ATTEMPT_COLUMNS = {
@@ -145,3 +154,40 @@ def stored_attempts(spark: SparkSession, tables: str) -> DataFrame:
     answered = {c: F.when(F.col("enrichment_status") == "enriched", F.col(c))
                 for c in ("industry", "company_size", "company_domain")}
     return values.withColumns(answered).select("company", "attempt", F.struct(*ATTEMPT_COLUMNS).alias("response"))
+
+
+class SecondRound:
+    """A provider that knows companies with a name of even length, and is busy for every third length."""
+
+    provider_name = "second round"
+
+    def enrich(self, request: dict) -> ProviderResponse:
+        size = len(request["company"] or "")
+        if size % 3 == 0:
+            raise TransientProviderError("busy again")
+        status = "not_found" if size % 2 else "enriched"
+        return ProviderResponse("media" if status == "enriched" else None, None, None, status, self.provider_name, status == "enriched")
+
+
+# Texts in which thousands of rules look for a firm, a desk or a title, and their keywords; the place of
+# a rule is its number. Both from the same tables.
+RULE_TEXT = f"concat(coalesce(lower(nullif(trim({LEAD_COLUMNS['title']}), '')), 'no title'), ' at ', lower({FIRM}), ' desk ', cast(o.o_orderkey % 9000 as string))"
+RULE_KEYWORDS = {
+    "orders": ("cast(o_orderkey * 2 + 1 as int)", "concat('desk ', cast(o_orderkey as string))", "o_orderkey < 5000"),
+    "customer": ("cast(c_custkey * 3 + 2 as int)", f"lower({FIRM.replace('c.c_custkey', 'c_custkey')})", "c_custkey % 7 = 0"),
+}
+
+
+def rule_texts(spark: SparkSession, tables: str) -> DataFrame:
+    """``source_row_number`` and ``text``, one for each order."""
+    orders = _spread(spark.read.parquet(f"{tables}/orders.parquet")).alias("o")
+    customer = spark.read.parquet(f"{tables}/customer.parquet").alias("c")
+    return orders.join(customer, F.expr("o.o_custkey = c.c_custkey")).select(
+        F.expr(LEAD_COLUMNS["source_row_number"]).alias("source_row_number"), F.expr(RULE_TEXT).alias("text"))
+
+
+def rule_keywords(spark: SparkSession, tables: str) -> DataFrame:
+    """``place`` and ``keyword`` of thousands of rules."""
+    parts = [spark.read.parquet(f"{tables}/{name}.parquet").filter(some).select(
+        F.expr(place).alias("place"), F.expr(keyword).alias("keyword")) for name, (place, keyword, some) in RULE_KEYWORDS.items()]
+    return parts[0].unionByName(parts[1])

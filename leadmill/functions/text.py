@@ -47,3 +47,8 @@ def is_present(c: Column | str, kind: str = "string") -> Column:
     else:
         found = c.isNotNull()
     return F.coalesce(c.isNotNull() & found, F.lit(False))
+
+
+def quoted(text: str) -> str:
+    """A regular expression for just this text; an end mark inside it is quoted on its own."""
+    return r"\Q" + text.replace(r"\E", r"\E\\E\Q") + r"\E"

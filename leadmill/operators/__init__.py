@@ -10,6 +10,7 @@ from leadmill.operators.merge import (
     duplicate_rejects,
     lead_completeness,
     merge_leads,
+    ordered_rejects,
     surviving_rows,
 )
 from leadmill.operators.normalize import normalize_leads
@@ -41,6 +42,7 @@ __all__ = [
     "lead_completeness",
     "merge_leads",
     "normalize_leads",
+    "ordered_rejects",
     "provider_responses",
     "reason_counts",
     "reasons_text",

@@ -89,6 +89,22 @@ def all_rejects(
         duplicate_rejects(accept_leads(normalized, rules), survivors))
 
 
+def ordered_rejects(rejects: DataFrame, merged: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Rejects in the order of a report: rows that broke a rule, then duplicates beside each other, each by row.
+
+    Duplicates are ordered by the row that they were merged into, which ``merged`` (any frame with the row
+    numbers and e-mails of merged leads) has. Rows are dealt to tasks by ranges of this order, sampled by
+    Spark, and sorted in them; written files follow one another in it. An e-mail that very many rows share
+    is cut by row number like any other range, and in the join by Spark where it is too big.
+    """
+    duplicate = F.col("drop_reason") == MERGED_DUPLICATE
+    into = merged.select(F.col("email").alias("_email"), F.col(ROW_NUMBER).alias("_into"))
+    keyed = rejects.join(into, duplicate & (F.col("email") == F.col("_email")), "left")
+    order = [F.coalesce(duplicate, F.lit(False)), F.coalesce("_into", F.lit(0)), F.col(ROW_NUMBER)]
+    dealt = keyed.repartitionByRange(tasks, *order) if tasks else keyed.repartitionByRange(*order)
+    return dealt.sortWithinPartitions(*order).drop("_email", "_into")
+
+
 def lead_completeness(df: DataFrame) -> DataFrame:
     """Append how many of the lead fields hold a value."""
     present = [is_present(c).cast("int") for c in LEAD_FIELDS if c in df.columns]

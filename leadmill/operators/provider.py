@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from leadmill.fixed_values import ENRICHED, FAILED, NOT_FOUND
 from leadmill.functions.text import normalize_text
 from leadmill.schema import ROW_NUMBER
+from leadmill.sources.files import exists
 
 REQUEST_FIELDS = ["email", "company", "full_name", "title", "country"]
 ENRICHMENT_COLUMNS = ["industry", "company_size", "company_domain", "enrichment_status"]
@@ -143,22 +144,79 @@ def distinct_requests(leads: DataFrame, by: Sequence[str] = REQUEST_FIELDS) -> D
     return leads.groupBy(*by).agg(F.count(F.lit(1)).alias("leads"))
 
 
-def first_answers(attempts: DataFrame, by: Sequence[str], max_attempts: int = 3) -> DataFrame:
+def first_answers(attempts: DataFrame, by: Sequence[str], max_attempts: int | None = 3) -> DataFrame:
     """One ``response`` per request out of stored attempts: the first that did not fail.
 
     ``attempts`` has the request's columns, ``attempt`` (1 is the first) and a ``response``. Those
-    after ``max_attempts`` were too late; a request all of whose attempts failed keeps the last
+    after ``max_attempts`` were too late, if that is given; a request all of whose attempts failed keeps the last
     failure. Failed requests can thus be replayed by adding rows. Aggregated map-side.
     """
-    if max_attempts < 1:
+    if max_attempts is not None and max_attempts < 1:
         raise ValueError("max_attempts must be at least 1")
     failed = F.col("response.enrichment_status") == FAILED
     # Answers before failures, the earliest answer, the latest failure.
     rank = F.struct(failed, F.when(failed, -F.col("attempt")).otherwise(F.col("attempt")))
-    return attempts.filter(F.col("attempt") <= max_attempts).groupBy(*by).agg(
+    in_time = attempts if max_attempts is None else attempts.filter(F.col("attempt") <= max_attempts)
+    return in_time.groupBy(*by).agg(
         F.min_by("response", rank).alias("response"))
 
 
+LOG_RUN = "run"
+
+
+def attempts_made(spark: SparkSession, log: str, but: str | None = None) -> DataFrame | None:
+    """The log of attempts, without those of one run; null if there is no log yet."""
+    if not exists(spark, log):
+        return None
+    made = spark.read.parquet(log)
+    return made if but is None else made.filter(F.col(LOG_RUN) != _part(but))
+
+
+def _part(run: str) -> str:
+    """A run's part of the log, which no reader takes for a number or a date."""
+    return f"run_{run}"
+
+
+def open_requests(requests: DataFrame, made: DataFrame | None, by: Sequence[str]) -> DataFrame:
+    """The requests that no attempt has answered, with ``tried``, the attempts so far (0 for new ones).
+
+    ``made`` has the request's columns, ``attempt`` and ``response``. It is reduced to a row for each
+    request, map-side first, and joined with nulls taken as equal.
+    """
+    if made is None:
+        return requests.withColumn("tried", F.lit(0).cast("bigint"))
+    names = {c: f"_key_{c}" for c in by}
+    answered = F.max(F.col("response.enrichment_status") != FAILED).alias("_answered")
+    state = made.groupBy(*[F.col(c).alias(n) for c, n in names.items()]).agg(F.max("attempt").alias("_tried"), answered)
+    same: Column = F.lit(True)
+    for c, n in names.items():
+        same = same & F.col(c).eqNullSafe(F.col(n))
+    joined = requests.join(state, same, "left").filter(~F.coalesce("_answered", F.lit(False)))
+    return joined.withColumn("tried", F.coalesce(F.col("_tried").cast("bigint"), F.lit(0))).drop(
+        *names.values(), "_tried", "_answered")
+
+
+def attempts_of(asked: DataFrame, by: Sequence[str]) -> DataFrame:
+    """What goes to the log of requests asked now: ``attempt`` goes on from those before."""
+    attempt = (F.col("tried") + F.col("response.attempts")).cast("bigint")
+    return asked.select(*by, attempt.alias("attempt"), "response")
+
+
+def log_attempts(asked: DataFrame, log: str, run: str, by: Sequence[str]) -> None:
+    """Append a run's attempts to the log, in a part of its own that a repeated run replaces."""
+    attempts_of(asked, by).write.mode("overwrite").parquet(f"{log.rstrip('/')}/{LOG_RUN}={_part(run)}")
+
+
+def answers_of(requests: DataFrame, made: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The requests with the answer that the log has for each: the first that did not fail, else the last."""
+    names = {c: f"_key_{c}" for c in by}
+    known = first_answers(made, by, max_attempts=None).select(*[F.col(c).alias(n) for c, n in names.items()], "response")
+    same: Column = F.lit(True)
+    for c, n in names.items():
+        same = same & F.col(c).eqNullSafe(F.col(n))
+    return requests.join(known, same, "left").drop(*names.values())
+
+
 def join_answers(
     leads: DataFrame,
     answers: DataFrame,

@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+from typing import Any
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadmill.fixed_values import ENRICHED
+from leadmill.fixed_values import ENRICHED, FAILED, MERGED_DUPLICATE, NOT_ENRICHED, NOT_FOUND
+from leadmill.operators.accept import EMAIL_RULE, Rule
+
+# All states that a finished lead can have.
+STATES = [ENRICHED, NOT_FOUND, FAILED, NOT_ENRICHED]
+REPORT = """raw_rows bigint, clean_rows bigint, rejected_rows bigint, salesforce_ready_rows bigint,
+    clean_but_not_salesforce_ready_rows bigint, average_lead_score double, percent_enriched_from_raw double,
+    enrichment_status_counts map<string, bigint>, rejection_reason_counts map<string, bigint>"""
 
 
 def status_counts(clean: DataFrame) -> DataFrame:
@@ -80,3 +90,35 @@ def summary_report(raw: DataFrame, clean: DataFrame, rejected: DataFrame) -> Dat
         "enrichment_status_counts",
         "rejection_reason_counts",
     )
+
+
+# The same report from figures that Spark takes of the frames while they are written.
+
+def raw_figures() -> dict[str, Column]:
+    return {"rows": F.count(F.lit(1))}
+
+
+def clean_figures() -> dict[str, Column]:
+    states = {f"state {s}": F.count_if(F.col("enrichment_status") == s) for s in STATES}
+    return {"rows": F.count(F.lit(1)), "ready": F.count_if("salesforce_ready"), "score": F.sum("lead_score"), **states}
+
+
+def rejected_figures(rules: Sequence[Rule] = (EMAIL_RULE,)) -> dict[str, Column]:
+    reasons = dict.fromkeys([*(r.reason for r in rules), MERGED_DUPLICATE])
+    return {"rows": F.count(F.lit(1)), **{f"reason {r}": F.count_if(F.col("drop_reason") == r) for r in reasons}}
+
+
+def report_of_figures(spark: SparkSession, raw: dict[str, Any], clean: dict[str, Any], rejected: dict[str, Any]) -> DataFrame:
+    """The report of :func:`summary_report` out of the figures above; of no rows a figure may be null."""
+    def counts(figures: dict[str, Any], kind: str) -> dict[str, int]:
+        named = {n.removeprefix(kind): c for n, c in figures.items() if n.startswith(kind) and c}
+        return dict(sorted(named.items(), key=lambda e: (-e[1], e[0])))  # most frequent first, then by label
+
+    rows, n_clean, n_ready = (int(f or 0) for f in (raw.get("rows"), clean.get("rows"), clean.get("ready")))
+    states = counts(clean, "state ")
+    return spark.createDataFrame([(
+        rows, n_clean, int(rejected.get("rows") or 0), n_ready, n_clean - n_ready,
+        (clean.get("score") or 0) / n_clean if n_clean else 0.0,
+        states.get(ENRICHED, 0) / rows * 100 if rows else 0.0,
+        states, counts(rejected, "reason "),
+    )], REPORT)

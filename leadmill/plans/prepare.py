@@ -1,4 +1,4 @@
-"""The whole preparation as one lazy plan."""
+"""The whole preparation from one normalised table."""
 
 from __future__ import annotations
 
@@ -6,9 +6,8 @@ from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-from leadmill.fixed_values import BAD_EMAIL, ENRICHED, MERGED_DUPLICATE, SCORING_RULES
+from leadmill.fixed_values import SCORING_RULES
 from leadmill.operators.accept import accept_leads
 from leadmill.operators.enrich import enrich_leads
 from leadmill.operators.finalize import finalize_leads
@@ -16,6 +15,7 @@ from leadmill.operators.merge import all_rejects, merge_leads, surviving_rows
 from leadmill.operators.normalize import normalize_leads
 from leadmill.operators.report import summary_report
 from leadmill.operators.score import score_leads
+from leadmill.plans.staging import Staging
 from leadmill.sources.leads import prepare_leads
 
 
@@ -42,58 +42,24 @@ def clean_from_merged(
     return finalize_leads(scored, normalized, kept)
 
 
-def summarize_leads(normalized: DataFrame, rules: dict | None = None) -> DataFrame:
-    """The scalars of the report in one pass over normalised leads.
-
-    One merge that also counts its rows says it all, leads without an e-mail being one more group:
-    rows that are not the first of their e-mail are duplicates, so nothing is joined.
-    """
-    groups = clean_from_merged(merge_leads(normalized, count="_rows"), rules, kept=["_rows"])
-    valid = F.col("email").isNotNull()
-    zero = F.lit(0).cast("bigint")
-    totals = groups.agg(
-        F.coalesce(F.sum("_rows"), zero).alias("raw_rows"),
-        F.count_if(valid).alias("clean_rows"),
-        F.count_if(valid & F.col("salesforce_ready")).alias("salesforce_ready_rows"),
-        F.sum(F.when(valid, F.col("lead_score"))).alias("score"),
-        F.count_if(valid & (F.col("enrichment_status") == ENRICHED)).alias("enriched"),
-    )
-    none = F.lit(0.0)
-    return totals.select(
-        "raw_rows", "clean_rows", (F.col("raw_rows") - F.col("clean_rows")).alias("rejected_rows"),
-        "salesforce_ready_rows",
-        (F.col("clean_rows") - F.col("salesforce_ready_rows")).alias("clean_but_not_salesforce_ready_rows"),
-        F.coalesce(F.try_divide("score", "clean_rows"), none).alias("average_lead_score"),
-        F.coalesce(F.try_divide("enriched", "raw_rows") * 100, none).alias("percent_enriched_from_raw"),
-    )
-
-
-def count_rejects(normalized: DataFrame) -> DataFrame:
-    """How many leads are rejected for which reason, from the sizes of the e-mails' groups."""
-    groups = normalized.groupBy("email").agg(F.count(F.lit(1)).alias("rows"))
-    valid = F.col("email").isNotNull()
-    reason = F.when(valid, F.lit(MERGED_DUPLICATE)).otherwise(F.lit(BAD_EMAIL))
-    rejected = F.when(valid, F.col("rows") - 1).otherwise(F.col("rows"))
-    return groups.groupBy(reason.alias("drop_reason")).agg(F.sum(rejected).alias("leads")).filter("leads > 0")
-
-
 def prepare_all(
     raw: DataFrame,
     row_number: Column | str,
     rules: dict | None = None,
     enrich: Callable[[DataFrame], DataFrame] | None = None,
     countries: DataFrame | None = None,
+    staging: Staging | None = None,
 ) -> PreparedLeads:
-    """Clean leads, rejected leads and summary of a raw table, nothing run or written.
+    """Clean leads, rejected leads and summary of a raw table.
 
-    Each result is a plan of its own over ``raw``, so the row number has to be a column of it. Row
-    numbers must be unique and not null, which ``check_row_numbers`` tells beforehand and
-    ``run_job`` checks by itself.
-    To have all three from one scan, or rows numbered 1..n by their place in the input, use
-    ``run_job``, which writes the shared stages down.
+    The raw table is scanned and normalised once, into a staged table that all three results read by
+    column; each of them is lazy. Remove the ``staging`` when they are done with. Row numbers must be
+    unique and not null, which ``check_row_numbers`` tells beforehand and ``run_job`` checks by
+    itself. To have the results written, with rows numbered 1..n by their place in the input, use ``run_job``.
     """
-    normalized = normalize_leads(prepare_leads(raw, row_number), countries)
+    staging = staging or Staging(raw.sparkSession)
+    normalized = staging.write(normalize_leads(prepare_leads(raw, row_number), countries), "normalized")
     accepted = accept_leads(normalized)
     clean = clean_from_merged(merge_leads(accepted), rules, enrich)
     rejected = all_rejects(normalized, surviving_rows(accepted))
-    return PreparedLeads(clean, rejected, summary_report(raw, clean, rejected))
+    return PreparedLeads(clean, rejected, summary_report(normalized, clean, rejected))

@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadmill.operators.export import reasons_text
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    found = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
-
-
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
     """Write parquet and return the written table."""
     df.write.mode(mode).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_by_reason(rejected: DataFrame, path: str) -> DataFrame:
+    """Write rejects with a folder for each reason, and return the whole table.
+
+    Only the reasons that ``rejected`` has are replaced; those that lie there already stay, so one reason can
+    be written anew alone, and a reader of one reason opens the files of no other.
+    """
+    (rejected.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("drop_reason").parquet(path))
+    return rejected.sparkSession.read.schema(rejected.schema).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write CSV with a header that reads back as written: padding kept, null as an empty cell.
 

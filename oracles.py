@@ -5,7 +5,14 @@ Regular expressions are RE2 here (no look-around, ASCII ``\\b``), so they differ
 
 from __future__ import annotations
 
-from leadmill.driver_tables import ATTEMPT, ATTEMPT_COLUMNS, FIRM, LEAD_COLUMNS
+from leadmill.driver_tables import (
+    ATTEMPT,
+    ATTEMPT_COLUMNS,
+    FIRM,
+    LEAD_COLUMNS,
+    RULE_KEYWORDS,
+    RULE_TEXT,
+)
 
 # What the engine must agree with, written down once more: a changed constant there is a difference here.
 CRM_NAMES = {
@@ -350,6 +357,32 @@ _QUERIES = {
       FROM clean""",
     "status_counts": "SELECT enrichment_status, count(*) AS leads FROM clean GROUP BY 1",
     "reason_counts": "SELECT drop_reason, count(*) AS leads FROM rejected GROUP BY 1",
+    "report_counts": """SELECT 'enrichment_status' AS kind, enrichment_status AS label, count(*) AS leads FROM clean GROUP BY ALL
+      UNION ALL SELECT 'rejection_reason', drop_reason, count(*) FROM rejected GROUP BY ALL""",
+    "replayed_requests": """SELECT r.company AS company, r.leads AS leads,
+      CASE WHEN s.answered THEN s.industry.v WHEN length(r.company) % 3 <> 0 AND length(r.company) % 2 = 0 THEN 'media' END AS industry,
+      CASE WHEN s.answered THEN s.company_size.v END AS company_size,
+      CASE WHEN s.answered THEN s.status WHEN coalesce(length(r.company), 0) % 3 = 0 THEN 'failed'
+        WHEN length(r.company) % 2 = 1 THEN 'not_found' ELSE 'enriched' END AS enrichment_status,
+      CASE WHEN s.answered THEN s.tried ELSE coalesce(s.tried, 0) + CASE WHEN coalesce(length(r.company), 0) % 3 = 0 THEN 2 ELSE 1 END END AS tries
+      FROM (SELECT company, count(*) AS leads FROM merged GROUP BY company) r
+      LEFT JOIN (SELECT company, max(attempt) AS tried, coalesce(bool_or(enrichment_status <> 'failed'), false) AS answered,
+          arg_min(enrichment_status, attempt) FILTER (WHERE enrichment_status <> 'failed') AS status,
+          arg_min(struct_pack(v := CASE WHEN enrichment_status = 'enriched' THEN industry END), attempt)
+            FILTER (WHERE enrichment_status <> 'failed') AS industry,
+          arg_min(struct_pack(v := CASE WHEN enrichment_status = 'enriched' THEN company_size END), attempt)
+            FILTER (WHERE enrichment_status <> 'failed') AS company_size
+        FROM attempts WHERE attempt <= 2 GROUP BY company) s ON s.company IS NOT DISTINCT FROM r.company""",
+    "indexed_rules": f"""SELECT source_row_number, t.text AS text, min(place) AS place FROM
+      (SELECT {LEAD_COLUMNS["source_row_number"]} AS source_row_number, {RULE_TEXT} AS text
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey) t
+      LEFT JOIN (SELECT text, min(place) AS place FROM
+        (SELECT DISTINCT text, unnest(string_split(text, ' ')) AS word FROM (SELECT DISTINCT {RULE_TEXT} AS text
+          FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)) w
+        JOIN ({" UNION ALL ".join(f"SELECT {place} AS place, {keyword} AS keyword FROM {name} WHERE {some}"
+                                  for name, (place, keyword, some) in RULE_KEYWORDS.items())}) k
+          ON split_part(keyword, ' ', 1) = word AND contains(' ' || text || ' ', ' ' || keyword || ' ')
+        GROUP BY text) m ON m.text = t.text GROUP BY ALL""",
 }
 
 

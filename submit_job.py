@@ -19,6 +19,7 @@ def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("input", nargs="+")
     parser.add_argument("--output", required=True)
+    parser.add_argument("--run", help="name of the run; given again after a failure, the job goes on where it ended")
     parser.add_argument("--rules", help="JSON file of scoring rules")
     parser.add_argument("--countries", help="JSON file of countries")
     parser.add_argument("--multiline", action="store_true",
@@ -35,6 +36,7 @@ def main() -> None:
         spark,
         args.input,
         args.output,
+        run=args.run,
         multiline=args.multiline,
         malformed="reject" if args.reject_malformed else "fail",
         rules=load_scoring_rules(args.rules) if args.rules else None,

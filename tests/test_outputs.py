@@ -8,7 +8,7 @@ from leadmill.operators import (
     crm_export, finalize_leads, reason_counts, reasons_text, status_counts, summary_report,
 )
 from leadmill.schema import CLEAN_LEAD, REJECTED_LEAD
-from leadmill.sources.sinks import write_csv, write_summary, write_table
+from leadmill.sources.sinks import write_by_reason, write_csv, write_summary, write_table
 
 
 def clean_frame(spark, *rows):
@@ -152,3 +152,37 @@ def test_summary_file_is_one_indented_document(spark, tmp_path):
     text = files[0].read_text()
     assert len(files) == 1 and text.startswith('{\n  "raw_rows"')
     assert json.loads(text)["enrichment_status_counts"] == {"enriched": 1}
+
+
+def test_one_reason_is_replaced_alone_and_others_are_not_read(spark, tmp_path):
+    def rejects(*rows):
+        return spark.createDataFrame(rows, "source_row_number long, email string, drop_reason string")
+    path = str(tmp_path / "rejected")
+    write_by_reason(rejects((1, None, "bad"), (2, "x", "twice"), (3, None, "bad")), path)
+    table = write_by_reason(rejects((4, None, "bad")), path)
+    assert sorted(map(tuple, table.collect())) == [(2, "x", "twice"), (4, None, "bad")]
+    assert table.columns == ["source_row_number", "email", "drop_reason"]
+    text = table.filter("drop_reason = 'twice'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(drop_reason" in text
+    write_by_reason(rejects(), path)  # nothing to replace
+    assert table.count() == 2
+
+
+def test_rejects_are_written_in_order_from_many_tasks(spark, tmp_path):
+    from leadmill.operators import accept_leads, all_rejects, merge_leads, ordered_rejects
+    from tests.leads import normalized_frame
+    rows = [{"source_row_number": n, "email": None if n % 7 == 0 else f"u{n % 5 if n % 3 else 0}@x.io"} for n in range(1, 400)]
+    leads = normalized_frame(spark, *rows).repartition(9)
+    merged = merge_leads(accept_leads(leads))
+    rejects = ordered_rejects(all_rejects(leads, merged), merged, 6)
+    rejects.write.parquet(str(tmp_path / "ordered"))
+    files = sorted((tmp_path / "ordered").glob("part-*"))
+    assert len(files) > 3
+    written = [r.source_row_number for f in files for r in spark.read.parquet(str(f)).collect()]
+    first = {}
+    for r in rows:
+        if r["email"]:
+            first.setdefault(r["email"], r["source_row_number"])
+    bad = [r["source_row_number"] for r in rows if not r["email"]]
+    twice = sorted((first[r["email"]], r["source_row_number"]) for r in rows if r["email"] and first[r["email"]] != r["source_row_number"])
+    assert written == bad + [n for _, n in twice]
