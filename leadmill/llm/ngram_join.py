@@ -16,7 +16,7 @@ show without loss that most are too different; only the others' sets are made fr
 texts and compared. Within a key, members are compared with
 one centre, not with each other: links to it make components, and what links to the centre can link to
 others only if the triangle inequality of the Jaccard distance allows it. What a centre does not
-settle goes through ROUNDS of that, and what is then left is compared in pairs of different
+settle goes through more rounds of that, and what is then left is compared in pairs of different
 components. So no link between components is lost, and a group of copies costs as many comparisons as
 it has members. Links and similarities are exact but for equal 64-bit hashes of different shingles.
 
@@ -50,8 +50,9 @@ BOUNDARIES = [0, 8, 12, 16, 24, 32, 48, 64, 96]
 COST_SAMPLE = 16
 # Shingles that a task counts at a time to find frequent ones.
 COUNTED_TOGETHER = 500_000
-# Rounds of comparing with centres before what is left is compared in pairs.
-ROUNDS = 2
+# Rounds of comparing with centres before what is left is compared in pairs: at least so many, and more, up
+# to the greater number, while there would be more such pairs than PAIRS for each member left.
+ROUNDS, MOST_ROUNDS, PAIRS = 2, 6, 1
 
 
 def least_shared(size: int | np.ndarray, percent: int) -> int | np.ndarray:
@@ -276,7 +277,7 @@ def _linked(active: DataFrame, sketches: DataFrame, texts: DataFrame, width: int
     # Farther from a centre than twice the greatest distance of a link: no link to what links to the centre.
     within = 100 * F.col("shared") >= loose * F.col("union")
     links = None
-    for _ in range(ROUNDS):
+    for done in range(1, MOST_ROUNDS + 1):
         centres = active.groupBy("key").agg(F.min(F.struct("own", "node", "n")).alias("c")).select(
             "key", F.col("c.node").alias("other"), F.col("c.n").alias("other_n"))
         with_centre = staged(active.join(centres, "key").filter("node != other"))
@@ -293,8 +294,12 @@ def _linked(active: DataFrame, sketches: DataFrame, texts: DataFrame, width: int
         # Members that link to the centre matter only to those within reach of it.
         state = state.filter("between OR left > 1").select("key", "between")
         active = staged(judged.join(state, "key").filter(F.col("between") | far).select("key", "node", "n", "pos", "own"))
-        if active.isEmpty():
+        members, pairs = active.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).agg(
+            F.sum("_n"), F.sum(F.expr("_n * (_n - 1) div 2"))).first()
+        if not members:
             return links
+        if done >= ROUNDS and pairs <= PAIRS * members:
+            break
     # What is left matters where a key's members are in different components.
     labelled = staged(active.join(components(links, "node", "other"), "node", "left").select(
         "key", "node", "n", "pos", F.coalesce("component", "node").alias("component")))
