@@ -43,7 +43,7 @@ from leadmill.llm.words import mix, shingle_hashes, shingle_sets, word_hashes
 
 # A shingle in more than this share of documents comes late in the order. At most the mean number of
 # shingles of a document, divided by this share, can be so frequent: that bounds what is broadcast.
-FREQUENT = 0.0001
+FREQUENT = 0.0005
 # Candidates for the size from which sets are large; 0 means that all sets are.
 BOUNDARIES = [0, 8, 12, 16, 24, 32, 48, 64, 96]
 # One in so many list elements enters the estimate of costs, which changes no result.
