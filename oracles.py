@@ -364,7 +364,7 @@ _QUERIES = {
       CASE WHEN s.answered THEN s.company_size.v END AS company_size,
       CASE WHEN s.answered THEN s.status WHEN coalesce(length(r.company), 0) % 3 = 0 THEN 'failed'
         WHEN length(r.company) % 2 = 1 THEN 'not_found' ELSE 'enriched' END AS enrichment_status,
-      CASE WHEN s.answered THEN s.tried ELSE coalesce(s.tried, 0) + CASE WHEN coalesce(length(r.company), 0) % 3 = 0 THEN 2 ELSE 1 END END AS tries
+      cast(CASE WHEN s.answered THEN s.tried ELSE coalesce(s.tried, 0) + CASE WHEN coalesce(length(r.company), 0) % 3 = 0 THEN 2 ELSE 1 END END AS bigint) AS tries
       FROM (SELECT company, count(*) AS leads FROM merged GROUP BY company) r
       LEFT JOIN (SELECT company, max(attempt) AS tried, coalesce(bool_or(enrichment_status <> 'failed'), false) AS answered,
           arg_min(enrichment_status, attempt) FILTER (WHERE enrichment_status <> 'failed') AS status,
