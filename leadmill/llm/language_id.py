@@ -29,7 +29,8 @@ UNDETERMINED = "und"
 
 # About so many documents of each language are learned from, chosen by a hash of the id.
 DOCUMENTS_PER_LANGUAGE = 1_000
-# Words and runs of characters that a model holds at most, the most frequent ones.
+# Words and runs of characters that a model holds at most: those with the greatest share of any language's
+# words or runs, so that a language with little to learn from keeps its frequent ones, too.
 MODEL_WORDS, MODEL_RUNS = 100_000, 200_000
 LONGEST_RUN = 5
 # What a word or run counts in a language that lacks it: this much below its rarest one.
@@ -160,9 +161,10 @@ def fit_languages(rows: DataFrame) -> LanguageModel:
             .groupBy("lang", "run").agg(F.sum("n").alias("n")))
 
     def top(df: DataFrame, key: str, limit: int) -> dict[str, dict[str, int]]:
-        whole = df.groupBy(key).agg(F.sum("n").alias("total"),
-                                    F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_language"))
-        best = whole.filter("total > 1").orderBy(F.desc("total"), key).limit(limit).collect()
+        of_language = df.groupBy("lang").agg(F.sum("n").alias("_all"))
+        whole = df.join(F.broadcast(of_language), "lang").groupBy(key).agg(
+            F.sum("n").alias("total"), F.max(F.col("n") / F.col("_all")).alias("share"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_language"))
+        best = whole.filter("total > 1").orderBy(F.desc("share"), key).limit(limit).collect()
         return {r[key]: r["by_language"] for r in best}
 
     words, characters = top(counted, "word", MODEL_WORDS), top(runs, "run", MODEL_RUNS)

@@ -1,5 +1,6 @@
 import numpy as np
 
+from leadmill.llm import language_id
 from leadmill.llm.language_id import (
     LONGEST_RUN, LanguageModel, Scorer, fit_languages, identify_languages, training_rows,
 )
@@ -50,3 +51,11 @@ def test_held_out_accuracy(spark):
     found = op8_language(spark, tables).join(docs, "doc_id").filter("held_out AND lang IS NOT NULL")
     rows = found.collect()
     assert len(rows) > 200 and sum(r.lang == r.lang_pred for r in rows) >= 0.97 * len(rows)
+
+
+def test_a_rare_language_keeps_its_words_when_the_model_is_full(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MODEL_WORDS", 12)
+    monkeypatch.setattr(language_id, "MODEL_RUNS", 12)
+    rows = [("en", " ".join(f"word{chr(97 + i)}" for i in range(26)))] * 50 + [("xx", "zuq zuq vyk")] * 2
+    model = fit_languages(spark.createDataFrame(rows, "lang string, text string"))
+    assert model.languages == ["en", "xx"] and {"zuq", "vyk"} <= set(model.words) and len(model.words) == 12
