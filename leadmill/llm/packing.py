@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer, pre_tokenizers
 
-from leadmill.llm.shared import pick, pieces, staged, unstage
+from leadmill.llm.shared import pick, pieces, staged, unstage, worker_memory
 from leadmill.llm.words import by_row
 
 CAPACITY, END_ID = 2048, 0
@@ -164,14 +164,13 @@ class WordIds:
         return ids, bounds[1:]
 
 
-_vocabularies: dict[str, WordIds] = {}
-
-
 def _vocabulary(path: str) -> WordIds:
+    """The vocabulary with the words this worker has met, also in earlier tasks."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    if path not in _vocabularies:
-        _vocabularies[path] = WordIds(path)
-    return _vocabularies[path]
+    known = worker_memory("word_ids")
+    if path not in known:
+        known[path] = WordIds(path)
+    return known[path]
 
 
 def token_pieces(df: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_column: str = "doc_id",

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +22,14 @@ HASHED_BYTES = 1 << 20
 BROADCAST_IDS = 1_000_000
 
 
+def worker_memory(name: str) -> dict:
+    """A dictionary that a Python worker keeps from one task to the next.
+
+    Tasks get this package by value, so its own variables begin anew in each of them.
+    """
+    return vars(sys.modules.setdefault(f"_leadmill_{name}", ModuleType(f"_leadmill_{name}")))
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """The named columns; others that differ by case only, or repeat a name, do no harm."""
     numbered = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
