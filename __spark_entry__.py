@@ -18,6 +18,7 @@ import oracles  # noqa: E402
 from leadmill import functions as L  # noqa: E402
 from leadmill.driver_tables import (  # noqa: E402
     SecondRound,
+    csv_of_texts,
     raw_leads,
     rule_keywords,
     rule_texts,
@@ -68,6 +69,7 @@ from leadmill.sources.leads import (  # noqa: E402
     prepare_leads,
     split_offsets,
 )
+from leadmill.sources.split_csv import read_split_csv_leads  # noqa: E402
 
 try:  # these may be taken away as a whole; the other queries do not need them
     import corpus_pipeline
@@ -220,6 +222,15 @@ def numbered_orders(spark: SparkSession, tables: str) -> DataFrame:
     return number_rows(written, offsets, offsets.count())
 
 
+def quoted_records(spark: SparkSession, tables: str) -> DataFrame:
+    """Texts with line breaks, written as CSV files and read back by many tasks a file."""
+    staging = _staged(spark)
+    files = csv_of_texts(spark, tables, f"{staging.root}/csv")
+    read = read_split_csv_leads(spark, files, staging.write)
+    return read.select(F.col("doc_id").cast("bigint"), "source", F.length("text").cast("bigint").alias("n_chars"),
+                       F.md5("text").alias("text_md5"))
+
+
 def lead_balance(spark: SparkSession, tables: str) -> DataFrame:
     """What becomes of the leads, each result counted by itself: nothing may be lost or doubled."""
     def counted(df: DataFrame, name: str) -> DataFrame:
@@ -330,6 +341,7 @@ def queries() -> dict[str, Query]:
         "indexed_rules": indexed_rules,
         "lead_balance": lead_balance,
         "numbered_orders": numbered_orders,
+        "quoted_records": quoted_records,
         **LLM_QUERIES,
     }
 

@@ -191,3 +191,11 @@ def rule_keywords(spark: SparkSession, tables: str) -> DataFrame:
     parts = [spark.read.parquet(f"{tables}/{name}.parquet").filter(some).select(
         F.expr(place).alias("place"), F.expr(keyword).alias("keyword")) for name, (place, keyword, some) in RULE_KEYWORDS.items()]
     return parts[0].unionByName(parts[1])
+
+
+def csv_of_texts(spark: SparkSession, tables: str, folder: str) -> str:
+    """The documents as CSV files whose cells hold line breaks, quotes and commas; their folder."""
+    texts = spark.read.parquet(f"{tables}/documents.parquet").select("doc_id", "text", "source")
+    exact = {"quoteAll": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    texts.write.options(header=True, **exact).csv(folder)
+    return folder

@@ -44,6 +44,7 @@ from leadmill.sources.leads import (
     spread,
 )
 from leadmill.sources.sinks import write_csv, write_summary
+from leadmill.sources.split_csv import read_split_csv_leads
 
 
 class JobTables(NamedTuple):
@@ -66,7 +67,7 @@ def run_job(
     *,
     run: str | None = None,
     row_number: Column | str | None = None,
-    multiline: bool = False,
+    multiline: bool | str = False,
     malformed: str = "fail",
     accept: Sequence[Rule] = (EMAIL_RULE,),
     tasks: int | None = None,
@@ -97,7 +98,8 @@ def run_job(
     that was finished; a run that is published is returned as it is. A raw table given as a frame, and a
     provider, are taken to be the same.
 
-    ``malformed`` rows of CSV files fail the job or are rejected, see ``read_csv_leads``. Given row
+    ``multiline`` allows line breaks in cells: True makes each file one task, "split" as many as it has
+    splits. ``malformed`` rows of CSV files fail the job or are rejected, see ``read_csv_leads``. Given row
     numbers must be unique. A provider is asked once for each different ``provider_fields``, the
     fields of a request that its answers depend on. ``attempts_log`` is a table of all attempts of all
     runs: requests that it answers are not asked again, others are, and their attempts count on.
@@ -105,6 +107,8 @@ def run_job(
     results. What it has staged is removed in the end, unless ``keep_staged``; the frames returned that
     are read from there are then null.
     """
+    if multiline not in (True, False, "split"):
+        raise ValueError(f"multiline {multiline!r}; use True, False or 'split'")
     if mode not in ("errorifexists", "overwrite"):
         raise ValueError(f"mode {mode!r} would mix runs; use 'errorifexists' or 'overwrite'")
     before = published_run(spark, output)
@@ -124,7 +128,12 @@ def run_job(
         return JobTables(clean, rejected, crm_export(clean, ready_only), summary, None, None, folder)
 
     def read() -> DataFrame:
-        raw = read_csv_leads(spark, source, multiline, malformed) if from_files else source
+        if not from_files:
+            raw = source
+        elif multiline == "split":
+            raw = read_split_csv_leads(spark, source, folder.write, malformed)
+        else:
+            raw = read_csv_leads(spark, source, multiline, malformed)
         # The rows have their ids before they are spread, so the input order is kept.
         return normalize_leads(spread(prepare_leads(raw, row_number), tasks), country_dimension(spark, countries))
 

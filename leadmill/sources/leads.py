@@ -28,11 +28,9 @@ def read_csv_leads(spark: SparkSession, path: str | list[str], multiline: bool =
     the header, or with a quote that is not closed, is malformed: with ``malformed="fail"`` the job
     that reads it fails and shows it, with "reject" its text is in the column MALFORMED. Rows with
     fewer cells are completed with nulls. ``multiline`` allows line breaks inside quotes but makes
-    each file one task; without it a row with such a cell is malformed, and a quote that is left
+    each file one task (``read_split_csv_leads`` does not); without it a row with such a cell is malformed, and a quote that is left
     open in the last cell of a line ends with the line, so that nothing is lost.
     """
-    if malformed not in ("fail", "reject"):
-        raise ValueError("malformed must be 'fail' or 'reject'")
     read = (
         spark.read.option("header", True)
         .option("escape", '"')
@@ -45,10 +43,17 @@ def read_csv_leads(spark: SparkSession, path: str | list[str], multiline: bool =
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, MALFORMED]])
     raw = read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED).schema(schema).csv(path)
     raw = raw.select(*map(_named, [*names, MALFORMED]), _file_position())
-    bad = _is_malformed(names)
+    bad = is_malformed(names)
     if multiline:
         raw = raw.join(_files_with_open_quotes(spark, path), F.col(POSITION).getField("file") == F.col("_file"), "left")
         bad = bad | (F.col("_file").isNotNull() & F.concat_ws("", *map(_named, names)).contains("\n"))
+    return checked_rows(raw, names, bad, malformed)
+
+
+def checked_rows(raw: DataFrame, names: list[str], bad: Column, malformed: str) -> DataFrame:
+    """The cells with null tokens as null; rows that are ``bad`` fail the job, or have their text in MALFORMED."""
+    if malformed not in ("fail", "reject"):
+        raise ValueError("malformed must be 'fail' or 'reject'")
     if malformed == "fail":
         shown = F.concat(F.lit("malformed CSV row: "), F.left(F.coalesce(MALFORMED, _named(names[0]), F.lit("")), F.lit(200)))
         raw = raw.filter(F.when(bad, F.raise_error(shown).cast("boolean")).otherwise(True))
@@ -58,7 +63,7 @@ def read_csv_leads(spark: SparkSession, path: str | list[str], multiline: bool =
     return raw.select(*cells, *text, POSITION)
 
 
-def _is_malformed(names: list[str]) -> Column:
+def is_malformed(names: list[str]) -> Column:
     """Too many cells, or a quote that is not closed; rows that are only short do not count.
 
     The reader keeps the text of every row whose number of cells differs from the header's.

@@ -21,6 +21,8 @@ CRM_NAMES = {
     "company_size": "Company_Size__c", "company_domain": "Company_Domain__c", "lead_score": "Lead_Score__c",
     "score_reasons": "Score_Reasons__c", "lead_date": "Lead_Date__c", "source_row_number": "Source_Row_Number__c",
 }
+_TOKENS = ("'', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', '<NA>', 'N/A', "
+           "'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null'")
 FREE_MAIL_DOMAINS = ["gmail.com", "hotmail.com", "icloud.com", "outlook.com", "yahoo.com"]
 # The rules' names, points and words in the order they are tried.
 _FUNCTIONS = """
@@ -337,6 +339,9 @@ _QUERIES = {
       r.company_size AS company_size, r.company_domain AS company_domain, r.enrichment_status AS enrichment_status
       FROM accepted LEFT JOIN answers_of_three a ON a.company = accepted.company""",
     "numbered_orders": "SELECT row_number() OVER () AS source_row_number, o_orderkey FROM orders",
+    "quoted_records": f"""SELECT doc_id, CASE WHEN source IN ({_TOKENS}) THEN NULL ELSE source END AS source,
+      CASE WHEN text IN ({_TOKENS}) THEN NULL ELSE length(text) END AS n_chars,
+      CASE WHEN text IN ({_TOKENS}) THEN NULL ELSE md5(text) END AS text_md5 FROM documents""",
     "lead_balance": """SELECT 'raw' AS result, count(*) AS leads FROM raw
       UNION ALL SELECT 'clean', count(DISTINCT email) FROM norm
       UNION ALL SELECT 'rejected', count(*) - count(DISTINCT email) FROM norm""",

@@ -24,6 +24,8 @@ def main() -> None:
     parser.add_argument("--countries", help="JSON file of countries")
     parser.add_argument("--multiline", action="store_true",
                         help="cells may hold line breaks; each file is then one task")
+    parser.add_argument("--split-multiline", action="store_true",
+                        help="cells may hold line breaks, and files are split all the same")
     parser.add_argument("--reject-malformed", action="store_true",
                         help="reject malformed CSV rows instead of failing")
     parser.add_argument("--all-leads", action="store_true", help="export leads that are not ready, too")
@@ -37,7 +39,7 @@ def main() -> None:
         args.input,
         args.output,
         run=args.run,
-        multiline=args.multiline,
+        multiline="split" if args.split_multiline else args.multiline,
         malformed="reject" if args.reject_malformed else "fail",
         rules=load_scoring_rules(args.rules) if args.rules else None,
         countries=load_countries(args.countries) if args.countries else None,

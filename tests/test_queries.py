@@ -13,7 +13,7 @@ TABLES = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for table in ("orders", "customer"):
+    for table in ("orders", "customer", "documents"):
         connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{TABLES}/{table}.parquet'")
     yield connection
     connection.close()
