@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadmill.llm.backoff_lm import BACKOFF, LEAST_COUNT, backoff_scores
+from leadmill.llm.backoff_lm import BACKOFF, backoff_scores
 from leadmill.llm.decontaminate import find_passages
 from leadmill.llm.filter_audit import audit_filters
 from leadmill.llm.fixity import audit
@@ -168,7 +168,7 @@ ORACLE_SQL: dict[str, str] = {
         placed AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM cut),
         pairs AS (SELECT *, lag(word) OVER (PARTITION BY doc_id ORDER BY place) AS before FROM placed),
         ones AS (SELECT word, count(*) AS n FROM pairs GROUP BY word),
-        twos AS (SELECT before, word, count(*) AS n FROM pairs WHERE before IS NOT NULL GROUP BY ALL HAVING count(*) >= {LEAST_COUNT}),
+        twos AS (SELECT before, word, count(*) AS n FROM pairs WHERE before IS NOT NULL GROUP BY ALL),
         scored AS (SELECT p.doc_id, CASE WHEN t.n IS NOT NULL THEN ln(t.n) - ln(b.n)
             ELSE ln(o.n) - ln((SELECT sum(n) FROM ones)) + CASE WHEN p.before IS NULL THEN 0 ELSE ln({BACKOFF}) END END AS s
             FROM pairs p JOIN ones o ON o.word = p.word LEFT JOIN ones b ON b.word = p.before
