@@ -18,6 +18,8 @@ import oracles  # noqa: E402
 from leadmill import functions as L  # noqa: E402
 from leadmill.driver_tables import (  # noqa: E402
     SecondRound,
+    country_files,
+    country_texts,
     csv_of_texts,
     raw_leads,
     rule_keywords,
@@ -48,6 +50,7 @@ from leadmill.operators.enrich import (  # noqa: E402
     infer_company_size,
     infer_industry,
 )
+from leadmill.operators.normalize import conform_country  # noqa: E402
 from leadmill.operators.provider import (  # noqa: E402
     ENRICHMENT_COLUMNS,
     answers_of,
@@ -62,7 +65,11 @@ from leadmill.operators.provider import (  # noqa: E402
 from leadmill.operators.rule_index import with_first_rule  # noqa: E402
 from leadmill.plans import Staging, clean_from_merged, run_job  # noqa: E402
 from leadmill.schema import NORMALIZED_COLUMNS, ROW_NUMBER  # noqa: E402
-from leadmill.sources.countries import country_dimension  # noqa: E402
+from leadmill.sources.countries import (  # noqa: E402
+    country_dimension,
+    country_table,
+    read_country_table,
+)
 from leadmill.sources.leads import (  # noqa: E402
     POSITION,
     number_rows,
@@ -176,6 +183,13 @@ def country_matches(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+def large_country_table(spark: SparkSession, tables: str) -> DataFrame:
+    """Countries by a table of very many entries whose spellings clash, read from JSON files."""
+    staging = _staged(spark)
+    entries = read_country_table(spark, country_files(spark, tables, f"{staging.root}/countries"))
+    return conform_country(country_texts(spark, tables), country_table(entries, staging.write)).select(ROW_NUMBER, "country")
+
+
 def rule_match(spark: SparkSession, tables: str) -> DataFrame:
     titles = prepared(spark, tables).select(ROW_NUMBER, L.normalize_text("title").alias("title"))
     folded = titles.withColumn("_title", L.casefold("title"))
@@ -306,6 +320,7 @@ def queries() -> dict[str, Query]:
                             last_name=lambda: L.last_name("full_name")),
         "normalize_date": _over(prepared, lead_date=lambda: L.normalize_date("lead_date")),
         "country_dimension": country_matches,
+        "country_table": large_country_table,
         "normalize_country": lambda spark, tables: normalize_leads(
             prepared(spark, tables).withColumn("country_text", L.normalize_text("country"))
         ).select(ROW_NUMBER, "country_text", "country"),

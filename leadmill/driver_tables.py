@@ -199,3 +199,38 @@ def csv_of_texts(spark: SparkSession, tables: str, folder: str) -> str:
     exact = {"quoteAll": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     texts.write.options(header=True, **exact).csv(folder)
     return folder
+
+
+# A large country table of clashing spellings, an entry for each customer; later entries have greater load orders.
+COUNTRY_COLUMNS = {
+    "canonical_name": "concat('Land ', cast(c_custkey as string))",
+    "alpha2": "CASE WHEN c_custkey % 5 <> 0 THEN concat('L', cast(c_custkey % 800 as string)) END",
+    "alpha3": "CASE WHEN c_custkey % 3 = 0 THEN concat('x.', cast(c_custkey % 2000 as string)) ELSE '' END",
+    "load_order": "cast(c_custkey * 7919 % 1000003 as bigint)",
+}
+COUNTRY_ALIASES = [
+    "concat('Region of ', cast(c_custkey % 700 as string))",
+    "concat('  NORTH & South-', cast(c_custkey % 3000 as string), '.')",
+    "CASE WHEN c_custkey % 4 = 0 THEN '' ELSE 'Everyland' END",
+]
+# How leads spell them.
+COUNTRY_TEXT = (
+    "CASE cast(o_orderkey % 6 as int) WHEN 0 THEN concat('region OF ', cast(o_custkey % 900 as string))"
+    " WHEN 1 THEN concat('North and South ', cast(o_custkey % 4000 as string)) WHEN 2 THEN concat('l', cast(o_custkey % 1000 as string))"
+    " WHEN 3 THEN concat('X', cast(o_custkey % 2500 as string)) WHEN 4 THEN 'every.land'"
+    " ELSE concat('LAND-', cast(o_custkey as string)) END"
+)
+
+
+def country_files(spark: SparkSession, tables: str, folder: str) -> str:
+    """The country table as JSON files; their folder."""
+    customer = spark.read.parquet(f"{tables}/customer.parquet")
+    customer.select(*[F.expr(sql).alias(c) for c, sql in COUNTRY_COLUMNS.items()],
+                    F.array(*[F.expr(sql) for sql in COUNTRY_ALIASES]).alias("aliases")).write.json(folder)
+    return folder
+
+
+def country_texts(spark: SparkSession, tables: str) -> DataFrame:
+    """``source_row_number`` and ``country``, one for each order."""
+    orders = _spread(spark.read.parquet(f"{tables}/orders.parquet"))
+    return orders.select(F.expr("cast(o_orderkey + 1 as bigint)").alias("source_row_number"), F.expr(COUNTRY_TEXT).alias("country"))

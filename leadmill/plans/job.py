@@ -31,7 +31,7 @@ from leadmill.operators.report import (
 )
 from leadmill.plans.prepare import clean_from_merged
 from leadmill.plans.run_folder import RunFolder, published_run
-from leadmill.sources.countries import country_dimension
+from leadmill.sources.countries import country_dimension, country_table, read_country_table
 from leadmill.sources.files import fingerprint
 from leadmill.sources.leads import (
     POSITION,
@@ -72,7 +72,7 @@ def run_job(
     accept: Sequence[Rule] = (EMAIL_RULE,),
     tasks: int | None = None,
     rules: dict | None = None,
-    countries: list[dict] | None = None,
+    countries: list[dict] | str | None = None,
     make_provider: Callable[[], Any] | None = None,
     max_attempts: int = 3,
     provider_fields: Sequence[str] = REQUEST_FIELDS,
@@ -100,7 +100,8 @@ def run_job(
 
     ``multiline`` allows line breaks in cells: True makes each file one task, "split" as many as it has
     splits. ``malformed`` rows of CSV files fail the job or are rejected, see ``read_csv_leads``. Given row
-    numbers must be unique. A provider is asked once for each different ``provider_fields``, the
+    numbers must be unique. ``countries`` is a list, or the path of a table of any size (see
+    ``read_country_table``). A provider is asked once for each different ``provider_fields``, the
     fields of a request that its answers depend on. ``attempts_log`` is a table of all attempts of all
     runs: requests that it answers are not asked again, others are, and their attempts count on.
     ``tasks`` deals the rows read out to so many tasks. The job fails if rows are missing from the
@@ -118,7 +119,8 @@ def run_job(
     folder = RunFolder(spark, output, run or uuid.uuid4().hex, {
         "source": fingerprint(spark, source) if from_files else source.schema.simpleString(),
         "row_number": str(row_number), "multiline": multiline, "malformed": malformed, "accept": [list(r) for r in accept],
-        "rules": rules, "countries": countries, "provider": getattr(make_provider, "__qualname__", str(make_provider)),
+        "rules": rules,
+        "countries": fingerprint(spark, countries) if isinstance(countries, str) else countries, "provider": getattr(make_provider, "__qualname__", str(make_provider)),
         "max_attempts": max_attempts, "provider_fields": list(provider_fields), "attempts_log": attempts_log,
         "ready_only": ready_only, "csv_copies": csv_copies,
     }, staged)
@@ -134,8 +136,10 @@ def run_job(
             raw = read_split_csv_leads(spark, source, folder.write, malformed)
         else:
             raw = read_csv_leads(spark, source, multiline, malformed)
+        dimension = (country_table(read_country_table(spark, countries), folder.write) if isinstance(countries, str)
+                     else country_dimension(spark, countries))
         # The rows have their ids before they are spread, so the input order is kept.
-        return normalize_leads(spread(prepare_leads(raw, row_number), tasks), country_dimension(spark, countries))
+        return normalize_leads(spread(prepare_leads(raw, row_number), tasks), dimension)
 
     normalized = folder.table("normalized", read, raw_figures())
     if POSITION in normalized.columns:

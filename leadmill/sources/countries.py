@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from pathlib import Path
 
 import pyarrow as pa
@@ -174,3 +175,40 @@ def country_dimension(spark: SparkSession, entries: list[dict] | None = None) ->
         .agg(F.max_by("canonical", "load_order").alias("canonical_country"))
     )
     return F.broadcast(dimension) if size <= MAX_BROADCAST_BYTES else dimension
+
+
+# Columns of a file of countries; ``load_order`` may be absent or null.
+TABLE_SCHEMA = "canonical_name string, alpha2 string, alpha3 string, aliases array<string>, load_order bigint"
+
+
+def read_country_table(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Countries from JSON files of an object a line, which stay split.
+
+    ``later`` says which of two entries wins: by ``load_order``, those without one before all others, and
+    among equals by file name and place in the file. A line that is no such object ends the job, as does one
+    without a name.
+    """
+    read = spark.read.schema(TABLE_SCHEMA).option("mode", "FAILFAST").json(path)
+    # Numbers given while reading ascend within a split.
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+    name = F.when(F.trim("canonical_name") != "", F.col("canonical_name")).otherwise(
+        F.raise_error(F.lit("a country without a canonical_name")))
+    return read.select(name.alias("canonical_name"), "alpha2", "alpha3", "aliases",
+                       F.struct(F.col("load_order"), place.alias("place")).alias("later"))
+
+
+def country_table(entries: DataFrame, write: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """The dimension of countries that come as a table: ``canonical_name``, ``alpha2``, ``alpha3``,
+    ``aliases`` and ``later``, by which a later entry wins a clash.
+
+    Spellings are exploded and reduced by key with partial results, so a spelling that very many
+    entries share costs a row per task. The dimension is written and measured; it is broadcast only if its
+    keys and names are bounded, else joined by a shuffle.
+    """
+    names = F.concat(F.array("canonical_name", "alpha2", "alpha3"), F.coalesce("aliases", F.array().cast("array<string>")))
+    spelled = entries.select("canonical_name", "later", F.explode(names).alias("spelling")).filter("spelling <> ''")
+    dimension = write(
+        spelled.groupBy(country_key("spelling").alias("country_key"))
+        .agg(F.max_by("canonical_name", F.struct("later", "canonical_name")).alias("canonical_country")), "country_dimension")
+    size = dimension.agg(F.sum(F.octet_length("country_key") + F.octet_length("canonical_country"))).first()[0] or 0
+    return F.broadcast(dimension) if size * 4 <= MAX_BROADCAST_BYTES else dimension

@@ -8,6 +8,9 @@ from __future__ import annotations
 from leadmill.driver_tables import (
     ATTEMPT,
     ATTEMPT_COLUMNS,
+    COUNTRY_ALIASES,
+    COUNTRY_COLUMNS,
+    COUNTRY_TEXT,
     FIRM,
     LEAD_COLUMNS,
     RULE_KEYWORDS,
@@ -316,6 +319,12 @@ _QUERIES = {
     "normalize_date": "SELECT source_row_number, lead_date FROM norm",
     "country_dimension": """SELECT country_key, canonical AS canonical_country, count(*) AS leads
       FROM norm WHERE country_text IS NOT NULL GROUP BY ALL""",
+    "country_table": f"""SELECT source_row_number, coalesce(canonical, country) AS country FROM
+      (SELECT cast(o_orderkey + 1 AS bigint) AS source_row_number, {COUNTRY_TEXT} AS country FROM orders) t
+      LEFT JOIN (SELECT {_key('spelling')} AS country_key, arg_max(canonical_name, load_order) AS canonical FROM
+        (SELECT canonical_name, load_order, unnest([canonical_name, alpha2, alpha3, {', '.join(COUNTRY_ALIASES)}]) AS spelling FROM
+          (SELECT *, {', '.join(f'{sql} AS {c}' for c, sql in COUNTRY_COLUMNS.items())} FROM customer))
+        WHERE spelling <> '' GROUP BY 1) d ON d.country_key = {_key('country')}""",
     "normalize_country": "SELECT source_row_number, country_text, country FROM norm",
     "email_domain": f"SELECT source_row_number, email, {_domain('email')} AS email_domain FROM norm",
     "normalize_leads": f"SELECT {_FIELDS} FROM norm",

@@ -22,6 +22,7 @@ def main() -> None:
     parser.add_argument("--run", help="name of the run; given again after a failure, the job goes on where it ended")
     parser.add_argument("--rules", help="JSON file of scoring rules")
     parser.add_argument("--countries", help="JSON file of countries")
+    parser.add_argument("--country-table", help="JSON files of very many countries, one a line")
     parser.add_argument("--multiline", action="store_true",
                         help="cells may hold line breaks; each file is then one task")
     parser.add_argument("--split-multiline", action="store_true",
@@ -42,7 +43,7 @@ def main() -> None:
         multiline="split" if args.split_multiline else args.multiline,
         malformed="reject" if args.reject_malformed else "fail",
         rules=load_scoring_rules(args.rules) if args.rules else None,
-        countries=load_countries(args.countries) if args.countries else None,
+        countries=load_countries(args.countries) if args.countries else args.country_table,
         ready_only=not args.all_leads,
         csv_copies=args.csv_copies,
         mode="overwrite" if args.overwrite else "errorifexists",

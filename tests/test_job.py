@@ -160,6 +160,15 @@ def test_job_from_a_table_with_its_own_row_number(spark, tmp_path):
     assert {r.source_row_number for r in job.rejected.collect()} == {20, 30}
 
 
+def test_job_with_a_country_table(spark, tmp_path):
+    table = tmp_path / "countries"
+    table.mkdir()
+    (table / "a.json").write_text('{"canonical_name": "Old", "alpha3": "USA"}\n{"canonical_name": "Home", "aliases": ["u.s.a"]}\n')
+    raw = raw_frame(spark, {}).selectExpr("n * 10 AS n", "* except(n)")
+    job = run_job(spark, raw, str(tmp_path / "out"), row_number="n", countries=str(table))
+    assert [r.country for r in job.clean.collect()] == ["Home"]
+
+
 def test_job_with_no_rows_and_with_rejects_only(spark, tmp_path):
     empty = run_job(spark, raw_frame(spark, {}).limit(0), str(tmp_path / "a"), row_number="n")
     assert empty.summary.first().raw_rows == 0 and empty.clean.count() == 0

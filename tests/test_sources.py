@@ -167,3 +167,56 @@ def test_rules_are_read_from_json(tmp_path):
     assert load_scoring_rules(tmp_path / "rules.json") == {"base_score": 3, "seniority_scores": []}
 
 
+
+
+def country_lines(tmp_path, *lines):
+    folder = tmp_path / "countries"
+    folder.mkdir()
+    (folder / "a.json").write_text("\n".join(lines), encoding="utf-8")
+    return str(folder)
+
+
+def test_a_country_table_gives_what_the_list_gives(spark, tmp_path):
+    entries = [{"canonical_name": f"Land {i}", "alpha2": f"L{i % 7}", "alpha3": None if i % 3 else "",
+                "aliases": None if i % 5 == 0 else ["Shared", f"The & {i % 20}.", ""]} for i in range(300)]
+    path = country_lines(tmp_path, *map(json.dumps, entries))
+    staging = staging_module.Staging(spark, str(tmp_path))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")  # many splits of the file
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        read = countries.read_country_table(spark, path)
+        assert read.rdd.getNumPartitions() > 3
+        found = countries.country_table(read, staging.write).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(map(tuple, found)) == sorted(map(tuple, countries.country_dimension(spark, entries).collect()))
+
+
+def test_a_given_load_order_wins_over_the_place(spark, tmp_path):
+    path = country_lines(tmp_path, *[json.dumps({"canonical_name": n, "aliases": ["s"]} | o) for n, o in (
+        ("Second", {"load_order": 2}), ("First", {"load_order": 1}), ("Unordered", {}))])
+    found = countries.country_table(countries.read_country_table(spark, path), staging_module.Staging(spark, str(tmp_path)).write)
+    assert {r.country_key: r.canonical_country for r in found.collect()}["s"] == "Second"
+
+
+@pytest.mark.parametrize("line", ['{"alpha2": "XX"}', '{"canonical_name": " "}', "no object"])
+def test_lines_that_are_no_country_end_the_job(spark, tmp_path, line):
+    path = country_lines(tmp_path, '{"canonical_name": "Good"}', line)
+    with pytest.raises(Exception, match="canonical_name|MALFORMED|Malformed"):
+        countries.country_table(countries.read_country_table(spark, path), staging_module.Staging(spark, str(tmp_path)).write)
+
+
+def test_a_country_table_is_broadcast_only_while_bounded(spark, tmp_path, monkeypatch):
+    path = country_lines(tmp_path, '{"canonical_name": "Good", "alpha2": "GG"}')
+
+    def plan(name):
+        staging = staging_module.Staging(spark, str(tmp_path / name))
+        dimension = countries.country_table(countries.read_country_table(spark, path), staging.write)
+        frame = spark.createDataFrame([("gg",), ("other",)], "country string")
+        assert sorted(r.country for r in conform_country(frame, dimension).collect()) == ["Good", "other"]
+        return dimension._jdf.queryExecution().analyzed().toString()
+
+    assert "strategy=broadcast" in plan("small")
+    monkeypatch.setattr(countries, "MAX_BROADCAST_BYTES", 3)
+    assert "strategy=broadcast" not in plan("large")
