@@ -18,8 +18,7 @@ from leadmill.llm.ngram_join import near_duplicates
 from leadmill.llm.packing import pack_documents
 from leadmill.llm.piece_codec import encode_pieces
 from leadmill.llm.quality_rules import apply_rules, document_statistics, fit_rules
-from leadmill.llm.secret_scan import labelled_candidates, scan_secrets, train_forest
-from leadmill.llm.shared import staged
+from leadmill.llm.secret_scan import scan_secrets, secret_forest
 from leadmill.llm.spelling import drop_some, spelling_variants, word_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,8 +46,7 @@ def op2_decontamination(spark: SparkSession, tables: str) -> DataFrame:
 
 def op3_secrets(spark: SparkSession, tables: str) -> DataFrame:
     docs = table(spark, tables, "documents")
-    forest = train_forest(staged(labelled_candidates(docs)))
-    return scan_secrets(docs, forest).select(
+    return scan_secrets(docs, secret_forest(docs)).select(
         "doc_id",
         F.coalesce(F.size("secret_candidates"), F.lit(0)).cast("long").alias("n_candidates"),
         F.size("secrets").cast("long").alias("n_secrets"),
