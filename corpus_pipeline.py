@@ -16,7 +16,7 @@ from leadmill.llm.decontaminate import without_passages
 from leadmill.llm.ngram_join import near_duplicates
 from leadmill.llm.quality_rules import apply_rules, document_statistics, fit_rules
 from leadmill.llm.queries import piece_digests, table
-from leadmill.llm.secret_scan import labelled_candidates, scan_secrets, train_forest
+from leadmill.llm.secret_scan import scan_secrets, secret_forest
 from leadmill.llm.shared import pick, staged, without_ids
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -56,7 +56,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with their secrets taken out of the text."""
     docs = pick(docs, *COLUMNS)
-    forest = train_forest(staged(labelled_candidates(docs)))
+    forest = secret_forest(docs)
     scanned = scan_secrets(docs, forest, carried=tuple(COLUMNS))
     return scanned.withColumns({
         "text": F.col("redacted"),
