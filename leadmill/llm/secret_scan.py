@@ -33,7 +33,8 @@ NAME = "(?i:passw(?:or)?d|passwd|pwd|passphrase|secret|token|api[_-]?key|access[
 VALUE = r"(?:[^\s\"'<>,;().&]|&(?![A-Za-z_]++=)|\.(?=[^\s\"'<>,;().]))"
 _LONG = (rf"(?<!{TOKEN})(?:(?=[A-Za-z_/+-]*+[0-9])|(?<=[=:]|[=:]['\"]|[=:] ['\"])){TOKEN}{{12,}}+"
          rf"(?:\.{TOKEN}{{10,}}+)*+(?:={{1,2}}+(?=[\"',;)\s]|$))?+")
-_VALUE_OF_NAME = (rf"(?<=[=: '\"])(?<={NAME}['\"]?[ \t]{{0,2}}[=:][ \t]?['\"]?)(?!https?://)"
+# The short look behind comes first, as it fails at most places.
+_VALUE_OF_NAME = (rf"(?<=[=:]|[=:]['\"]|[=:][ \t]|[=:][ \t]['\"])(?<={NAME}['\"]?[ \t]{{0,2}}[=:][ \t]?['\"]?)(?!https?://)"
                   rf"(?=[A-Za-z]*+[0-9!@#$%^&*?_+-]){VALUE}{{6,}}+")
 CANDIDATE = f"{_VALUE_OF_NAME}|{_LONG}"
 # Characters around a candidate that count as its neighbourhood.
