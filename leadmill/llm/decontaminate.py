@@ -127,12 +127,16 @@ class BenchmarkIndex:
             self.by_size[size] = Items([ids[i] for i in mine], [whole[i] for i in mine], hashes, starts, near)
         self.longest = max(self.by_size, default=0)
 
+    def knows(self, shingles: np.ndarray) -> np.ndarray:
+        """Which shingles some item has; ``known`` is sorted once, not for each text."""
+        return self.known[np.minimum(np.searchsorted(self.known, shingles), len(self.known) - 1)] == shingles
+
     def matches(self, shingles: np.ndarray) -> dict[int, tuple[float, int, int]]:
         """By item: the similarity of the best window, its first shingle and how many it has."""
         found: dict[int, tuple[float, int, int]] = {}
         maybe = np.flatnonzero(self.sieve[shingles & np.uint64((1 << 20) - 1)]) if self.longest else []
         if len(maybe):
-            maybe = maybe[np.isin(shingles[maybe], self.known)]
+            maybe = maybe[self.knows(shingles[maybe])]
         if not len(maybe):
             return found
         # Stretches of the text that windows with a shared shingle can cover.
@@ -140,7 +144,7 @@ class BenchmarkIndex:
         for first, last in zip(maybe[[0, *(gaps + 1)]], maybe[[*gaps, len(maybe) - 1]], strict=True):
             low, high = max(0, first - self.longest + 1), min(len(shingles), last + self.longest)
             inside = shingles[low:high]
-            shared = np.concatenate([[0], np.cumsum(np.isin(inside, self.known))])
+            shared = np.concatenate([[0], np.cumsum(self.knows(inside))])
             for begin in range(0, len(inside), WINDOWS_TOGETHER):
                 part = inside[begin:begin + WINDOWS_TOGETHER + self.longest]
                 sums = np.zeros((len(part) + 1, 64), np.int32)

@@ -142,3 +142,12 @@ def test_long_texts_full_of_passages_need_bounded_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 250 << 20, peak
+
+
+def test_shingles_of_items_are_sorted_once(monkeypatch):
+    index = BenchmarkIndex([1, 2], ["a b c d e f g h", "x y z"])
+    probe = np.concatenate([index.known, index.known + np.uint64(1), np.array([0, 2**64 - 1], np.uint64)])
+    assert index.knows(probe).tolist() == np.isin(probe, index.known).tolist()
+    # Membership by sorting both sides costs as much for a text of one word as the whole benchmark.
+    monkeypatch.setattr(np, "isin", None)
+    assert index.matches(index.by_size[4].shingles[0]) == {1: (1.0, 0, 4)}
