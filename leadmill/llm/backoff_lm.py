@@ -15,8 +15,8 @@ sum of the logarithms. Tables hold the n-grams of the whole corpus; no count is
   is taken at each place, with BACKOFF for the rest. A word that it lacks counts as found once.
 
 An n-gram with more than one in HOT of all words may be no join's key: there are at most HOT of a length,
-so their counts are sent to all tasks, and no partition of the join is hot. Everything else that is sent is linear in
-the words. N-grams are known by 64-bit hashes. Words are separated by ASCII white space, A-Z count
+so their counts are sent to all tasks, and no partition of the join is hot. Of a corpus that scores itself the next
+frequent ones go with them, up to HOT of a length. Everything else that is sent is linear in the words. N-grams are known by 64-bit hashes. Words are separated by ASCII white space, A-Z count
 as small. Null texts and texts without words score 0 over 0 words. Repeated rows and rows without
 an id all count and are all scored; empty tables give empty results; other columns do not matter.
 Rows are told apart by numbers given while they are read, so ``df`` should come from a table.
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,6 +100,26 @@ def _words_of(counts: DataFrame) -> int:
     return row["n"] if row else 1
 
 
+def _often(counts: DataFrame, n_words: int) -> Column:
+    """The most frequent n-grams, at most HOT of each length: all with more than one in HOT of the words, and those
+    with the counts below that for which there is room."""
+    step = F.floor(8 * F.log2("n"))
+    sizes: dict[int, list[tuple[int, int]]] = {}
+    for length, least, many in counts.groupBy("length", step.alias("step")).agg(F.count("*").alias("many")).collect():
+        sizes.setdefault(length, []).append((least, many))  # a row for each eighth of a power of two
+    often = F.col("n") * HOT > n_words
+    for length, of_step in sizes.items():
+        held, from_step = 0, None
+        for least, many in sorted(of_step, reverse=True):
+            held += many
+            if held > HOT:
+                break
+            from_step = least
+        if from_step is not None:
+            often |= (F.col("length") == length) & (step >= from_step)
+    return often
+
+
 def backoff_scores(df: DataFrame, order: int = 2, id_column: str = "doc_id", text: str = "text",
                    corpus: DataFrame | None = None) -> DataFrame:
     """Per row: the id, ``n_words`` and ``log_score``, the sum of natural logarithms. The counts are those of
@@ -112,7 +132,7 @@ def _scores_by_itself(rows: DataFrame, order: int, id_column: str, text: str) ->
     # Counts of 1 have the logarithm 0, so an n-gram that the table lacks adds nothing.
     counts = staged(gram_counts(rows, order, text).filter("n > 1").select("gram", "n", "length"))
     n_words = _words_of(counts)
-    often = (F.col("n") * HOT > n_words) & (F.col("gram") != _EMPTY)
+    often = _often(counts, n_words) & (F.col("gram") != _EMPTY)
     table = counts.filter(often).select("gram", "n").toArrow()  # at most HOT of each length
     hot, hot_n = table.column("gram").to_numpy().view(np.uint64), table.column("n").to_numpy()
     hot, hot_logs = hot[np.argsort(hot)], np.log(hot_n[np.argsort(hot)])
@@ -156,6 +176,7 @@ def _scores_by_itself(rows: DataFrame, order: int, id_column: str, text: str) ->
     exploded = rows.mapInArrow(explode, made)
     light = counts.filter(~often).select("gram", "n")
     joined = exploded.repartition(partitions, "gram").join(light.repartition(partitions, "gram"), "gram", "left")
+    joined = joined.filter("n IS NOT NULL OR base IS NOT NULL")  # the others add nothing
     part = F.coalesce("base", F.lit(0.0)) + F.col("sign") * F.log(F.coalesce("n", F.lit(1)).cast("double"))
     return joined.groupBy("row").agg(
         F.first("id", ignorenulls=True).alias(id_column), F.max("n_words").alias("n_words"),

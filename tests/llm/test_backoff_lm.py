@@ -81,3 +81,19 @@ def test_pairs_that_the_corpus_has_once_count(spark):
 def test_empty_table(spark):
     assert backoff_scores(documents(spark, "a").limit(0)).count() == 0
     assert by_id(backoff_scores(documents(spark, None, "")), "n_words", "log_score") == {0: (0, 0.0), 1: (0, 0.0)}
+
+
+def test_as_many_frequent_ngrams_are_sent_along_as_may_be(spark, monkeypatch):
+    counts = spark.createDataFrame(
+        [(i, n, 1) for i, n in enumerate([40, 9, 9, 5, 3, 3, 3])] + [(i, 2, 2) for i in range(10, 16)] + [(0, 71, 0)],
+        "gram long, n long, length byte")
+    for hot, expected in ((4, [0, 1, 2, 3]), (6, [0, 1, 2, 3, 10, 11, 12, 13, 14, 15]), (1, [0])):
+        monkeypatch.setattr(backoff_lm, "HOT", hot)
+        sent = counts.filter(backoff_lm._often(counts, 71)).filter("length > 0")
+        assert sorted(r.gram for r in sent.collect()) == expected
+        assert all(r["count"] <= hot for r in sent.groupBy("length").count().collect())
+
+
+def test_ngrams_that_occur_once_are_not_sent_to_the_sums(spark):
+    plan = backoff_scores(documents(spark, "a b"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnotnull(n#" in plan.split("Join LeftOuter")[0] and "isnotnull(base#" in plan.split("Join LeftOuter")[0]
