@@ -100,6 +100,27 @@ def _words_of(counts: DataFrame) -> int:
     return row["n"] if row else 1
 
 
+class SortedHashes:
+    """Places of hashes in a sorted list of different ones, by a table of where the hashes with the same first bits begin.
+    As such hashes lie evenly, that is a step or two; a binary search of a long list goes to memory at every step."""
+
+    def __init__(self, hashes: np.ndarray):
+        bits = max(1, len(hashes).bit_length())
+        self.shift, self.n = np.uint64(64 - bits), len(hashes)
+        self.starts = np.searchsorted(hashes, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+        self.hashes = np.append(hashes, np.uint64(2**64 - 1))
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes are in the list, and the places of these."""
+        at = self.starts[hashes >> self.shift].astype(np.intp)
+        behind = np.flatnonzero(self.hashes[at] < hashes)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[self.hashes[at[behind]] < hashes[behind]]
+        known = (self.hashes[at] == hashes) & (at < self.n)
+        return known, at[known]
+
+
 def _often(counts: DataFrame, n_words: int) -> Column:
     """The most frequent n-grams, at most HOT of each length: all with more than one in HOT of the words, and those
     with the counts below that for which there is room."""
@@ -135,7 +156,7 @@ def _scores_by_itself(rows: DataFrame, order: int, id_column: str, text: str) ->
     often = _often(counts, n_words) & (F.col("gram") != _EMPTY)
     table = counts.filter(often).select("gram", "n").toArrow()  # at most HOT of each length
     hot, hot_n = table.column("gram").to_numpy().view(np.uint64), table.column("n").to_numpy()
-    hot, hot_logs = hot[np.argsort(hot)], np.log(hot_n[np.argsort(hot)])
+    hot, hot_logs = SortedHashes(hot[np.argsort(hot)]), np.log(hot_n[np.argsort(hot)])
     partitions = 1 + 2 * n_words // PARTITION_GRAMS
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,10 +174,9 @@ def _scores_by_itself(rows: DataFrame, order: int, id_column: str, text: str) ->
             gram, of, sign = (np.concatenate(x) for x in zip(*[
                 (g[m], doc[m], np.full(int(m.sum()), s, np.int64)) for g, m, s in chosen], strict=True))
             base = -np.log(n_words) * (sizes if order == 1 else np.minimum(sizes, 1))
-            if len(hot):
-                at = np.minimum(np.searchsorted(hot, gram), len(hot) - 1)
-                known = hot[at] == gram
-                base = base + np.bincount(of[known], sign[known] * hot_logs[at[known]], len(sizes))
+            if hot.n:
+                known, at = hot.find(gram)
+                base = base + np.bincount(of[known], sign[known] * hot_logs[at], len(sizes))
                 gram, of, sign = gram[~known], of[~known], sign[~known]
             number = piece.column("row").to_numpy()
             yield pa.RecordBatch.from_arrays(

@@ -1,6 +1,7 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from leadmill.llm import backoff_lm
@@ -97,3 +98,14 @@ def test_as_many_frequent_ngrams_are_sent_along_as_may_be(spark, monkeypatch):
 def test_ngrams_that_occur_once_are_not_sent_to_the_sums(spark):
     plan = backoff_scores(documents(spark, "a b"))._jdf.queryExecution().optimizedPlan().toString()
     assert "isnotnull(n#" in plan.split("Join LeftOuter")[0] and "isnotnull(base#" in plan.split("Join LeftOuter")[0]
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 5_000])
+def test_hashes_are_found_at_their_places(n):
+    random = np.random.default_rng(n)
+    held = np.unique(random.integers(0, 2**64 - 1, n, dtype=np.uint64))
+    for extra in ([], [2**64 - 1], [0, 1, 2, 3, 4, 5]):  # also the greatest, and many with the same first bits
+        hashes = np.unique(np.concatenate([held, np.array(extra, np.uint64)]))
+        asked = np.concatenate([hashes, hashes + np.uint64(1), random.integers(0, 2**64 - 1, 500, dtype=np.uint64)])
+        known, at = backoff_lm.SortedHashes(hashes).find(asked)
+        assert known.tolist() == np.isin(asked, hashes).tolist() and hashes[at].tolist() == asked[known].tolist()
