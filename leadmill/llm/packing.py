@@ -70,16 +70,20 @@ class Remembered:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def of(self, strings: set[str]) -> dict[str, bytes]:
-        """Ids of at least these strings."""
-        young, old = self.young, self.old
-        unknown = strings.difference(young)
-        new = list(unknown.difference(old))
-        young.update((s, old[s]) for s in unknown.intersection(old))
-        young.update(zip(new, self.learn(new), strict=True))
-        if len(young) > REMEMBERED_WORDS:
-            self.old, self.young = {s: i for s, i in young.items() if len(s) <= REMEMBERED_LENGTH}, {}
-        return young
+    def of(self, strings: list[str]) -> list[bytes]:
+        """Ids of these strings, which are different from each other."""
+        found = list(map(self.young.get, strings))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        late = [strings[i] for i in missing]
+        older = list(map(self.old.get, late))
+        learned = iter(self.learn([s for s, ids in zip(late, older, strict=True) if ids is None]))
+        ids_of = [next(learned) if ids is None else ids for ids in older]
+        self.young.update(zip(late, ids_of, strict=True))
+        for i, ids in zip(missing, ids_of, strict=True):
+            found[i] = ids
+        if len(self.young) > REMEMBERED_WORDS:
+            self.old, self.young = {s: i for s, i in self.young.items() if len(s) <= REMEMBERED_LENGTH}, {}
+        return found
 
 
 class WordIds:
@@ -140,23 +144,19 @@ class WordIds:
         if not words:
             return []
         units = UNIT.findall("\n".join(words).lower())
-        ids_of = self.units.of(set(units).difference("\n")) | {"\n": NO_ID}
+        different = list(set(units).difference("\n"))
+        ids_of = dict(zip(different, self.units.of(different), strict=True)) | {"\n": NO_ID}
         return b"".join(map(ids_of.__getitem__, units)).split(NO_ID)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and how many there are up to each text's end."""
         cut = pa.compute.ascii_split_whitespace(pa.compute.fill_null(texts, ""))
         coded = cut.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        ids_of = self.words.of(set(words))
-        of_word = list(map(ids_of.__getitem__, words))
-        flat = np.frombuffer(b"".join(of_word), "<u4")
+        of_word = self.words.of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         sizes = np.fromiter(map(len, of_word), np.int64, len(of_word)) // 4
-        starts = np.cumsum(sizes) - sizes
         at = coded.indices.to_numpy()
-        n = sizes[at]
-        ends = np.cumsum(n)
-        ids = flat[np.repeat(starts[at] - ends + n, n) + np.arange(n.sum())]
+        ends = np.cumsum(sizes[at])
+        ids = np.frombuffer(b"".join(map(of_word.__getitem__, at.tolist())), "<u4")
         bounds = np.concatenate([[0], ends])[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
         checked = next((i for i, t in enumerate(texts.slice(0, 20).to_pylist()) if t and len(t) <= CHECKED_LENGTH), None)
         if checked is not None and self._encoded(self.library, texts[checked].as_py()).tobytes() != ids[bounds[checked]:bounds[checked + 1]].tobytes():

@@ -93,3 +93,12 @@ def test_crossover_keeps_whole_bins_and_evolution_improves():
     assert bins & {frozenset(np.flatnonzero(child == b)) for b in range(child.max() + 1)}
     best = home.evolve([], 30)[0]
     assert home.cost(best) <= home.cost(home.first()) and home.cost(best)[0] >= home.least
+
+
+def test_only_strings_that_are_not_remembered_are_learned(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED_WORDS", 3)
+    learned = []
+    remembered = packing.Remembered(lambda some: [learned.append(s) or s.encode() for s in some])
+    for strings in (["a", "b"], ["b", "c", ""], ["d", "a", "e", "b"], ["a", "f"], []):
+        assert remembered.of(strings) == [s.encode() for s in strings]
+    assert learned == ["a", "b", "c", "", "d", "e", "f"]  # those of the generation before are still known
