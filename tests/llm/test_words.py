@@ -1,9 +1,11 @@
 import re
+import weakref
 
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from leadmill.llm.shared import pieces
 from leadmill.llm.words import shingle_hashes, shingle_sets, word_hashes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -25,3 +27,17 @@ def test_equal_words_and_shingles_have_equal_hashes_wherever_they_are(texts, cut
         every = [g for row in grams for g in row]
         assert len(made) == len(every) and len(set(zip(made.tolist(), every, strict=True))) == len(set(every)) == len(set(made.tolist()))
         assert [len(s) for s in shingle_sets(column, width)] == [len(set(g)) for g in grams]
+
+
+def test_a_batch_is_not_held_while_the_next_one_is_read():
+    def batches():
+        for n in range(3):
+            batch = pa.RecordBatch.from_pydict({"text": ["some text", None, "x" * n]})
+            seen = weakref.ref(batch)
+            yield batch
+            del batch
+            held.append(seen() is not None)
+
+    held = []
+    assert [p.num_rows for p in pieces(batches(), "text", 5)] == [1, 2] * 3
+    assert held == [False] * 3
