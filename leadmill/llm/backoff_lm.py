@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadmill.llm.shared import HASHED_BYTES, pick, pieces, staged, unstage
-from leadmill.llm.words import mix, word_hashes
+from leadmill.llm.words import SortedHashes, mix, word_hashes
 
 BACKOFF = 0.4
 # N-grams of a length whose counts may be sent to all tasks, 16 bytes each.
@@ -100,27 +100,6 @@ def _words_of(counts: DataFrame) -> int:
     return row["n"] if row else 1
 
 
-class SortedHashes:
-    """Places of hashes in a sorted list of different ones, by a table of where the hashes with the same first bits begin.
-    As such hashes lie evenly, that is a step or two; a binary search of a long list goes to memory at every step."""
-
-    def __init__(self, hashes: np.ndarray):
-        bits = max(1, len(hashes).bit_length())
-        self.shift, self.n = np.uint64(64 - bits), len(hashes)
-        self.starts = np.searchsorted(hashes, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
-        self.hashes = np.append(hashes, np.uint64(2**64 - 1))
-
-    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which hashes are in the list, and the places of these."""
-        at = self.starts[hashes >> self.shift].astype(np.intp)
-        behind = np.flatnonzero(self.hashes[at] < hashes)
-        while len(behind):
-            at[behind] += 1
-            behind = behind[self.hashes[at[behind]] < hashes[behind]]
-        known = (self.hashes[at] == hashes) & (at < self.n)
-        return known, at[known]
-
-
 def _often(counts: DataFrame, n_words: int) -> Column:
     """The most frequent n-grams, at most HOT of each length: all with more than one in HOT of the words, and those
     with the counts below that for which there is room."""

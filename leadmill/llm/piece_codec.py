@@ -17,6 +17,7 @@ import heapq
 import re
 from array import array
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from leadmill.llm.shared import pick, pieces
+from leadmill.llm.shared import PIECE_BYTES, pick, pieces
+from leadmill.llm.words import SortedHashes, mix
 
 MARK = "▁"  # stands for a space
 SPACED = re.compile(" +[^ ]*")
@@ -34,8 +36,8 @@ SPACED = re.compile(" +[^ ]*")
 REMEMBERED_WORDS, REMEMBERED_LENGTH = 150_000, 40
 # New words that are merged together, which bounds the matrices of their agendas.
 LEARNED_TOGETHER = 20_000
-# Longest word, its mark included, whose agenda is a row of a matrix.
-ROW_LENGTH = 24
+# Words whose agenda is a row of a matrix: their longest, its mark included, in each matrix.
+ROW_LENGTHS = 6, 9, 13, 24
 NEVER = np.int32(2**31 - 1)
 
 
@@ -60,23 +62,30 @@ class MergeVocabulary:
             raise ValueError("pieces go across words; such a model cannot be encoded word by word")
         if len(self.bytes) != 256 or library.decode(library.encode(probe)) != probe:
             raise ValueError("only models with byte pieces and without normalisation are supported")
-        self.line_break = array("i", [self.bytes[10]])
+        self.line_break = array("i", [self.bytes[10]]).tobytes()
         self.split_lines = not any("\n" in p for p in self.ids if len(p) > 1)
         self._pair_table()
+        # Text of each id, and how long it is; of bytes only the line break's, which is whole by itself.
+        self.text_of = [self.texts.get(i, "") for i in every]
+        self.text_of[self.bytes[10]] = "\n"
+        self.text_length = np.array(list(map(len, self.text_of)))
+        self.partial = np.array([i not in self.texts and i != self.bytes[10] for i in every])
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.other_texts: dict[str, str] = {}  # of words that decoding does not give back as they are
 
     def _pair_table(self) -> None:
-        """Sorted keys of the pairs that merge, with the rank and the id of what they become."""
+        """The pairs that merge, by their keys' hashes, with the rank and the id of what they become."""
         ids, pairs = self.ids, {}
         for p, i in ids.items():
             for cut in range(1, len(p)):
                 left, right = ids.get(p[:cut]), ids.get(p[cut:])
                 if left is not None and right is not None:
                     pairs[left << 32 | right] = (self.ranks[p], i)
-        self.pair_keys = np.array(sorted(pairs), np.int64)
-        self.pair_rank, self.pair_id = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int32).T.copy()
+        hashes = mix(np.array(list(pairs), np.uint64))
+        order = np.argsort(hashes)
+        self.pairs = SortedHashes(hashes[order])
+        self.pair_rank, self.pair_id = np.array(list(pairs.values()), np.int32).reshape(-1, 2)[order].T.copy()
         self.symbol_of = np.full(0x110000, -1, np.int32)
         for p, i in ids.items():
             if len(p) == 1:
@@ -84,22 +93,24 @@ class MergeVocabulary:
 
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and id of what two symbols become; NEVER where they stay apart."""
-        keys = left.astype(np.int64) << 32 | np.maximum(right, 0)
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        found = (self.pair_keys[at] == keys) & (right >= 0) & (left >= 0)
-        return np.where(found, self.pair_rank[at], NEVER), self.pair_id[at]
+        # Where there is no symbol, -1 makes a key that no pair has.
+        keys = left.astype(np.int64) << 32 | right.astype(np.int64) & 0xFFFFFFFF
+        known, at = self.pairs.find(mix(keys.ravel().view(np.uint64)))
+        rank, made = np.full(keys.size, NEVER, np.int32), np.zeros(keys.size, np.int32)
+        rank[known], made[known] = self.pair_rank[at], self.pair_id[at]
+        return rank.reshape(keys.shape), made.reshape(keys.shape)
 
-    def merge_rows(self, words: list[str]) -> list[array]:
-        """Ids of words of up to ROW_LENGTH known symbols, each with its agenda in one row."""
+    def merge_rows(self, words: list[str], width: int) -> list[bytes]:
+        """Ids of words of up to ``width`` known symbols, each with its agenda in one row."""
         n, sizes = len(words), np.array([len(w) for w in words])
-        symbols = np.full((n, ROW_LENGTH + 1), -1, np.int32)
-        inside = np.arange(ROW_LENGTH + 1) < sizes[:, None]
+        symbols = np.full((n, width + 1), -1, np.int32)
+        inside = np.arange(width + 1) < sizes[:, None]
         symbols[inside] = self.symbol_of[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
-        ranks = np.full((n, ROW_LENGTH + 1), NEVER, np.int32)
-        made = np.zeros((n, ROW_LENGTH + 1), np.int32)
+        ranks = np.full((n, width + 1), NEVER, np.int32)
+        made = np.zeros((n, width + 1), np.int32)
         ranks[:, :-1], made[:, :-1] = self._pairs(symbols[:, :-1], symbols[:, 1:])
-        following = np.tile(np.arange(1, ROW_LENGTH + 2, dtype=np.int32), (n, 1))
-        previous = np.tile(np.arange(-1, ROW_LENGTH, dtype=np.int32), (n, 1))
+        following = np.tile(np.arange(1, width + 2, dtype=np.int32), (n, 1))
+        previous = np.tile(np.arange(-1, width, dtype=np.int32), (n, 1))
         rows = np.arange(n)
         while True:
             best = ranks[rows].argmin(1)  # the leftmost of equals
@@ -112,18 +123,18 @@ class MergeVocabulary:
             symbols[rows, gone] = -1
             ranks[rows, gone] = NEVER
             after = following[rows, best] = following[rows, gone]
-            here = after <= ROW_LENGTH
+            here = after <= width
             previous[rows[here], after[here]] = best[here]
-            right = np.where(here, symbols[rows, np.minimum(after, ROW_LENGTH)], -1)
+            right = np.where(here, symbols[rows, np.minimum(after, width)], -1)
             ranks[rows, best], made[rows, best] = self._pairs(symbols[rows, best], right)
             before = previous[rows, best]
             r, b, m = rows[before >= 0], before[before >= 0], best[before >= 0]
             ranks[r, b], made[r, b] = self._pairs(symbols[r, b], symbols[r, m])
         kept = symbols >= 0
-        flat, ends = symbols[kept].tolist(), np.cumsum(kept.sum(1)).tolist()
-        return [array("i", flat[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+        flat, ends = symbols[kept].tobytes(), (4 * np.cumsum(kept.sum(1))).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
-    def merge_heap(self, word: str) -> array:
+    def merge_heap(self, word: str) -> bytes:
         """Ids of any word; the agenda is a heap."""
         ranks, symbols, end = self.ranks, list(word), len(word)
         following, previous = list(range(1, end + 1)), list(range(-1, end - 1))
@@ -151,16 +162,20 @@ class MergeVocabulary:
                 ids.append(self.ids[s])
             elif s is not None:
                 ids.extend(self.bytes[b] for b in s.encode())
-        return ids
+        return ids.tobytes()
 
-    def merged(self, words: list[str]) -> list[array]:
-        """Ids of words, each with its mark in front if it has one."""
-        out: list[array | None] = [None] * len(words)
-        known = self.ids
-        short = [i for i, w in enumerate(words) if len(w) <= ROW_LENGTH and all(map(known.__contains__, w))]
-        for i, ids in zip(short, self.merge_rows([words[i] for i in short]), strict=True):
-            out[i] = ids
-        return [self.merge_heap(w) if ids is None else ids for w, ids in zip(words, out, strict=True)]
+    def merged(self, words: list[str]) -> list[bytes]:
+        """Ids of words, none of them empty, each with its mark in front if it has one."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        symbols = self.symbol_of[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+        known = np.minimum.reduceat(symbols, np.cumsum(sizes) - sizes) >= 0 if words else np.empty(0, bool)
+        ids_of: dict[str, bytes] = {}
+        least = 0
+        for width in ROW_LENGTHS:
+            some = [words[i] for i in np.flatnonzero(known & (sizes > least) & (sizes <= width)).tolist()]
+            ids_of.update(zip(some, self.merge_rows(some, width), strict=True))
+            least = width
+        return [ids_of[w] if w in ids_of else self.merge_heap(w) for w in words]
 
     def decoded(self, ids: Iterable[int]) -> str:
         """Text of ids; neighbouring byte pieces make up characters."""
@@ -177,28 +192,36 @@ class MergeVocabulary:
         """Encode words that follow a space, and compare them with the library."""
         marked = [(" " + w).replace(" ", MARK) for w in words]
         # A line break is merged with nothing, so that words at the ends of lines are short too.
-        lines = [m.split("\n") if self.split_lines else [m] for m in marked]
-        parts = list({p for line in lines for p in line if p})
-        ids_of = dict(zip(parts, self.merged(parts), strict=True))
-        ids_of[""] = array("i")
-        unusual = []
+        lines = [m.split("\n") if self.split_lines and "\n" in m else [m] for m in marked]
+        parts = list(set(chain.from_iterable(lines)).difference([""]))
+        ids_of = dict(zip(parts, self.merged(parts), strict=True)) | {"": b""}
+        ours = [self.line_break.join([ids_of[part] for part in line]) if len(line) > 1 else ids_of[line[0]]
+                for line in lines]
+        sizes = np.fromiter(map(len, ours), np.int64, len(ours)) // 4
         theirs = self.library.encode(words, num_threads=1)
-        for word, line, library in zip(words, lines, theirs, strict=True):
-            ids = ids_of[line[0]]
-            for part in line[1:]:
-                ids = ids + self.line_break + ids_of[part]
-            # The library gives nothing for an empty text, while a mark can stand alone in a longer one.
-            if word and ids.tolist() != library:
-                raise ValueError(f"{word!r} is encoded as {ids.tolist()}, by the library as {library}")
-            text = "\n".join([self.decoded(ids_of[part]) for part in line])[1:]
-            if text != word.replace(MARK, " ") or not self.texts.keys() >= set(ids).difference(self.line_break):
-                unusual.append((library, text))
-            self.young[word] = ids.tobytes()
-            if text != word:
-                self.other_texts[word] = text
-        for (ids, ours), text in zip(unusual, self.library.decode([i for i, _ in unusual]), strict=True):
-            if ours != text and ids:
-                raise ValueError(f"{ids} are decoded as {ours!r}, by the library as {text!r}")
+        # The library gives nothing for an empty text, while a mark can stand alone in a longer one.
+        theirs = [ids if word else array("i", mine).tolist() for word, ids, mine in zip(words, theirs, ours, strict=True)]
+        flat = np.frombuffer(b"".join(ours), np.int32)
+        if not (np.array_equal(sizes, np.fromiter(map(len, theirs), np.int64, len(theirs)))
+                and np.array_equal(flat, np.fromiter(chain.from_iterable(theirs), np.int32))):
+            for word, mine, library in zip(words, ours, theirs, strict=True):
+                if array("i", mine).tolist() != library:
+                    raise ValueError(f"{word!r} is encoded as {array('i', mine).tolist()}, by the library as {library}")
+        whole, ends = "".join(map(self.text_of.__getitem__, flat.tolist())), np.cumsum(sizes)
+        upto = np.concatenate([[0], np.cumsum(self.text_length[flat])])[ends].tolist()
+        texts = [whole[a + 1:b] for a, b in zip([0, *upto], upto, strict=False)]  # without the mark in front
+        # Words with parts of characters, piece by piece.
+        partial = {int(i) for i in np.searchsorted(ends, np.flatnonzero(self.partial[flat]), "right")}
+        for i in partial:
+            texts[i] = "\n".join([self.decoded(array("i", ids_of[part])) for part in lines[i]])[1:]
+        self.young.update(zip(words, ours, strict=True))
+        if partial or texts != words:
+            other = [i for i, (text, word) in enumerate(zip(texts, words, strict=True)) if text != word]
+            self.other_texts.update((words[i], texts[i]) for i in other)
+            unusual = sorted(partial.union(i for i in other if words[i]))
+            for i, text in zip(unusual, self.library.decode([theirs[i] for i in unusual]), strict=True):
+                if texts[i] != text:
+                    raise ValueError(f"{theirs[i]} are decoded as {texts[i]!r}, by the library as {text!r}")
 
     def encode(self, texts: list[str | None]) -> tuple[list[bytes], list[str]]:
         """Ids as int32 and decoded text of each text."""
@@ -229,15 +252,6 @@ class MergeVocabulary:
         return ids, decoded
 
 
-_vocabularies: dict[str, MergeVocabulary] = {}
-
-
-def _vocabulary(model: str) -> MergeVocabulary:
-    if model not in _vocabularies:
-        _vocabularies[model] = MergeVocabulary(model)
-    return _vocabularies[model]
-
-
 def encode_pieces(df: DataFrame, model: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row: the id, ``token_ids``, and ``decoded``, the text that the ids give back.
 
@@ -248,8 +262,8 @@ def encode_pieces(df: DataFrame, model: str, id_column: str = "doc_id", text: st
                            T.StructField("decoded", T.StringType())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _vocabulary(model)
-        for piece in pieces(batches, text):
+        vocabulary = MergeVocabulary(model)  # goes with the task, as a worker's memory is short
+        for piece in pieces(batches, text, PIECE_BYTES // 2):
             ids, decoded = vocabulary.encode(piece.column(text).to_pylist())
             ends = np.cumsum([0, *(len(i) // 4 for i in ids)], dtype=np.int32)
             tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))

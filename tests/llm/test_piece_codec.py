@@ -1,11 +1,13 @@
 import hashlib
 
 import public_tokenizers
+import numpy as np
 import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from leadmill.llm import piece_codec
 from leadmill.llm.piece_codec import MergeVocabulary, encode_pieces
 from leadmill.llm.queries import piece_digests, vocabulary
 from tests.llm.frames import by_id, documents
@@ -60,3 +62,16 @@ def test_what_is_remembered_is_bounded(vocabulary, monkeypatch):
     for text in texts:
         assert list(memoryview(vocabulary.encode([text])[0][0]).cast("i")) == LIBRARY.encode(text)
     assert len(vocabulary.young) + len(vocabulary.old) < 40
+
+
+def test_rows_of_any_width_and_the_heap_merge_alike(vocabulary):
+    words = ["\u2581the", "\u2581", "a", "\u2581unbelievable", "Stra\u00dfe", "\u2581xyzzyxyzzyxyzzyxyzzyxy"]
+    assert all(vocabulary.merge_rows(words, width) == [vocabulary.merge_heap(w) for w in words] for width in (24, 30))
+    assert vocabulary.merged(words) == [vocabulary.merge_heap(w) for w in words]
+
+
+def test_pairs_with_no_symbol_stay_apart(vocabulary):
+    left, right = vocabulary.ids["t"], vocabulary.ids["h"]
+    ranks, ids = vocabulary._pairs(np.array([[left, -1], [left, -1]], np.int32), np.array([[right, right], [-1, -1]], np.int32))
+    assert ranks.tolist() == [[vocabulary.ranks["th"], piece_codec.NEVER], [piece_codec.NEVER] * 2]
+    assert ids[0, 0] == vocabulary.ids["th"]
