@@ -41,9 +41,11 @@ from leadmill.llm.components import components
 from leadmill.llm.shared import BROADCAST_IDS, HASHED_BYTES, pick, pieces, staged, unstage
 from leadmill.llm.words import mix, shingle_hashes, shingle_sets, word_hashes
 
-# A shingle in more than this share of documents comes late in the order. At most the mean number of
-# shingles of a document, divided by this share, can be so frequent: that bounds what is broadcast.
-FREQUENT = 0.0005
+# Shingles that come late in the order, at most: the most frequent ones, which are broadcast with their counts. A bound by
+# share of documents instead would leave lists that grow with the table, and pairs that grow with their square.
+FREQUENT = 500_000
+# A batch sends on the shingles that so many of its documents have.
+OFTEN = 3
 # Candidates for the size from which sets are large; 0 means that all sets are.
 BOUNDARIES = [0, 8, 12, 16, 24, 32, 48, 64, 96]
 # One in so many list elements enters the estimate of costs, which changes no result.
@@ -67,7 +69,7 @@ def sketch_bits(size: int) -> int:
 def frequent_shingles(rows: DataFrame, text: str, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes (ascending) and counts of shingles that many documents have.
 
-    Batches send on only what is frequent among their own documents, so a count may be low. Any
+    Batches send on only what several of their own documents have, so a count may be low. Any
     counts give right results; good ones keep frequent passages out of the lists.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,24 +81,36 @@ def frequent_shingles(rows: DataFrame, text: str, width: int) -> tuple[np.ndarra
                 size += sum(map(len, sets))
             if held and (piece is None or size >= COUNTED_TOGETHER):
                 found, n = np.unique(np.concatenate(held), return_counts=True)
-                often = n >= max(3, FREQUENT * len(held))
+                often = n >= OFTEN
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found[often].view(np.int64)), pa.array(n[often].astype(np.int64))], names=["shingle", "n"])
                 held, size = [], 0
 
-    total = rows.count()
-    found = (rows.select(text).mapInArrow(count, "shingle long, n long").groupBy("shingle")
-             .agg(F.sum("n").alias("n")).filter(F.col("n") > max(FREQUENT * total, 3)).toPandas())
-    keys = found["shingle"].to_numpy(np.int64).view(np.uint64)
+    counts = staged(rows.select(text).mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")))
+    table = _most_frequent(counts, FREQUENT).toArrow()
+    unstage(counts)
+    keys, n = table.column("shingle").to_numpy().view(np.uint64), table.column("n").to_numpy()
     order = np.argsort(keys)
-    return keys[order], found["n"].to_numpy(np.int64)[order]
+    return keys[order], n[order]
+
+
+def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """At most so many rows, those of the greatest ``n``; of rows within a sixteenth of a power of two all or none."""
+    step = F.floor(16 * F.log2("n"))
+    held, least = 0, None
+    for of_step, many in sorted(map(tuple, counts.groupBy(step).count().collect()), reverse=True):  # some hundred rows
+        held += many
+        if held > most:
+            break
+        least = of_step
+    return counts.filter(F.lit(False) if least is None else step >= least)
 
 
 def document_sets(rows: DataFrame, id_column: str, text: str, width: int, percent: int,
                   frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """Per row: set size, two hashes that name the set, its first elements for k = 2, in order, and a
     sketch: which classes of hashes the set has elements of."""
-    sent = rows.sparkSession.sparkContext.broadcast(frequent)  # bounded, see FREQUENT
+    sent = rows.sparkSession.sparkContext.broadcast(frequent)  # at most FREQUENT
     schema = T.StructType([rows.schema[id_column], *[T.StructField(c, T.LongType()) for c in ("n_shingles", "name1", "name2")],
                            T.StructField("first", T.ArrayType(T.LongType())), T.StructField("sketch", T.ArrayType(T.LongType()))])
 

@@ -35,7 +35,7 @@ SPACED = re.compile(" +[^ ]*")
 # A task remembers up to twice so many words, none of them longer than so many characters.
 REMEMBERED_WORDS, REMEMBERED_LENGTH = 150_000, 40
 # New words that are merged together, which bounds the matrices of their agendas.
-LEARNED_TOGETHER = 20_000
+LEARNED_TOGETHER = 8_000
 # Words whose agenda is a row of a matrix: their longest, its mark included, in each matrix.
 ROW_LENGTHS = 6, 9, 13, 24
 NEVER = np.int32(2**31 - 1)
@@ -263,7 +263,7 @@ def encode_pieces(df: DataFrame, model: str, id_column: str = "doc_id", text: st
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = MergeVocabulary(model)  # goes with the task, as a worker's memory is short
-        for piece in pieces(batches, text, PIECE_BYTES // 2):
+        for piece in pieces(batches, text, PIECE_BYTES // 4):
             ids, decoded = vocabulary.encode(piece.column(text).to_pylist())
             ends = np.cumsum([0, *(len(i) // 4 for i in ids)], dtype=np.int32)
             tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))

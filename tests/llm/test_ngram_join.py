@@ -2,12 +2,14 @@ import random
 import re
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from leadmill.llm import ngram_join
 from leadmill.llm.components import components
 from leadmill.llm.ngram_join import near_duplicates
+from leadmill.llm.shared import BATCH_BYTES, pick
 from tests.llm.frames import by_id, documents
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -108,3 +110,27 @@ def test_components_of_long_paths_and_stars(spark):
     found = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
     expected = defaultdict(int) | {i: 100 for i in range(100, 161)} | {i: 5 for i in [5, *range(200, 400)]}
     assert found == expected
+
+
+def test_frequent_shingles_are_known_by_number_not_by_share(spark, monkeypatch):
+    """Lists that are small beside the table, but long: only the most frequent shingles are sent, however large the table."""
+    common = "a shingle of five words"
+    docs = spark.range(12_000).select(F.when(F.col("id") % 2_000 < 5, F.lit(common)).otherwise(
+        F.concat(F.lit("w"), F.col("id").cast("string"))).alias("text")).coalesce(1)
+    keys, n = ngram_join.frequent_shingles(docs.filter("text LIKE 'w%'").limit(11_000).union(
+        docs.filter(F.col("text") == common).limit(5)).coalesce(1), "text", 5)
+    assert n.tolist() == [5]
+    counts = spark.range(1, 101).select(F.col("id").alias("shingle"), F.col("id").alias("n"))
+    sent = [r.n for r in ngram_join._most_frequent(counts, 10).collect()]
+    assert 0 < len(sent) <= 10 and min(sent) == 101 - len(sent)
+    assert ngram_join._most_frequent(counts.limit(0), 10).count() == 0
+
+
+def test_batches_are_small(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.nbytes], pa.int64())})
+
+    long = spark.range(0, 2_000, 1, 1).select(F.repeat(F.lit("word "), 2_000).alias("text"))
+    sent = [r.n for r in pick(long, "text").mapInArrow(sizes, "n long").collect()]
+    assert sum(sent) > 20_000_000 and max(sent) < 2 * BATCH_BYTES
