@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer, pre_tokenizers
 
-from leadmill.llm.shared import pick, pieces, staged, unstage, worker_memory
+from leadmill.llm.shared import BATCH_BYTES, pick, pieces, staged, unstage, worker_memory
 from leadmill.llm.words import by_row
 
 CAPACITY, END_ID = 2048, 0
@@ -154,9 +154,11 @@ class WordIds:
         coded = cut.flatten().dictionary_encode()
         of_word = self.words.of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         sizes = np.fromiter(map(len, of_word), np.int64, len(of_word)) // 4
+        flat, first = np.frombuffer(b"".join(of_word), "<u4"), np.cumsum(sizes) - sizes
         at = coded.indices.to_numpy()
-        ends = np.cumsum(sizes[at])
-        ids = np.frombuffer(b"".join(map(of_word.__getitem__, at.tolist())), "<u4")
+        many = sizes[at]
+        ends = np.cumsum(many)
+        ids = flat[np.repeat(first[at] - ends + many, many) + np.arange(many.sum())]
         bounds = np.concatenate([[0], ends])[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
         checked = next((i for i, t in enumerate(texts.slice(0, 20).to_pylist()) if t and len(t) <= CHECKED_LENGTH), None)
         if checked is not None and self._encoded(self.library, texts[checked].as_py()).tobytes() != ids[bounds[checked]:bounds[checked + 1]].tobytes():
@@ -173,6 +175,18 @@ def _vocabulary(path: str) -> WordIds:
     return known[path]
 
 
+def _together(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Batches of at least so many bytes, the last one aside: a word is looked up once in each."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= least:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def token_pieces(df: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_column: str = "doc_id",
                  text: str = "text") -> DataFrame:
     """Per piece of a document: the id, ``piece``, ``start``, ``length`` and ``ids_crc32``.
@@ -187,7 +201,7 @@ def token_pieces(df: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_co
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = _vocabulary(vocabulary).encode
-        for piece in pieces(batches, text):
+        for piece in pieces(_together(batches, 2 * BATCH_BYTES), text, 4 * BATCH_BYTES):
             made = []
             every, upto = ids_of(piece.column(text))
             for row, mine in enumerate(by_row(every, upto)):

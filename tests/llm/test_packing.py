@@ -4,11 +4,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from leadmill.llm import packing
-from leadmill.llm.packing import Population, pack_documents, pack_pieces
+from leadmill.llm.packing import Population, pack_documents, pack_pieces, token_pieces
 from leadmill.llm.queries import op12_packing, table
 from tests.llm.frames import SCHEMA, documents
 
@@ -102,3 +103,12 @@ def test_only_strings_that_are_not_remembered_are_learned(monkeypatch):
     for strings in (["a", "b"], ["b", "c", ""], ["d", "a", "e", "b"], ["a", "f"], []):
         assert remembered.of(strings) == [s.encode() for s in strings]
     assert learned == ["a", "b", "c", "", "d", "e", "f"]  # those of the generation before are still known
+
+
+def test_small_batches_are_looked_up_together(spark):
+    batches = [pa.RecordBatch.from_pydict({"id": [i], "text": ["word " * n]}) for i, n in enumerate([10, 20, 30, 40, 5])]
+    found = list(packing._together(iter(batches), 200))
+    assert all(b.nbytes >= 200 for b in found[:-1]) and len(found) < 5
+    assert [i for b in found for i in b.column("id").to_pylist()] == [0, 1, 2, 3, 4]
+    assert not list(packing._together(iter([]), 200))
+    assert not token_pieces(documents(spark).limit(0), VOCABULARY).count()
