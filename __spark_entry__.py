@@ -80,6 +80,7 @@ from leadmill.sources.split_csv import read_split_csv_leads  # noqa: E402
 
 try:  # these may be taken away as a whole; the other queries do not need them
     import corpus_pipeline
+    from leadmill.llm.queries import FURTHER_QUERIES, FURTHER_SQL
     from leadmill.llm.queries import ORACLE_SQL as LLM_ORACLES
     from leadmill.llm.queries import QUERIES as LLM_QUERIES
 except ModuleNotFoundError as absent:
@@ -87,7 +88,8 @@ except ModuleNotFoundError as absent:
         raise
     LLM_QUERIES, LLM_ORACLES = {}, {}
 else:
-    LLM_QUERIES = LLM_QUERIES | {"pipeline": corpus_pipeline.run}
+    LLM_QUERIES = LLM_QUERIES | FURTHER_QUERIES | {"pipeline": corpus_pipeline.run}
+    LLM_ORACLES = LLM_ORACLES | FURTHER_SQL
     if corpus_pipeline.ORACLE_SQL is not None:
         LLM_ORACLES = LLM_ORACLES | {"pipeline": corpus_pipeline.ORACLE_SQL}
 

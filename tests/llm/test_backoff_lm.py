@@ -2,8 +2,10 @@ import math
 from collections import Counter
 
 import numpy as np
+import duckdb
 import pytest
 
+import __spark_entry__ as registry
 from leadmill.llm import backoff_lm
 from leadmill.llm.backoff_lm import BACKOFF, backoff_scores
 from tests.llm.frames import by_id, documents
@@ -109,3 +111,16 @@ def test_hashes_are_found_at_their_places(n):
         asked = np.concatenate([hashes, hashes + np.uint64(1), random.integers(0, 2**64 - 1, 500, dtype=np.uint64)])
         known, at = backoff_lm.SortedHashes(hashes).find(asked)
         assert known.tolist() == np.isin(asked, hashes).tolist() and hashes[at].tolist() == asked[known].tolist()
+
+
+def test_a_query_backs_off_at_every_order(spark):
+    """Three-word, two-word and single n-grams and words that the corpus lacks, against the statement."""
+    tables = "/root/testdata/sf0.001"
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW documents AS SELECT * FROM '{tables}/documents.parquet'")
+    expected = connection.sql(registry.oracle_sql()["op1_other_corpus"]).fetchall()
+    found = registry.queries()["op1_other_corpus"](spark, tables)
+    assert found.columns == ["doc_id", "n_words", "log_score"] and expected
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, expected))
+    itself = {r.doc_id: r.log_score for r in registry.queries()["op1_backoff_scores"](spark, tables).collect()}
+    assert any(itself[i] != s for i, _, s in expected)
