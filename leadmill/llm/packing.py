@@ -50,13 +50,17 @@ POPULATION, CHILDREN, ELITE = 6, 4, 2
 # Of the bins of a packing: one in so many is injected, emptied by a mutation, given up by a shard.
 INJECTED, MUTATED, GIVEN_UP = 8, 12, 8
 
-# How the vocabulary's pattern cuts words (which have no ASCII white space) of these characters,
-# made small, into units.
-CUT_HERE = re.compile("[!-~¡-ÿ\\n]*")
-UNIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^a-zªµºß-öø-ÿ0-9²³¹¼½¾\n]+|\n")
-# Four bytes that no ids hold, not even parts of two.
-NO_ID = b"\xff" * 4
-# A task remembers up to twice so many words and units, none of them longer than so many characters.
+# How the vocabulary's pattern cuts words (which have no ASCII white space) of the characters ! to ~ and
+# \xa1 to \xff into units: letters, single digits, others, and endings like 's. Bytes are those of Latin-1, made small.
+LATIN = bytes(range(256)).decode("latin-1")
+SMALL = np.frombuffer(LATIN.lower().encode("latin-1"), np.uint8)
+BREAK, LETTER, DIGIT, OTHER = range(4)
+KINDS = np.array([BREAK if c == "\n" else LETTER if c.isalpha() else DIGIT if c in "0123456789²³¹¼½¾" else OTHER for c in LATIN], np.uint8)
+ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
+# Bytes of UTF-8 that other characters have; 0xc2 also begins some below \xa1.
+FOREIGN = np.array([b < 0x21 or b == 0x7f or b in (0xc0, 0xc1) or b > 0xc3 for b in range(256)])
+# A task remembers up to twice so many words of other characters, none of them longer than so many characters,
+# and up to twice so many units.
 REMEMBERED_WORDS, REMEMBERED_LENGTH = 300_000, 40
 # Longest text that is encoded whole to check the words' ids, one in each piece of a batch.
 CHECKED_LENGTH = 10_000
@@ -86,8 +90,67 @@ class Remembered:
         return found
 
 
+class RememberedUnits:
+    """The same for many strings of bytes at a time, in Arrow and numpy: no object for each."""
+
+    def __init__(self, learn: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]):
+        self.learn = learn
+        self.strings = pa.array([], pa.binary())
+        self.ids, self.sizes, self.used = np.empty(0, "<u4"), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.turn = 0
+
+    def of(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all strings in turn, and how many each has."""
+        known = len(self.strings)
+        coded = pa.concat_arrays([self.strings, strings]).dictionary_encode()
+        at = coded.indices.to_numpy()[known:]
+        self.strings = coded.dictionary  # what is known comes first, in its order
+        if len(self.strings) > known:
+            ids, sizes = self.learn(self.strings.slice(known))
+            self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+        found = gathered(self.ids, self.sizes, at), self.sizes[at]
+        self.turn += 1
+        self.used = np.append(self.used, np.zeros(len(self.strings) - known, np.int64))
+        self.used[at] = self.turn
+        self._forget()
+        return found
+
+    def _forget(self) -> None:
+        """Of too many strings, keep those that were used last."""
+        if len(self.strings) <= 2 * REMEMBERED_WORDS:
+            return
+        short = pa.compute.binary_length(self.strings).to_numpy() <= REMEMBERED_LENGTH
+        order = np.argsort(np.where(short, -self.used, 1), kind="stable")
+        kept = np.sort(order[:min(REMEMBERED_WORDS, short.sum())])
+        self.ids = gathered(self.ids, self.sizes, kept)
+        self.strings, self.sizes, self.used = self.strings.take(pa.array(kept)), self.sizes[kept], self.used[kept]
+
+
+def gathered(values: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The values of the groups ``at``, in this order; ``sizes`` are those of all groups, which lie one after the other."""
+    many = sizes[at]
+    ends = np.cumsum(many)
+    return values[np.repeat((np.cumsum(sizes) - sizes)[at] - ends + many, many) + np.arange(many.sum())]
+
+
+def unit_bounds(text: np.ndarray) -> np.ndarray:
+    """Where the units and line breaks of a text of Latin-1 begin."""
+    kinds = KINDS[text]
+    first = (kinds == BREAK) | (kinds == DIGIT)
+    first[0] = True
+    first[1:] |= kinds[1:] != kinds[:-1]
+    ticks = np.flatnonzero((text == ord("'")) & first)
+    padded = np.concatenate([text, np.zeros(2, np.uint8)])
+    for ending in ENDINGS:
+        here = ticks[np.all([padded[ticks + 1 + i] == ord(c) for i, c in enumerate(ending)], axis=0)]
+        first[here + 1] = False
+        after = here + 1 + len(ending)
+        first[after[after < len(text)]] = True
+    return np.flatnonzero(first)
+
+
 class WordIds:
-    """Ids of texts as the library gives them, from the remembered ids of their words.
+    """Ids of texts as the library gives them, from the remembered ids of their words' units.
 
     The vocabulary's pattern never goes across white space, so words are encoded on their own. Words
     of ordinary characters are cut into units here, and new units are merged by the library without its
@@ -97,8 +160,11 @@ class WordIds:
     def __init__(self, path: str):
         self.library, self.bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.bare.normalizer = None
-        self.bare.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # One or two characters that the vocabulary has for a character of Latin-1; a blank stays.
+        names = [" " if c == " " else byte_level.pre_tokenize_str(c)[0][0] for c in LATIN]
+        self.names = np.array([[ord(c) for c in name.ljust(2, "\0")] for name in names], "<u4")
         special = [(i, t.content) for i, t in self.library.get_added_tokens_decoder().items()
                    if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
         self.between, self.mark = special[0]
@@ -106,59 +172,80 @@ class WordIds:
         names = self.library.get_vocab()
         self.ends_unit = np.zeros(max(names.values()) + 1, bool)
         self.ends_unit[[i for name, i in names.items() if name.endswith(self.library.model.end_of_word_suffix)]] = True
-        self.units, self.words = Remembered(self._units), Remembered(self._words)
+        self.units, self.others = RememberedUnits(self._units), Remembered(self._others)
 
     def _encoded(self, library: Tokenizer, text: str) -> np.ndarray:
         return np.array(library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _split(self, library: Tokenizer, strings: list[str], between: str) -> Iterator[bytes]:
-        for first in range(0, len(strings), 5_000):
-            some = strings[first:first + 5_000]
-            ids = self._encoded(library, between.join(some))
-            if library is self.bare:
-                ends = np.flatnonzero(self.ends_unit[ids]) + 1
-                starts = np.concatenate([[0], ends[:-1]])
-            else:
-                cuts = np.flatnonzero(ids == self.between)
-                starts, ends = np.concatenate([[0], cuts + 1]), np.concatenate([cuts, [len(ids)]])
+    def _units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different units, and how many each has; a line break has none."""
+        ids, sizes = [], np.zeros(len(units), np.int64)
+        learned = np.flatnonzero(pa.compute.not_equal(units, b"\n").to_numpy(zero_copy_only=False))
+        for first in range(0, len(learned), 5_000):
+            some = learned[first:first + 5_000]
+            named = self.names[np.frombuffer(joined(units.take(pa.array(some)), b" "), np.uint8)]
+            ids.append(self._encoded(self.bare, named[named > 0].tobytes().decode("utf-32-le")))
+            ends = np.flatnonzero(self.ends_unit[ids[-1]]) + 1
+            sizes[some] = np.diff(ends, prepend=0)
+        return np.concatenate([np.empty(0, "<u4"), *ids]), sizes
+
+    def _others(self, words: list[str]) -> list[bytes]:
+        special = [w for w in words if self.special.search(w)]
+        ids_of = {w: self._encoded(self.library, w).tobytes() for w in special}
+        rest = [w for w in words if w not in ids_of]
+        for first in range(0, len(rest), 5_000):
+            some = rest[first:first + 5_000]
+            ids = self._encoded(self.library, f" {self.mark} ".join(some))
+            cuts = np.flatnonzero(ids == self.between)
+            starts, ends = np.concatenate([[0], cuts + 1]), np.concatenate([cuts, [len(ids)]])
             data = ids.tobytes()
-            yield from [data[a:b] for a, b in zip((4 * starts).tolist(), (4 * ends).tolist(), strict=True)]
-
-    def _units(self, units: list[str]) -> Iterator[bytes]:
-        return self._split(self.bare, units, " ")
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        text = "\n".join(words)
-        if not CUT_HERE.fullmatch(text) or self.special.search(text):
-            plain = [w for w in words if CUT_HERE.fullmatch(w) and not self.special.search(w)]
-            special = [w for w in words if self.special.search(w)]
-            rest = list(set(words).difference(plain, special))
-            ids_of = dict(zip(plain, self._cut(plain), strict=True))
-            ids_of.update(zip(rest, self._split(self.library, rest, f" {self.mark} "), strict=True))
-            ids_of.update((w, self._encoded(self.library, w).tobytes()) for w in special)
-            return [ids_of[w] for w in words]
-        return self._cut(words)
-
-    def _cut(self, words: list[str]) -> list[bytes]:
-        """Ids of words of ordinary characters."""
-        if not words:
-            return []
-        units = UNIT.findall("\n".join(words).lower())
-        different = list(set(units).difference("\n"))
-        ids_of = dict(zip(different, self.units.of(different), strict=True)) | {"\n": NO_ID}
-        return b"".join(map(ids_of.__getitem__, units)).split(NO_ID)
+            ids_of.update((w, data[a:b]) for w, a, b in zip(some, (4 * starts).tolist(), (4 * ends).tolist(), strict=True))
+        return [ids_of[w] for w in words]
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, which are different, and how many each has."""
+        other = self._is_other(words)
+        if not other.any():
+            return self._cut(words)
+        plain, rest = np.flatnonzero(~other), np.flatnonzero(other)
+        ids, sizes = self._cut(words.take(pa.array(plain)))
+        found = self.others.of(words.take(pa.array(rest)).to_pylist())
+        ids = np.concatenate([ids, np.frombuffer(b"".join(found), "<u4")])
+        sizes = np.concatenate([sizes, np.fromiter(map(len, found), np.int64, len(found)) // 4])
+        back = np.argsort(np.concatenate([plain, rest]))
+        return gathered(ids, sizes, back), sizes[back]
+
+    def _is_other(self, words: pa.Array) -> np.ndarray:
+        """Which words have characters that are not ordinary, or a special token."""
+        offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1]
+        data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+        foreign = FOREIGN[data]
+        begins = np.flatnonzero(data == 0xc2)
+        foreign[begins[data[begins + 1] < 0xa1]] = True
+        other = np.zeros(len(words), bool)
+        other[np.searchsorted(offsets - offsets[0], np.flatnonzero(foreign), "right") - 1] = True
+        if self.special.search(data.tobytes().decode()):
+            other |= np.array([self.special.search(w) is not None for w in words.to_pylist()])
+        return other
+
+    def _cut(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of ordinary characters, and how many each has."""
+        if not len(words):
+            return np.empty(0, "<u4"), np.empty(0, np.int64)
+        text = SMALL[np.frombuffer(f"{joined(words, '\n')}\n".encode("latin-1"), np.uint8)]
+        starts = unit_bounds(text)
+        ids, sizes = self.units.of(pa.Array.from_buffers(pa.binary(), len(starts), [
+            None, pa.py_buffer(np.append(starts, len(text)).astype(np.int32)), pa.py_buffer(text)]))
+        ends = np.cumsum(sizes)[text[starts] == ord("\n")]
+        return ids, np.diff(ends, prepend=0)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and how many there are up to each text's end."""
-        cut = pa.compute.ascii_split_whitespace(pa.compute.fill_null(texts, ""))
+        cut = pa.compute.ascii_split_whitespace(pa.compute.fill_null(texts.cast(pa.string()), ""))
         coded = cut.flatten().dictionary_encode()
-        of_word = self.words.of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
-        sizes = np.fromiter(map(len, of_word), np.int64, len(of_word)) // 4
-        flat, first = np.frombuffer(b"".join(of_word), "<u4"), np.cumsum(sizes) - sizes
+        of_word, sizes = self._words(coded.dictionary)
         at = coded.indices.to_numpy()
-        many = sizes[at]
-        ends = np.cumsum(many)
-        ids = flat[np.repeat(first[at] - ends + many, many) + np.arange(many.sum())]
+        ids, ends = gathered(of_word, sizes, at), np.cumsum(sizes[at])
         bounds = np.concatenate([[0], ends])[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
         checked = next((i for i, t in enumerate(texts.slice(0, 20).to_pylist()) if t and len(t) <= CHECKED_LENGTH), None)
         if checked is not None and self._encoded(self.library, texts[checked].as_py()).tobytes() != ids[bounds[checked]:bounds[checked + 1]].tobytes():
@@ -166,6 +253,11 @@ class WordIds:
         return ids, bounds[1:]
 
 
+def joined(strings: pa.Array, between: str | bytes) -> str | bytes:
+    whole = pa.ListArray.from_arrays(pa.array([0, len(strings)], pa.int32()), strings)
+    return pa.compute.binary_join(whole, between)[0].as_py()
+
+
 def _vocabulary(path: str) -> WordIds:
     """The vocabulary with the words this worker has met, also in earlier tasks."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core

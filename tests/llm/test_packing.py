@@ -112,3 +112,32 @@ def test_small_batches_are_looked_up_together(spark):
     assert [i for b in found for i in b.column("id").to_pylist()] == [0, 1, 2, 3, 4]
     assert not list(packing._together(iter([]), 200))
     assert not token_pieces(documents(spark).limit(0), VOCABULARY).count()
+
+
+def test_units_are_remembered_without_an_object_for_each(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED_WORDS", 2)
+    learned = []
+
+    def learn(strings):
+        learned.append(strings.to_pylist())
+        return np.frombuffer(b"".join(learned[-1]), np.uint8).astype("<u4"), np.array(list(map(len, learned[-1])))
+
+    remembered = packing.RememberedUnits(learn)
+    for strings in ([b"ab", b"c", b"ab"], [], [b"c", b"", b"d", b"ab"], [b"d"], [b"e", b"c"], [b"x" * 50, b"d", b"ab"]):
+        ids, sizes = remembered.of(pa.array(strings, pa.binary()))
+        assert bytes(ids.tolist()) == b"".join(strings) and sizes.tolist() == list(map(len, strings))
+    # At the fifth, two of five are kept: the ones just used. What is too long is not kept.
+    assert learned == [[b"ab", b"c"], [b"", b"d"], [b"e"], [b"x" * 50, b"d", b"ab"]]
+    assert sorted(remembered.strings.to_pylist()) == [b"ab", b"d"]
+
+
+def test_words_of_all_ordinary_characters_are_cut_as_the_library_does():
+    random = np.random.default_rng(5)
+    kinds = ["stremvld'", "''", "ab1²¼", "!\xad×÷~<|", "ÀÖØÞßöøÿªµº", "XS'T'RE'LL'D'VE'M", "\xa1\xbf", "é ́", "\x80\xa0\xc2\x7f"]
+    words = ["".join(random.choice(list("".join(random.choice(kinds[:7 if i % 9 else 9], 3))), random.integers(1, 9))) for i in range(4_000)]
+    library, ids = Tokenizer.from_file(VOCABULARY), packing.WordIds(VOCABULARY)
+    for some in (words[:2_000], words, ["<|endoftext|>a's", "", "a<|startoftext|>’s"], [""], [None]):
+        texts = [" ".join((w or "") for w in some)] + some
+        found, upto = ids.encode(pa.array(texts, pa.string()))
+        expected = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert [r.tolist() for r in packing.by_row(found, upto)] == expected
